@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import shared, simhash_dedup, token_files, warc
+from lumenfold.llm import quality, shared, simhash_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, parts)
 
 
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP10_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
