@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -58,23 +59,29 @@ class Encoder:
         plain = [bool(self.split) and not any(a in t for a in self.added) for t in texts]
         words = [self.split(t) if p else () for t, p in zip(texts, plain)]
         new = list(set(chain.from_iterable(words)).difference(self.cache))
-        for i in range(0, len(new), 20_000):
-            self.cache.update(zip(new[i : i + 20_000], self._bytes(new[i : i + 20_000])))
+        for i in range(0, len(new), 4000):
+            self.cache.update(zip(new[i : i + 4000], self._bytes(new[i : i + 4000])))
         out = [b"".join(map(self.cache.__getitem__, w)) + self.end if p else self._bytes([t])[0] + self.end for t, w, p in zip(texts, words, plain)]
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
         return out
 
 
+@lru_cache(2)
+def _encoder(path: str, end_id: int | None) -> Encoder:
+    """One for each worker process: tasks that follow find the tokenizer loaded and the cache filled."""
+    return Encoder(path, end_id)
+
+
 def _writer(path: str, tokenizer: str, end_id: int | None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = None, TaskContext.get().partitionId()
+        part = TaskContext.get().partitionId()
         ids, lengths, nulls = [], [], 0
         name = f"{path}/part-{part:06d}"
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encoder = Encoder(tokenizer, end_id)
+        encoder = _encoder(tokenizer, end_id)
         with shared.publish(f"{name}.bin") as f:
             for batch in chain([first], batches):
                 texts = batch.column(1)
@@ -93,6 +100,7 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
         offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         with shared.publish(f"{name}.idx") as f:
             f.write(np.concatenate([[len(lengths), nulls], *ids, offsets]).astype("<i8").tobytes())
+        shared.trim()
         yield pa.RecordBatch.from_arrays([pa.array([part]), pa.array([len(lengths)]), pa.array([int(offsets[-1])]), pa.array([encoder.dtype.str])], ["part", "n_docs", "n_tokens", "dtype"])
 
     return write
