@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import quality, shared, simhash_dedup, token_files, warc
+from lumenfold.llm import mixing, quality, shared, simhash_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,6 +47,47 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, parts)
 
 
+#: Target weights of the sources; a source that isn't named has weight 1.
+WEIGHTS = {"src0": 8, "src1": 4, "src2": 4, "src3": 2, "src4": 2, "src5": 2}
+MIX_BLOCK = 16
+
+OP5_SQL = f"""
+WITH RECURSIVE c AS (
+  SELECT source, CASE source {" ".join(f"WHEN '{k}' THEN {v}" for k, v in WEIGHTS.items())} ELSE 1 END::BIGINT AS w
+  FROM documents GROUP BY source
+), s AS (
+  SELECT list(source ORDER BY source NULLS FIRST) AS names, list(w ORDER BY source NULLS FIRST) AS w, sum(w)::BIGINT AS total FROM c
+), sim AS (
+  SELECT 0::BIGINT AS slot, list_transform(w, lambda x: 0::BIGINT) AS done, NULL::BIGINT AS i, NULL::BIGINT AS ordinal, NULL::BIGINT AS deadline FROM s
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda d, k: d + CASE WHEN k = pick.i THEN 1 ELSE 0 END), pick.i, done[pick.i], pick.d
+  FROM (
+    SELECT slot, done, total,
+      list_min(list_filter(list_transform(w, lambda x, k: CASE WHEN (done[k] * total) // x <= slot
+        THEN {{'d': ((done[k] + 1) * total + x - 1) // x, 'i': k::BIGINT}} END), lambda o: o IS NOT NULL)) AS pick
+    FROM sim, s WHERE slot < total
+  )
+), cycle AS (
+  SELECT names[i] AS source, w[i] AS w, total, slot - 1 AS slot, ordinal, (ordinal * total) // w[i] AS release, deadline
+  FROM sim, s WHERE i IS NOT NULL
+), r AS (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank FROM documents
+), b AS (
+  SELECT r.*, rank // {MIX_BLOCK} AS block FROM r
+), p AS (
+  SELECT b.doc_id, b.source, b.rank, b.block, (b.block // k.w) * k.total + k.slot AS slot,
+         (b.block // k.w) * k.total + k.release AS release, (b.block // k.w) * k.total + k.deadline AS deadline
+  FROM b JOIN cycle k ON b.source = k.source AND b.block % k.w = k.ordinal
+)
+SELECT doc_id, source, block, slot, release, deadline, row_number() OVER (ORDER BY slot, rank) - 1 AS position FROM p
+"""
+
+
+@query("op5_mixing", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), WEIGHTS, MIX_BLOCK, ties=())
+
+
 @query("op6_quality")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
