@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import mixing, quality, shared, simhash_dedup, token_files, warc
+from lumenfold.llm import fingerprints, mixing, quality, shared, simhash_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op9_fingerprints")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 OP10_SQL = """
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
