@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import fingerprints, mixing, quality, shared, simhash_dedup, token_files, warc
+from lumenfold.llm import fingerprints, line_dedup, mixing, quality, shared, simhash_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,46 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+OP3_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents
+), tok AS (
+  SELECT doc_id, line_no, list_filter(regexp_split_to_array(regexp_replace(line, '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS tokens FROM lines
+), leafed AS (
+  SELECT doc_id, line_no, tokens, array_to_string(tokens, ' ') AS kind, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM tok WHERE len(tokens) >= 4
+), common AS (
+  SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT doc_id) >= 10
+), here AS (
+  SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM common)
+), votes AS (
+  SELECT leaf, pos, token, count(*) AS n FROM (SELECT leaf, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM here) GROUP BY leaf, pos, token
+), constant AS (
+  SELECT leaf, pos, token FROM (SELECT *, sum(n) OVER (PARTITION BY leaf, pos) AS total FROM votes) WHERE 2 * n > total
+), scored AS (
+  SELECT h.leaf, h.kind, 2 * count(c.token) >= any_value(h.n) AS general
+  FROM (SELECT leaf, kind, len(tokens) AS n, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM (SELECT DISTINCT leaf, kind, tokens FROM here)) h
+  LEFT JOIN constant c ON h.leaf = c.leaf AND h.pos = c.pos AND h.token = c.token
+  GROUP BY h.leaf, h.kind
+), members AS (
+  SELECT h.doc_id, h.line_no, h.leaf, CASE WHEN s.general THEN NULL ELSE h.kind END AS own FROM here h JOIN scored s ON h.leaf = s.leaf AND h.kind = s.kind
+), recurring AS (
+  SELECT leaf, own FROM members GROUP BY leaf, own HAVING count(DISTINCT doc_id) >= 10
+), gone AS (
+  SELECT m.doc_id, m.line_no FROM members m JOIN recurring r ON m.leaf = r.leaf AND m.own IS NOT DISTINCT FROM r.own
+)
+SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.line_no)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL), '')) AS kept_sha256
+FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.line_no = g.line_no
+GROUP BY l.doc_id
+"""
+
+
+@query("op3_line_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_recurring_lines(spark, table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op4_token_files")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared.new_path(spark, "op4-tokens")
