@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 BLOCK = 16
 #: Ids of one range; ranks are numbered within it, so it bounds what a task sorts at once.
-RANGE_BITS = 12
+RANGE_BITS = 8
+#: Ranges of one range of ranges.
+UPPER_BITS = 12
 #: Bounds on the schedule of a cycle, which is made in one row and broadcast.
 MAX_SOURCES = 2048
 MAX_SLOTS = 16384
@@ -45,7 +47,7 @@ def ranked(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     The keys are made without nulls, so that the join finds rows where the window has put them."""
     keys = ["_range", "_source", "_named"]
     rows = docs.withColumns({"_range": F.coalesce(F.shiftright(F.col(id_col).cast("long"), RANGE_BITS), F.lit(-(1 << 62))), "_source": F.coalesce(source_col, F.lit("")), "_named": F.col(source_col).isNotNull()})
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_upper", F.shiftright("_range", RANGE_BITS))
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_upper", F.shiftright("_range", UPPER_BITS))
     # Ranges of ranges keep the running sum of a large source from being one long task.
     upper = counts.groupBy("_upper", "_source", "_named").agg(F.sum("_n").alias("_m"))
     upper = upper.withColumn("_start", _before("_m", ["_source", "_named"], "_upper")).drop("_m")
