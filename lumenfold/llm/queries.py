@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import decontaminate, fingerprints, line_dedup, mixing, quality, shared, simhash_dedup, token_files, warc
+from lumenfold.llm import decontaminate, fingerprints, line_dedup, lm_scores, mixing, quality, shared, simhash_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,6 +133,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_lm_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return lm_scores.cross_entropy_difference(spark, table(spark, sf_dir, "documents"), target)
+
+
 @query("op8_decontaminate")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
