@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import decontaminate, fingerprints, line_dedup, lm_scores, mixing, quality, shared, simhash_dedup, token_files, warc
+from lumenfold.llm import decontaminate, fingerprints, line_dedup, lm_scores, mixing, quality, shared, simhash_dedup, suffix_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), length=100).drop("spans")
+
+
 @query("op2_simhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), words=3, radius=3)
