@@ -45,36 +45,39 @@ def _lines(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     return lines.select("k", "t", "line_no", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("kind"))
 
 
-def dropped_lines(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(k, t, line_nos): for each document that loses lines, their numbers from 0."""
-    rows = _keyed(docs, id_col, text_col)
+def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int, min_docs: int) -> DataFrame:
+    """(k, t, line_nos): for each document of rows (k, t, text) that loses lines, their numbers from 0."""
     lines = shared.write_table(spark, _lines(rows, depth, min_tokens), "lines")
     # Documents are counted in two steps, each with partial sums: no leaf, however common, is one task's.
+    # A kind of line has one leaf, so the kind alone is the key wherever both would be: its rows are then
+    # dealt anew, and the skewed side of the join by leaf can be split.
     shared_leaves = lines.groupBy("leaf", "k", "t").agg(F.lit(1)).groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
     here = lines.join(shared_leaves, "leaf")
-    kinds = here.groupBy("leaf", "kind").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "t", "line_no")).alias("place"))
-    kinds = shared.write_table(spark, kinds, "line-kinds")
+    kinds = here.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("leaf").alias("leaf"), F.min(F.struct("k", "t", "line_no")).alias("place"))
     # One line of each kind is fetched from its document.
     wanted = kinds.groupBy(F.col("place.k").alias("k"), F.col("place.t").alias("t")).agg(F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "leaf", "kind", "n")).alias("wanted"))
-    found = rows.join(wanted, ["k", "t"]).select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
+    found = rows.select("k", "t", "text").join(wanted, ["k", "t"]).select(F.split("text", "\n").alias("all"), F.explode("wanted").alias("w"))
     found = found.select("w.leaf", "w.kind", "w.n", _tokens(F.col("all")[F.col("w.line_no")]).alias("tokens"))
-    found = shared.write_table(spark, found.dropDuplicates(["leaf", "kind"]), "line-tokens")
+    found = shared.write_table(spark, found.dropDuplicates(["kind"]), "line-tokens")
     votes = found.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
     constant = votes.groupBy("leaf", "at").agg(F.max(F.struct("n", "token")).alias("most"), F.sum("n").alias("all"))
     template = constant.where(F.col("most.n") * 2 > F.col("all")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("at", "most.token"))).alias("template"))
     fixed = F.aggregate(F.transform("tokens", lambda x, i: F.coalesce((F.try_element_at("template", i) == x).cast("int"), F.lit(0))), F.lit(0), lambda a, x: a + x)
-    sorted_kinds = found.join(template, "leaf").select("leaf", "kind", F.when(fixed * 2 >= F.size("tokens"), F.lit(None).cast("long")).otherwise(F.col("kind")).alias("own"))
-    templates = shared.write_table(spark, sorted_kinds, "line-templates")
-    members = here.join(templates, ["leaf", "kind"]).select("leaf", F.col("own").isNull().alias("general"), F.coalesce("own", F.lit(0)).alias("own"), "k", "t", "line_no")
+    own = F.when(fixed * 2 >= F.size("tokens"), F.lit(None).cast("long")).otherwise(F.col("kind"))
+    templates = shared.write_table(spark, found.join(template, "leaf").select("kind", own.alias("own")), "line-templates")
+    members = lines.join(templates, "kind").select("leaf", F.col("own").isNull().alias("general"), F.coalesce("own", F.lit(0)).alias("own"), "k", "t", "line_no")
     key = ["leaf", "general", "own"]
     recurring = members.groupBy(*key, "k", "t").agg(F.lit(1)).groupBy(*key).agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select(*key)
-    return members.join(recurring, key).select("k", "t", "line_no").distinct().groupBy("k", "t").agg(F.collect_list("line_no").alias("line_nos"))
+    return members.join(recurring, key).groupBy("k", "t").agg(F.collect_set("line_no").alias("line_nos"))
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_lines, n_dropped, kept): kept is the text without the lines of recurring templates."""
-    dropped = dropped_lines(spark, docs, depth, min_tokens, min_docs, id_col, text_col)
-    rows = _keyed(docs, id_col, text_col).join(dropped, ["k", "t"], "left").withColumn("lines", F.split("text", "\n"))
+    """(doc_id, n_lines, n_dropped, kept): kept is the text without the lines of recurring templates.
+
+    The texts move once, into buckets by document; the two joins that need them read the buckets."""
+    documents = shared.write_bucketed(spark, _keyed(docs, id_col, text_col), "line_documents", ["k", "t"])
+    dropped = _dropped(spark, documents, depth, min_tokens, min_docs)
+    rows = documents.join(dropped, ["k", "t"], "left").withColumn("lines", F.split("text", "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "line_nos")
     kept = F.when(F.col("line_nos").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.col("lines")[i]), "\n"))
     return rows.select("doc_id", F.size("lines").cast("long").alias("n_lines"), F.when(F.col("line_nos").isNull(), 0).otherwise(F.size("line_nos")).cast("long").alias("n_dropped"), kept.alias("kept"))

@@ -35,6 +35,14 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, path: str | None
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Write df to the shared folder in buckets of the keys: joins and aggregations by them read it
+    without a shuffle, as often as needed."""
+    label, buckets = f"{name}_{uuid.uuid4().hex}", buckets or partitions(spark)
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{shared_dir(spark)}/{label}").option("compression", "zstd").saveAsTable(label)
+    return spark.table(label)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path that new_path() made."""
     jvm = spark.sparkContext._jvm
