@@ -196,3 +196,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, radius
     components = joined.join(least, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(components, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with their columns, without those that have a near-duplicate of smaller id.
+
+    Only the ids that go are joined with the texts. Rows without an id stay, and so do rows that share
+    the least id of their group."""
+    found = near_duplicates(spark, docs, words, radius, id_col, text_col)
+    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti")
