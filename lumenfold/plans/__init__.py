@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tpch",)
+MODULES = ("tpch", "relational", "aggregates", "scalars")
 
 
 def load_all() -> None:
