@@ -14,7 +14,7 @@ def as_of_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
     bucket_seconds, keys are also cut into time buckets (a hot key is then many tasks), and a row whose
     bucket has no earlier right row gets the last one of the buckets before, from one row a bucket.
     ``columns`` are the right's columns to add; they are null where there is no match."""
-    seen = F.struct(F.col(right_time).alias("_time"), *ties, *columns)
+    seen = F.struct(F.col(right_time).alias("_time"), *[F.col(c).alias(f"_tie_{c}") for c in ties], *columns)
     events = right.select(*by, F.col(right_time).alias("_at"), F.lit(0).alias("_side"), seen.alias("_seen"), *[F.lit(None).cast(left.schema[c].dataType).alias(f"_l_{c}") for c in left.columns])
     probes = left.select(*by, F.col(left_time).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(events.schema["_seen"].dataType).alias("_seen"), *[F.col(c).alias(f"_l_{c}") for c in left.columns])
     both = events.unionByName(probes)
@@ -22,7 +22,7 @@ def as_of_join(left: DataFrame, right: DataFrame, by: list[str], left_time: str,
     if bucket_seconds:
         both = both.withColumn("_bucket", F.floor(F.unix_micros(F.col("_at").cast("timestamp")) / (bucket_seconds * 1_000_000)))
         keys.append("_bucket")
-    order = [F.col("_at"), F.col("_side"), *[F.col(f"_seen.{c}") for c in ties]]
+    order = [F.col("_at"), F.col("_side"), *[F.col(f"_seen._tie_{c}") for c in ties]]
     window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     matched = both.withColumn("_last", F.last("_seen", ignorenulls=True).over(window)).where("_side = 1")
     if bucket_seconds:

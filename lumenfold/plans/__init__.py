@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tpch", "relational", "aggregates", "scalars")
+MODULES = ("tpch", "relational", "aggregates", "scalars", "streams")
 
 
 def load_all() -> None:
