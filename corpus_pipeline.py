@@ -20,10 +20,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+#: Shingles of five words, and those of three words as in the operator's own query.
+SHINGLES = (5, 3)
+
+
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, SimHash within 3 bits of 64, which is a
-    similarity of over 0.95) the document with the least id."""
-    return simhash_dedup.keep_one(spark, docs, words=5, radius=3)
+    """Of each group of near-duplicates the document with the least id. Documents are linked if their
+    SimHash fingerprints of either kind of shingles are within 3 of 64 bits."""
+    return simhash_dedup.keep_one(spark, docs, words=SHINGLES, radius=3)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -198,11 +198,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, radius
     return rows.join(components, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, words: tuple[int, ...] = (5,), radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with their columns, without those that have a near-duplicate of smaller id.
 
-    Only the ids that go are joined with the texts. Rows without an id stay, and so do rows that share
-    the least id of their group."""
-    found = near_duplicates(spark, docs, words, radius, id_col, text_col)
-    gone = found.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    With several lengths of shingles, documents are linked if the fingerprints of any length are within
+    the radius. Only the ids that go are joined with the texts. Rows without an id stay, and so do rows
+    that share the least id of their group."""
+    links = None
+    for k in words:
+        found = near_duplicates(spark, docs, k, radius, id_col, text_col).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+        links = found if links is None else links.unionByName(found)
+    gone = connected_components(spark, links) if len(words) > 1 else links.select(F.col("u").alias("node")).distinct()
+    return docs.join(gone.select(F.col("node").alias(id_col)), id_col, "left_anti")
