@@ -85,7 +85,7 @@ def hexed(fp: str) -> Column:
 
 
 def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of documents and of their edited texts, and how alike they and the next ones are."""
+    """Fingerprints (fp: as a long) of documents and of their edited texts, and how alike they and the next ones are."""
     paired = with_next(docs, id_col, text_col).withColumn("edit", edited("text", "next_text"))
     id_key = F.coalesce("doc_id", F.lit(-(1 << 62)))
     rows = paired.select(
@@ -98,7 +98,7 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # Keys are ids, so no key is hot; the three lookups are on narrow rows.
     out = rows.join(fps, ["k", "t"]).join(fps.select("k", F.col("t").alias("e"), F.col("fp").alias("edit_fp")), ["k", "e"])
     out = out.join(fps.select(F.col("k").alias("nk"), F.col("t").alias("nt"), F.col("fp").alias("next_fp")), ["nk", "nt"])
-    return out.select("doc_id", "n_chars", "edited_sha256", hexed("fp").alias("fingerprint"), hexed("edit_fp").alias("edited_fingerprint"), likeness("fp", "edit_fp").alias("near_edited"), likeness("fp", "next_fp").alias("near_next"))
+    return out.select("doc_id", "n_chars", "edited_sha256", hexed("fp").alias("fingerprint"), hexed("edit_fp").alias("edited_fingerprint"), likeness("fp", "edit_fp").alias("near_edited"), likeness("fp", "next_fp").alias("near_next"), "fp")
 
 
 def block_tables(radius: int, blocks: int) -> list[int]:
@@ -119,3 +119,15 @@ def find_within(queries: DataFrame, corpus: DataFrame, radius: int = 3, blocks:
 
     distance = F.bit_count(F.col("q").bitwiseXOR(F.col("fp")))
     return keyed(queries, "q").join(keyed(corpus, "fp"), ["table", "key"]).where(distance <= radius).select("q", "fp", distance.alias("distance")).distinct()
+
+
+def documents_within(rows: DataFrame, is_query: Column, radius: int = 3, blocks: int = 6, fp: str = "fp", name: str = "n_within") -> DataFrame:
+    """rows with a count: for queries, how many other rows have a fingerprint within the radius; else null.
+
+    The tables hold distinct fingerprints with their numbers of rows, so copies cost nothing."""
+    counts = rows.groupBy(F.col(fp).alias("fp")).agg(F.count(F.lit(1)).alias("rows"))
+    asked = rows.where(is_query)
+    near = find_within(asked.select(F.col(fp).alias("fp")), counts.select("fp"), radius, blocks)
+    found = near.join(counts, "fp").groupBy("q").agg((F.sum("rows") - 1).alias(name))
+    answered = asked.join(found, asked[fp] == found["q"]).select(*rows.columns, name)
+    return answered.unionByName(rows.where(~F.coalesce(is_query, F.lit(False))).withColumn(name, F.lit(None).cast("long")))

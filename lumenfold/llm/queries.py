@@ -151,7 +151,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_fingerprints")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents, and for those whose id is divisible by 100 how many other
+    documents the block tables find within 3 bits."""
+    rows = shared.write_table(spark, fingerprints.fingerprint_edits(table(spark, sf_dir, "documents")), "fingerprinted")
+    return fingerprints.documents_within(rows, F.col("doc_id") % 100 == 0, radius=3, blocks=6).drop("fp")
 
 
 OP10_SQL = """
