@@ -8,8 +8,10 @@ target. A document's own words are taken out of both models before it is scored.
 
 log P(w | v) is a term of the bigram (v, w) less a term of its history v, so a document's loss is a sum
 over its distinct bigrams and histories, each with its count. These grams travel once, packed by bucket,
-to the task that holds all their counts; what comes back is one partial sum a document and task. A common
-gram sends one entry for each document that has it, never one for each occurrence.
+to the task that holds all their counts; what comes back, packed again by document, is one partial sum
+a document and task. A common
+gram sends one entry for each document that has it, never one for each occurrence. Grams are hashes of
+as many bits as keep the expected share of grams that collide below 2^-20 at the corpus's size.
 
 Defined results: words are lower-cased (A-Z) runs between ASCII white space; texts without words have
 no tokens and score 0; rows with equal ids (null is an id) are each left out
@@ -31,8 +33,13 @@ from lumenfold.llm import blobs, shared
 
 BETA = 0.05
 BLOCK_BYTES = 8 << 20
+SURVEY_BYTES = 32 << 20
+#: Bits of a gram's hash beyond those that number the corpus's grams.
+SPARE_BITS = 20
 #: Gram entries for a task.
 ENTRIES_A_TASK = 6_000_000
+#: Documents whose partial sums are added in a task.
+DOCS_A_TASK = 500_000
 LEAST = -(1 << 62)
 _START = np.uint64(0x9E3779B97F4A7C15)
 
@@ -54,7 +61,7 @@ def _buckets(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[bool], list[np.ndarray]]]:
+def _blocks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[int], list[bool], list[np.ndarray]]]:
     """Ids, target flags and word hashes of some MB of texts at a time."""
     ids, flags, words, size = [], [], [], 0
     for b in batches:
@@ -64,7 +71,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
             flags.append(flag.as_py())
             words.append(word_hashes(data))
             size += len(data)
-            if size >= BLOCK_BYTES:
+            if size >= most:
                 yield ids, flags, words
                 ids, flags, words, size = [], [], [], 0
     if ids:
@@ -75,7 +82,7 @@ def _survey(n: int):
     """Rows of bucket -1: ids and numbers of tokens; others: distinct words."""
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, _, words in _blocks(batches):
+        for ids, _, words in _blocks(batches, SURVEY_BYTES):
             rows = [(-1, blobs.pack(np.array(ids, np.int64), np.array(list(map(len, words)), np.int64)))]
             seen = np.unique(blobs.mix(np.concatenate(words)))
             rows += [(i, blobs.pack(w)) for i, (w,) in blobs.cut(_buckets(seen, n), seen)]
@@ -99,12 +106,15 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["doc_id", "n"])
 
 
-def _emit(n: int):
+def _emit(n: int, bits: int):
+    # The first bits spread the grams over the buckets, the last one is the kind.
+    mask = np.uint64((1 << 64) - (1 << 64 - bits) | 1)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, flags, words in _blocks(batches):
+        for ids, flags, words in _blocks(batches, BLOCK_BYTES):
             grams = [_grams(w) for w in words]
             doc = np.repeat(np.arange(len(ids), dtype=np.int32), list(map(len, grams)))
-            gram = np.concatenate(grams)
+            gram = np.concatenate(grams) & mask
             order = np.argsort(gram, kind="stable")  # documents stay in order within a gram
             gram, doc = gram[order], doc[order]
             first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])])) if len(gram) else np.zeros(0, np.int64)
@@ -121,7 +131,8 @@ def _emit(n: int):
                 a, b = ends[i], ends[i + 1]
                 rows_of = slice(entry[a], entry[b])
                 here, local = np.unique(doc[rows_of], return_inverse=True)
-                steps = np.diff(gram[at[a:b]], prepend=np.uint64(0))
+                keys = gram[at[a:b]] >> np.uint64(65 - bits) << np.uint64(1) | gram[at[a:b]] & np.uint64(1)
+                steps = np.diff(keys, prepend=np.uint64(0))
                 # Byte planes: the high bytes of the steps are zeros, which compress away.
                 rows.append((i, blobs.pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T), with_docs[a:b], local.astype(np.uint16 if len(here) < 1 << 16 else np.uint32), count[rows_of], doc_ids[here], target[here])))
             yield blobs.batch(rows)
@@ -129,7 +140,7 @@ def _emit(n: int):
     return emit
 
 
-def _score(scale: float, vocabulary: int, beta: float):
+def _score(scale: float, vocabulary: int, beta: float, doc_buckets: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [blobs.unpack(x.as_py()) for b in batches for x in b.column(1)]
         if not parts:
@@ -146,43 +157,68 @@ def _score(scale: float, vocabulary: int, beta: float):
             np.add.at(target_c, gram[flagged], p[3][flagged])
         history = (distinct & np.uint64(1)).astype(bool)
         names = np.concatenate([p[4] for p in parts])
-        sums = np.zeros((3, len(names)))  # tokens, loss under the target, loss under the background
+        sums = np.zeros((2, len(names)))  # loss under the target, loss under the background
         base = 0
         for p, a, b in zip(parts, edges, edges[1:]):
             gram, c, flagged = np.repeat(which[a:b], p[1]), p[3].astype(float), p[5][p[2]]
             is_history = history[gram]
             smooth = np.where(is_history, beta * vocabulary, beta)
             sign = np.where(is_history, c, -c)
-            losses = (np.where(is_history, 0, c), sign * np.log(target_c[gram] - c * flagged + smooth), sign * np.log(scale * (all_c[gram] - c) + smooth))
+            losses = (sign * np.log(target_c[gram] - c * flagged + smooth), sign * np.log(scale * (all_c[gram] - c) + smooth))
             for row, values in zip(sums, losses):
                 row[base : base + len(p[4])] += np.bincount(p[2], values, len(p[4]))
             base += len(p[4])
-        ids, inverse = np.unique(names, return_inverse=True)
-        out = [np.bincount(inverse, row, len(ids)) for row in sums]
-        for i in range(0, len(ids), 50_000):
-            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (ids, *out)], ["doc_id", "n", "target", "background"])
+        ids, sums = _added(names, sums)
+        for bucket, (i, t, b) in blobs.cut((blobs.mix(ids) % np.uint64(doc_buckets)).astype(np.int32), ids, *sums):
+            yield blobs.batch([(bucket, blobs.pack(i, t, b))])
         shared.trim()
 
     return score
 
 
+def _added(ids: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    names, inverse = np.unique(ids, return_inverse=True)
+    return names, np.stack([np.bincount(inverse, row, len(names)) for row in sums])
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each document of packed partial sums."""
+    ids, sums, held, size = np.zeros(0, np.int64), np.zeros((2, 0)), [], 0
+    for b in batches:
+        for x in b.column(1):
+            held.append(blobs.unpack(x.as_py()))
+            size += len(held[-1][0])
+            if size > max(1_000_000, len(ids)):
+                ids, sums = _added(np.concatenate([ids, *(h[0] for h in held)]), np.concatenate([sums, *(np.stack(h[1:]) for h in held)], axis=1))
+                held, size = [], 0
+    ids, sums = _added(np.concatenate([ids, *(h[0] for h in held)]), np.concatenate([sums, *(np.stack(h[1:]) for h in held)], axis=1))
+    for i in range(0, len(ids), 50_000):
+        yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in (ids, *sums)], ["doc_id", "target", "background"])
+
+
 def cross_entropy_difference(spark: SparkSession, docs: DataFrame, target_ids: DataFrame, beta: float = BETA, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score); target_ids has a column of the id's name."""
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     target = target_ids.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST)).alias("doc_id"), F.lit(True).alias("is_target")).distinct()
     n = shared.partitions(spark)
     plain = keyed.select("doc_id", F.lit(False).alias("is_target"), "text")
-    survey = shared.write_table(spark, plain.mapInArrow(_survey(n), blobs.SCHEMA), "words")
+    path = shared.new_path(spark, "words")
+    survey = shared.write_table(spark, plain.mapInArrow(_survey(n), blobs.SCHEMA), "words", path)
     vocabulary = blobs.deal(survey.where("bucket >= 0"), n).mapInArrow(_distinct, "n long").agg(F.sum("n")).first()[0] or 0
-    lengths = survey.where("bucket < 0").mapInArrow(_tokens, "doc_id long, n long")
-    totals = lengths.join(target, "doc_id", "left").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("is_target"), F.col("n"))).alias("target")).first()
+    lengths = survey.where("bucket < 0").mapInArrow(_tokens, "doc_id long, n long").groupBy("doc_id").agg(F.sum("n").alias("n"))
+    lengths = shared.write_table(spark, lengths, "lengths")
+    totals = lengths.join(target, "doc_id", "left").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("all"), F.sum(F.when(F.col("is_target"), F.col("n"))).alias("target")).first()
+    shared.drop_path(spark, path)
     tokens, target_tokens = totals["all"] or 0, totals["target"] or 0
     buckets = max(n, -(-2 * tokens // ENTRIES_A_TASK))
-    flagged = keyed.join(target, "doc_id", "left").select("doc_id", F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
-    dealt = blobs.deal(flagged.mapInArrow(_emit(buckets), blobs.SCHEMA), buckets)
-    parts = dealt.mapInArrow(_score(target_tokens / max(1, tokens), vocabulary, beta), "doc_id long, n double, target double, background double")
-    sums = parts.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("n", "target", "background")])
-    every = keyed.select("doc_id").distinct().join(sums, "doc_id", "left")
-    per_token = lambda c: F.coalesce(F.col(c) / F.col("n"), F.lit(0.0))
+    bits = min(64, (2 * tokens).bit_length() + SPARE_BITS)
+    # The target's ids grow with the corpus: the plan is one for tables that can't be broadcast.
+    flagged = keyed.join(target.hint("merge"), "doc_id", "left").select("doc_id", F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
+    dealt = blobs.deal(flagged.mapInArrow(_emit(buckets, bits), blobs.SCHEMA), buckets)
+    doc_buckets = max(n, -(-totals["docs"] // DOCS_A_TASK))
+    parts = dealt.mapInArrow(_score(target_tokens / max(1, tokens), vocabulary, beta, doc_buckets), blobs.SCHEMA)
+    sums = blobs.deal(parts, doc_buckets).mapInArrow(_add, "doc_id long, target double, background double")
+    every = lengths.join(sums, "doc_id", "left")
+    per_token = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("n")), F.lit(0.0))
     score = per_token("background") - per_token("target") if target_tokens else F.lit(0.0)
-    return every.select(F.when(F.col("doc_id") != LEAST, F.col("doc_id")).alias("doc_id"), F.coalesce(F.col("n").cast("long"), F.lit(0)).alias("n_tokens"), per_token("target").alias("target_loss"), per_token("background").alias("background_loss"), score.alias("score"))
+    return every.select(F.when(F.col("doc_id") != LEAST, F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_tokens"), per_token("target").alias("target_loss"), per_token("background").alias("background_loss"), score.alias("score"))
