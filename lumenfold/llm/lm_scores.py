@@ -10,7 +10,8 @@ log P(w | v) is a term of the bigram (v, w) less a term of its history v, so a d
 over its distinct bigrams and histories, each with its count. These grams travel once, packed by bucket,
 to the task that holds all their counts; what comes back, packed again by document, is one partial sum
 a document and task. A common
-gram sends one entry for each document that has it, never one for each occurrence. Grams are hashes of
+gram sends one entry for each document that has it, never one for each occurrence; grams that would fill
+a quarter of a task are counted in advance and scored where the documents are. Grams are hashes of
 as many bits as keep the expected share of grams that collide below 2^-20 at the corpus's size.
 
 Defined results: words are lower-cased (A-Z) runs between ASCII white space; texts without words have
@@ -38,6 +39,8 @@ SURVEY_BYTES = 32 << 20
 SPARE_BITS = 20
 #: Gram entries for a task.
 ENTRIES_A_TASK = 6_000_000
+#: A gram with so many entries is hot; a sample of so many tokens finds such grams, by so many at least.
+HOT_ENTRIES, SAMPLE_TOKENS, HOT_LEAST = ENTRIES_A_TASK // 4, 2_000_000, 64
 #: Documents whose partial sums are added in a task.
 DOCS_A_TASK = 500_000
 LEAST = -(1 << 62)
@@ -106,27 +109,89 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["doc_id", "n"])
 
 
-def _emit(n: int, bits: int):
-    # The first bits spread the grams over the buckets, the last one is the kind.
-    mask = np.uint64((1 << 64) - (1 << 64 - bits) | 1)
+class Plan:
+    """What the tasks need to know: bits of a gram, the models' constants, and the counts of hot grams."""
+
+    def __init__(self, buckets: int, bits: int, scale: float, vocabulary: int, beta: float, doc_buckets: int):
+        self.buckets, self.bits, self.scale, self.vocabulary, self.beta, self.doc_buckets = buckets, bits, scale, vocabulary, beta, doc_buckets
+        # The first bits spread the grams over the buckets, the last one is the kind.
+        self.mask = np.uint64((1 << 64) - (1 << 64 - bits) | 1)
+        self.hot, self.hot_all, self.hot_target = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+
+    def losses(self, history: np.ndarray, target: np.ndarray, every: np.ndarray, count: np.ndarray, flagged: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts of the losses under the target and the background, of grams with these counts in the
+        corpus that a document has count times itself."""
+        smooth = np.where(history, self.beta * self.vocabulary, self.beta)
+        sign = np.where(history, count, -count)
+        return sign * np.log(target - count * flagged + smooth), sign * np.log(self.scale * (every - count) + smooth)
+
+
+def _entries(words: list[np.ndarray], mask: np.uint64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gram, document, count), ordered by gram and document, of the documents of a block."""
+    grams = [_grams(w) for w in words]
+    doc = np.repeat(np.arange(len(words), dtype=np.int32), list(map(len, grams)))
+    gram = np.concatenate(grams) & mask
+    order = np.argsort(gram, kind="stable")  # documents stay in order within a gram
+    gram, doc = gram[order], doc[order]
+    first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])])) if len(gram) else np.zeros(0, np.int64)
+    return gram[first], doc[first], np.diff(np.append(first, len(gram))).astype(np.uint32)
+
+
+def _sampled_grams(plan: Plan):
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, words in _blocks(batches, BLOCK_BYTES):
+            gram, n = np.unique(_entries(words, plan.mask)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)[n > 1]), pa.array(n[n > 1])], ["gram", "n"])
+
+    return sample
+
+
+def _hot_counts(plan: Plan):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, target = np.zeros(len(plan.hot)), np.zeros(len(plan.hot))
+        for _, flags, words in _blocks(batches, BLOCK_BYTES):
+            gram, doc, n = _entries(words, plan.mask)
+            at = np.minimum(np.searchsorted(plan.hot, gram), len(plan.hot) - 1)
+            hit = plan.hot[at] == gram
+            every += np.bincount(at[hit], n[hit], len(plan.hot))
+            target += np.bincount(at[hit], n[hit] * np.array(flags, bool)[doc[hit]], len(plan.hot))
+        yield pa.RecordBatch.from_arrays([pa.array(plan.hot.view(np.int64)), pa.array(every), pa.array(target)], ["gram", "every", "target"])
+
+    return count
+
+
+def find_hot_grams(plan: Plan, docs: DataFrame, flagged: DataFrame, tokens: int) -> None:
+    """Give the plan the counts of grams whose entries would fill a quarter of a task: they are counted in
+    advance, with partial sums, and scored where the documents are. A sample of documents says which
+    grams these are, which only plans where work is done: results are the same for any list."""
+    share = max(1, tokens // SAMPLE_TOKENS)
+    sampled = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).mapInArrow(_sampled_grams(plan), "gram long, n long")
+    sampled = sampled.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= max(HOT_LEAST, HOT_ENTRIES // share))
+    plan.hot = np.sort(np.array([r["gram"] for r in sampled.orderBy(F.desc("n"), "gram").limit(4 * plan.buckets).collect()], np.int64).view(np.uint64))
+    if len(plan.hot):
+        rows = flagged.mapInArrow(_hot_counts(plan), "gram long, every double, target double").groupBy("gram").agg(F.sum("every").alias("every"), F.sum("target").alias("target")).collect()
+        counts = {np.int64(r["gram"]).view(np.uint64): (r["every"], r["target"]) for r in rows}
+        plan.hot_all, plan.hot_target = (np.array([counts[g][i] for g in plan.hot]) for i in (0, 1))
+
+
+def _emit(plan: Plan):
+    n, bits = plan.buckets, plan.bits
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, flags, words in _blocks(batches, BLOCK_BYTES):
-            grams = [_grams(w) for w in words]
-            doc = np.repeat(np.arange(len(ids), dtype=np.int32), list(map(len, grams)))
-            gram = np.concatenate(grams) & mask
-            order = np.argsort(gram, kind="stable")  # documents stay in order within a gram
-            gram, doc = gram[order], doc[order]
-            first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (doc[1:] != doc[:-1])])) if len(gram) else np.zeros(0, np.int64)
-            count = np.diff(np.append(first, len(gram))).astype(np.uint32)
-            gram, doc = gram[first], doc[first]
-            at = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else first
+            gram, doc, count = _entries(words, plan.mask)
+            doc_ids, target, rows = np.array(ids, np.int64), np.array(flags, bool), []
+            if len(plan.hot):
+                place = np.minimum(np.searchsorted(plan.hot, gram), len(plan.hot) - 1)
+                hit = plan.hot[place] == gram
+                parts = plan.losses((gram[hit] & np.uint64(1)).astype(bool), plan.hot_target[place[hit]], plan.hot_all[place[hit]], count[hit].astype(float), target[doc[hit]])
+                gram, doc, count, scored = gram[~hit], doc[~hit], count[~hit], doc[hit]
+                rows.append((int(blobs.mix(doc_ids[:1])[0] % np.uint64(n)), blobs.pack(doc_ids, *(np.bincount(scored, p, len(ids)) for p in parts))))
+            at = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
             with_docs = np.diff(np.append(at, len(gram))).astype(np.uint32)
             bucket = _buckets(gram[at], n)
             ends = np.searchsorted(bucket, np.arange(n + 1))
             entry = np.append(at, len(gram))
-            doc_ids, target = np.array(ids, np.int64), np.array(flags, bool)
-            rows = []
             for i in np.flatnonzero(np.diff(ends)).tolist():
                 a, b = ends[i], ends[i + 1]
                 rows_of = slice(entry[a], entry[b])
@@ -140,11 +205,16 @@ def _emit(n: int, bits: int):
     return emit
 
 
-def _score(scale: float, vocabulary: int, beta: float, doc_buckets: int):
+def _score(plan: Plan):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [blobs.unpack(x.as_py()) for b in batches for x in b.column(1)]
-        if not parts:
+        parts, ready = [], []
+        for b in batches:
+            for x in b.column(1):
+                columns = blobs.unpack(x.as_py())
+                (ready if len(columns) == 3 else parts).append(columns)
+        if not parts and not ready:
             return
+        parts = parts or [[np.zeros((0,), np.uint8), *(np.zeros(0, k) for k in (np.uint32, np.uint16, np.uint32, np.int64, bool))]]
         grams = [np.cumsum(np.ascontiguousarray(p[0].reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64) for p in parts]
         distinct, which = np.unique(np.concatenate(grams), return_inverse=True)
         which, edges = which.astype(np.int32), np.cumsum([0, *map(len, grams)])
@@ -162,14 +232,12 @@ def _score(scale: float, vocabulary: int, beta: float, doc_buckets: int):
         for p, a, b in zip(parts, edges, edges[1:]):
             gram, c, flagged = np.repeat(which[a:b], p[1]), p[3].astype(float), p[5][p[2]]
             is_history = history[gram]
-            smooth = np.where(is_history, beta * vocabulary, beta)
-            sign = np.where(is_history, c, -c)
-            losses = (sign * np.log(target_c[gram] - c * flagged + smooth), sign * np.log(scale * (all_c[gram] - c) + smooth))
+            losses = plan.losses(is_history, target_c[gram], all_c[gram], c, flagged)
             for row, values in zip(sums, losses):
                 row[base : base + len(p[4])] += np.bincount(p[2], values, len(p[4]))
             base += len(p[4])
-        ids, sums = _added(names, sums)
-        for bucket, (i, t, b) in blobs.cut((blobs.mix(ids) % np.uint64(doc_buckets)).astype(np.int32), ids, *sums):
+        ids, sums = _added(np.concatenate([names, *(r[0] for r in ready)]), np.concatenate([sums, *(np.stack(r[1:]) for r in ready)], axis=1))
+        for bucket, (i, t, b) in blobs.cut((blobs.mix(ids) % np.uint64(plan.doc_buckets)).astype(np.int32), ids, *sums):
             yield blobs.batch([(bucket, blobs.pack(i, t, b))])
         shared.trim()
 
@@ -214,9 +282,11 @@ def cross_entropy_difference(spark: SparkSession, docs: DataFrame, target_ids: D
     bits = min(64, (2 * tokens).bit_length() + SPARE_BITS)
     # The target's ids grow with the corpus: the plan is one for tables that can't be broadcast.
     flagged = keyed.join(target.hint("merge"), "doc_id", "left").select("doc_id", F.coalesce("is_target", F.lit(False)).alias("is_target"), "text")
-    dealt = blobs.deal(flagged.mapInArrow(_emit(buckets, bits), blobs.SCHEMA), buckets)
     doc_buckets = max(n, -(-totals["docs"] // DOCS_A_TASK))
-    parts = dealt.mapInArrow(_score(target_tokens / max(1, tokens), vocabulary, beta, doc_buckets), blobs.SCHEMA)
+    plan = Plan(buckets, bits, target_tokens / max(1, tokens), vocabulary, beta, doc_buckets)
+    find_hot_grams(plan, plain, flagged, tokens)
+    dealt = blobs.deal(flagged.mapInArrow(_emit(plan), blobs.SCHEMA), buckets)
+    parts = dealt.mapInArrow(_score(plan), blobs.SCHEMA)
     sums = blobs.deal(parts, doc_buckets).mapInArrow(_add, "doc_id long, target double, background double")
     every = lengths.join(sums, "doc_id", "left")
     per_token = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("n")), F.lit(0.0))

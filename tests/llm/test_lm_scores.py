@@ -29,8 +29,11 @@ def brute(rows, target, beta=M.BETA):
     return {i: (n, t / max(1, n), b / max(1, n), (b - t) / max(1, n) if scale else 0.0) for i, (n, t, b) in sums.items()}
 
 
-@pytest.mark.parametrize("target", [{1, 2, 3, 5, 8, 13, 999}, set()])
-def test_equals_brute_force(spark, target, monkeypatch):
+@pytest.mark.parametrize("target,hot", [({1, 2, 3, 5, 8, 13, 999}, False), ({1, 2, 3, 5, 8, 13, 999}, True), (set(), True)])
+def test_equals_brute_force(spark, target, hot, monkeypatch):
+    if hot:
+        monkeypatch.setattr(M, "HOT_ENTRIES", 10)
+        monkeypatch.setattr(M, "HOT_LEAST", 10)
     rng = random.Random(1)
     rows = [(i, " ".join(rng.choice(["The", "the", "of", "É", "x\ty", "\n"]) + str(rng.randrange(9)) for _ in range(rng.randrange(50)))) for i in range(80)]
     rows += [(None, "a b"), (None, "c d"), (200, None), (201, ""), (202, " \n"), (5, "same id again"), (203, "w " * 100_000)]
