@@ -14,10 +14,13 @@ no rows; columns other than the id and text are ignored.
 from __future__ import annotations
 
 import json
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +33,25 @@ from lumenfold.llm import shared
 #: Fixed: the pre-token pattern of the byte-level vocabulary, with Unicode's white space spelled out.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: A bound on the memory of a worker: the cache of encoded pre-tokens is emptied beyond so many.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_500_000
 BATCH_CHARS = 1 << 20
 
 
+_other_space = re.compile(r"[^\S\n ]").search
+_edges = (" ", "\n")
+
+
+def single_spaced(text: str) -> bool:
+    """Whether the text is words with one space or line feed between each two, and no other white space."""
+    return bool(text) and not (text.startswith(_edges) or text.endswith(_edges) or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or _other_space(text))
+
+
 class Encoder:
-    """Ids of whole texts as bytes of dtype. BPE never merges across pre-tokens, so each distinct
-    pre-token is encoded once by the tokenizer and its ids are reused."""
+    """Ids of whole texts as bytes of dtype.
+
+    BPE never merges across pre-tokens, so the tokenizer encodes each distinct pre-token once and its ids
+    are reused. In a text whose words are parted by single spaces or line feeds, every word with its space
+    is a row of whole pre-tokens, so such texts are looked up by words; others are cut by the pattern."""
 
     def __init__(self, path: str, end_id: int | None):
         import regex
@@ -50,20 +65,62 @@ class Encoder:
         self.split = regex.compile(PRE_TOKEN).findall if not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec["model"].get("ignore_merges") else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
-        self.cache: dict[str, bytes] = {}
+        self.bare: dict[str, bytes] = {}  # the ids of a string
+        self.spaced: dict[str, bytes] = {}  # the ids of a space and a string
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
+        kind = "H" if self.dtype.itemsize == 2 else "I"
+        if sys.byteorder == "little":
+            return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _learn(self, spaced: set[str], bare: set[str]) -> None:
+        letters = {w for w in spaced if w.isalpha()}  # one pre-token, with its space
+        pieces = {w: self.split(" " + w) for w in spaced - letters}
+        wanted = set(chain.from_iterable(pieces.values())) | set(chain.from_iterable(map(self.split, bare)))
+        letters |= {p[1:] for p in wanted if p[0] == " " and p[1:] not in self.spaced}
+        self._add(self.spaced, list(letters), " ")
+        self._add(self.bare, [p for p in wanted if p[0] != " " and p not in self.bare], "")
+        self.spaced.update((w, b"".join(map(self._ids, p))) for w, p in pieces.items() if len(p) > 1)
+        self.bare.update((w, b"".join(map(self._ids, self.split(w)))) for w in bare)
+
+    def _add(self, to: dict[str, bytes], words: list[str], before: str) -> None:
+        for i in range(0, len(words), 4000):
+            part = words[i : i + 4000]
+            to.update(zip(part, self._bytes([before + w for w in part] if before else part)))
+
+    def _ids(self, piece: str) -> bytes:
+        return self.spaced[piece[1:]] if piece[0] == " " else self.bare[piece]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [bool(self.split) and not any(a in t for a in self.added) for t in texts]
-        words = [self.split(t) if p else () for t, p in zip(texts, plain)]
-        new = list(set(chain.from_iterable(words)).difference(self.cache))
-        for i in range(0, len(new), 4000):
-            self.cache.update(zip(new[i : i + 4000], self._bytes(new[i : i + 4000])))
-        out = [b"".join(map(self.cache.__getitem__, w)) + self.end if p else self._bytes([t])[0] + self.end for t, w, p in zip(texts, words, plain)]
-        if len(self.cache) > CACHE_ENTRIES:
-            self.cache.clear()
+        plans, spaced, bare, known = [], set(), {"\n"}, self.spaced.__contains__
+        for text in texts:
+            if not self.split or any(a in text for a in self.added):
+                plans.append(text)
+            elif single_spaced(text):
+                lines = [line.split(" ") for line in text.split("\n")]
+                for line in lines:
+                    bare.add(line[0])
+                    spaced.update(filterfalse(known, line[1:]))
+                plans.append(lines)
+            else:
+                pieces = self.split(text)
+                for p in pieces:
+                    (spaced if p[0] == " " else bare).add(p[1:] if p[0] == " " else p)
+                plans.append((pieces,))
+        self._learn(spaced.difference(self.spaced), bare.difference(self.bare))
+        out, feed = [], self.bare["\n"] if self.split else b""
+        for plan in plans:
+            if isinstance(plan, str):
+                ids = self._bytes([plan])[0]
+            elif isinstance(plan, tuple):
+                ids = b"".join(map(self._ids, plan[0]))
+            else:
+                ids = feed.join(self.bare[line[0]] + b"".join(map(self.spaced.__getitem__, line[1:])) for line in plan)
+            out.append(ids + self.end)
+        if len(self.spaced) + len(self.bare) > CACHE_ENTRIES:
+            self.spaced.clear()
+            self.bare.clear()
         return out
 
 
