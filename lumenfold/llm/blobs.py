@@ -27,12 +27,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def pack(*columns: np.ndarray | bytes) -> bytes:
+def pack(*columns: np.ndarray | bytes, level: int = 1) -> bytes:
     """Arrays and byte strings as one compressed string."""
     parts = [c if isinstance(c, bytes) else c.dtype.str.encode() + b"\0" + c.tobytes() for c in columns]
     kinds = bytes(isinstance(c, bytes) for c in columns)
     head = np.array([len(parts), *map(len, parts)], "<i8").tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(head + kinds + b"".join(parts))
+    return zstandard.ZstdCompressor(level=level).compress(head + kinds + b"".join(parts))
 
 
 def unpack(blob: bytes) -> list:

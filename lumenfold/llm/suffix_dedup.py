@@ -8,7 +8,8 @@ that can't match: every window of ``length`` bytes is keyed by the least hash of
 (its minimizer), and runs of windows with one key travel as one fragment, packed, to the key's task. Equal
 windows have equal keys, so all occurrences of a string meet. Copies of whole fragments are merged
 before they are sent, and again where they arrive, and fragments that can share no window
-are dropped there: what is left is cut into shards of bounded size. A suffix array of each shard is made by Larsson-Sadakane
+are dropped there; keys
+with very many fragments, as a common passage makes them, are told apart by window: what is left is cut into shards of bounded size. A suffix array of each shard is made by Larsson-Sadakane
 refinement (only groups not yet sorted are refined, by ranks at doubled distance), common prefixes by
 Kasai's theorem (only those that can't be derived from the one before are compared), and groups with a
 common prefix of ``length`` bytes share a string. Where one key's fragments fill several shards, the
@@ -33,10 +34,13 @@ from lumenfold.llm import blobs, shared
 
 LENGTH = 100
 GRAM = 16
-BLOCK_BYTES = 4 << 20
-SHARD_BYTES = 2 << 20
+BLOCK_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 #: Bytes of text whose fragments go to one task.
 BYTES_A_TASK = 16 << 20
+#: Text of the sample that finds keys with very many fragments, and the least number that counts.
+SAMPLE_BYTES = 16 << 20
+HOT_LEAST = 64
 LEAST = -(1 << 62)
 
 
@@ -150,6 +154,12 @@ class Fragments:
         return Fragments(self.key[rows], self.doc[rows], self.start[rows], self.count[rows], self.inner[rows], self.text, self.at[rows])
 
 
+def joined(parts: list[Fragments]) -> Fragments:
+    """Fragments of one text, one list after another."""
+    columns = [np.concatenate([getattr(p, c) for p in parts]) for c in ("key", "doc", "start", "count", "inner", "at")]
+    return Fragments(*columns[:5], parts[0].text, columns[5])
+
+
 def _grams(text: np.ndarray) -> np.ndarray:
     """A hash of the 16 bytes from each place on (short at the end)."""
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(np.concatenate([text, np.zeros(15, np.uint8)]), 8)).view("<u8").ravel()
@@ -196,9 +206,15 @@ def fragments(pieces: list[tuple[int, int, bytes]], length: int) -> tuple[Fragme
 
 
 def digest_of(f: Fragments, length: int) -> np.ndarray:
-    """The sum of the hashes of each fragment's grams, as fragments() gives it."""
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_grams(f.text), dtype=np.uint64)])
-    return total[f.at + f.count + length - GRAM] - total[f.at]
+    """The sum of the hashes of each fragment's grams, as fragments() gives it. The text is hashed about a
+    MB at a time; fragments are in its order."""
+    out, last = np.zeros(len(f), np.uint64), f.at + f.count + length - 1
+    edges = np.flatnonzero(np.diff(f.at >> 20, prepend=-1))
+    for i, j in zip(edges, np.append(edges[1:], len(f))):
+        base = f.at[i]
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_grams(f.text[base : last[i:j].max()]), dtype=np.uint64)])
+        out[i:j] = total[last[i:j] - GRAM + 1 - base] - total[f.at[i:j] - base]
+    return out
 
 
 def merge_copies(f: Fragments, digest: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -213,7 +229,7 @@ def merge_copies(f: Fragments, digest: np.ndarray, length: int) -> tuple[np.ndar
     rest = np.flatnonzero(~new)
     member, first = order[rest], head[rest]
     equal = np.zeros(len(member), bool)
-    step = max(1, (8 << 20) // (int(f.count.max()) + length)) if len(member) else 1
+    step = max(1, (1 << 20) // (int(f.count.max()) + length)) if len(member) else 1
     for i in range(0, len(member), step):
         m, k = member[i : i + step], first[i : i + step]
         alike = (f.count[m] == f.count[k]) & (f.key[m] == f.key[k])
@@ -340,20 +356,63 @@ def _pieces(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[list[tup
         yield sorted(held, key=lambda p: p[:2])
 
 
-def _scatter(length: int, buckets: int):
+def _sampled_keys(length: int):
+    """Keys of fragments with their numbers."""
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pieces in _pieces(batches, length):
+            key, n = np.unique(fragments(pieces, length)[0].key, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)[n > 1]), pa.array(n[n > 1])], ["key", "n"])
+
+    return sample
+
+
+def hot_keys(docs: DataFrame, length: int, size: int, buckets: int) -> np.ndarray:
+    """Keys that would fill more than a quarter of a task, by a sample of documents; at most four for each
+    task. This only plans where fragments go: results are the same for any list."""
+    share = max(1, size // SAMPLE_BYTES)
+    least = max(HOT_LEAST, size // share // 45 // (4 * buckets))
+    sampled = docs.where(F.pmod(F.xxhash64("k"), F.lit(share)) == 0).select("k", "text").mapInArrow(_sampled_keys(length), "key long, n long")
+    rows = sampled.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "key").limit(4 * buckets).collect()
+    return np.sort(np.array([r["key"] for r in rows], np.int64).view(np.uint64))
+
+
+def by_far_end(f: Fragments, grams: np.ndarray, length: int) -> Fragments:
+    """Each window as a fragment of its own, keyed also by its 16 bytes farthest from the least gram.
+
+    Windows of a common passage that reach into what stands around it differ at that end, so they are
+    spread over many keys; those within the passage are alike, and merged."""
+    owner, on = np.repeat(np.arange(len(f)), f.count), _within(f.count)
+    at, width = f.at[owner] + on, length - GRAM + 1
+    near = np.concatenate([np.zeros(0, np.int64), *(grams[at[i : i + (1 << 14), None] + np.arange(width)].argmin(axis=1) for i in range(0, len(at), 1 << 14))])
+    first = near * 2 >= width
+    far = np.where(first, at, at + length - GRAM)
+    ends = grams[far] + first.astype(np.uint64)
+    return Fragments(blobs.mix(f.key[owner] + blobs.mix(ends)), f.doc[owner], f.start[owner] + on, np.ones(len(at), np.int64), np.zeros(len(at), bool), f.text, at)
+
+
+def _scatter(length: int, buckets: int, hot: np.ndarray):
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pieces in _pieces(batches, length):
             f, digest = fragments(pieces, length)
             keep, copies = merge_copies(f, digest, length)
-            rows = []
-            doc, start, stop = to_spans(f.doc[copies], f.start[copies], f.start[copies] + f.count[copies] + length - 1)
+            rows, spans, kept = [], [f.take(copies)], f.take(keep)
+            is_hot = np.isin(kept.key, hot)
+            if is_hot.any():
+                single = by_far_end(kept.take(np.flatnonzero(is_hot)), _grams(f.text), length)
+                few, again = merge_copies(single, digest_of(single, length), length)
+                spans.append(single.take(again))
+                kept = joined([kept.take(np.flatnonzero(~is_hot)), single.take(few)])
+            gone = joined(spans)
+            doc, start, stop = to_spans(gone.doc, gone.start, gone.start + gone.count + length - 1)
             for i, columns in blobs.cut((blobs.mix(doc) % np.uint64(buckets)).astype(np.int32), doc, start, stop):
                 rows.append((i, blobs.pack(*columns)))
-            data, kept = f.text.tobytes(), f.take(keep)
+            data = f.text.tobytes()
             bucket = (blobs.mix(kept.key) % np.uint64(buckets)).astype(np.int32)
             for i, (key, doc, start, count, inner, at) in blobs.cut(bucket, kept.key, kept.doc, kept.start, kept.count, kept.inner, kept.at):
                 text = b"".join([data[a:b] for a, b in zip(at.tolist(), (at + count + length - 1).tolist())])
-                rows.append((i, blobs.pack(key, doc, start.astype(np.uint32) if start.max() < 1 << 32 else start, count.astype(np.uint32), inner, text)))
+                # Within a task 32 bits tell keys apart well enough: keys that collide are compared for nothing.
+                rows.append((i, blobs.pack((blobs.mix(key) >> np.uint64(32)).astype(np.uint32), doc, start.astype(np.uint32) if start.max() < 1 << 32 else start, count.astype(np.uint32), inner, text, level=3)))
             yield blobs.batch(rows)
         shared.trim()
 
@@ -362,25 +421,32 @@ def _scatter(length: int, buckets: int):
 
 def _gather(length: int, shard_bytes: int):
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spans, parts = [], []
+        spans, parts, packed = [], [], []
         for b in batches:
             for x in b.column(1):
                 columns = blobs.unpack(x.as_py())
-                (spans if len(columns) == 3 else parts).append(columns)
+                if len(columns) == 3:
+                    spans.append(columns)
+                else:
+                    parts.append([c.copy() for c in columns[:5]])
+                    packed.append(x.as_py())
+                del columns
         found = [tuple(s) for s in spans]
         if parts:
-            key, doc, start, count, inner = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in enumerate((np.uint64, np.int64, np.int64, np.int64, bool)))
-            # Only fragments whose key comes twice can share a window: the others' bytes are let go.
-            twice = repeated(key) | inner
-            size, edge, text = count + length - 1, 0, []
-            for p in parts:
-                here = slice(edge, edge + len(p[0]))
-                edge += len(p[0])
-                text.append(np.frombuffer(p[5], np.uint8)[np.repeat(twice[here], size[here])])
-                p[5] = b""
+            key, doc, start, count, inner = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in enumerate((np.uint32, np.int64, np.int64, np.int64, bool)))
+            edges = np.cumsum([0, *(len(p[0]) for p in parts)])
             del parts
+            # Only fragments whose key comes twice can share a window: of the others no bytes are kept. The
+            # blobs stay packed meanwhile, and are opened again one by one.
+            twice = repeated(key) | inner
+            size, text = count + length - 1, []
+            for x, a, b in zip(packed, edges, edges[1:]):
+                if twice[a:b].any():
+                    text.append(np.frombuffer(blobs.unpack(x)[5], np.uint8)[np.repeat(twice[a:b], size[a:b])])
+            del packed
             size = size[twice]
-            f = Fragments(key[twice], doc[twice], start[twice], count[twice], inner[twice], np.concatenate(text), np.cumsum(size) - size)
+            f = Fragments(key[twice].astype(np.uint64), doc[twice], start[twice], count[twice], inner[twice], np.concatenate(text) if text else np.zeros(0, np.uint8), np.cumsum(size) - size)
+            del text, key, doc, start, count
             keep, copies = merge_copies(f, digest_of(f, length), length)
             found.append((f.doc[copies], f.start[copies], f.start[copies] + f.count[copies] + length - 1))
             kept = f.take(keep)
@@ -421,7 +487,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH, s
     """(k, lists): for each document key with repeats, lists of span borders, unmerged between tasks. docs: (k, text)."""
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     buckets = max(shared.partitions(spark), -(-size // BYTES_A_TASK))
-    dealt = blobs.deal(docs.select("k", "text").mapInArrow(_scatter(length, buckets), blobs.SCHEMA), buckets)
+    hot = hot_keys(docs, length, size, buckets)
+    dealt = blobs.deal(docs.select("k", "text").mapInArrow(_scatter(length, buckets, hot), blobs.SCHEMA), buckets)
     return dealt.mapInArrow(_gather(length, shard_bytes), "k long, spans array<bigint>").groupBy("k").agg(F.collect_list("spans").alias("lists"))
 
 

@@ -41,8 +41,9 @@ def samples(rng):
     return rows
 
 
-@pytest.mark.parametrize("length,shard_bytes", [(40, 1 << 20), (100, 1 << 20), (30, 400)])
-def test_equals_brute_force(spark, length, shard_bytes, monkeypatch):
+@pytest.mark.parametrize("length,shard_bytes,hot_least", [(40, 1 << 20, 64), (100, 1 << 20, 64), (30, 400, 64), (40, 1 << 20, 2), (100, 500, 3)])
+def test_equals_brute_force(spark, length, shard_bytes, hot_least, monkeypatch):
+    monkeypatch.setattr(S, "HOT_LEAST", hot_least)
     rows = samples(random.Random(length))
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, k int, spans string").repartition(5)
     got = [tuple(r)[:5] for r in S.remove_repeats(spark, docs, length, shard_bytes).collect()]
@@ -68,7 +69,7 @@ def test_pieces_of_a_long_text(monkeypatch):
     rng = random.Random(5)
     text = "".join(rng.choice("ab") for _ in range(4000))
     batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([text, text[300:3000]])], ["k", "text"])
-    out = [b for b in S._gather(100, 1 << 20)(S._scatter(100, 3)(iter([batch])))]
+    out = [b for b in S._gather(100, 1 << 20)(S._scatter(100, 3, np.zeros(0, np.uint64))(iter([batch])))]
     spans = np.concatenate([b.column(1).flatten().to_numpy().reshape(-1, 2) for b in out])
     docs = np.concatenate([np.repeat(b.column(0).to_numpy(), b.column(1).value_lengths().to_numpy() // 2) for b in out])
     d, a, b = S.to_spans(docs, spans[:, 0], spans[:, 1])
@@ -95,3 +96,15 @@ def test_suffix_array_and_prefixes(seed):
 
     expected = [0] + [prefix(suffix(a), suffix(b)) for a, b in zip(order, order[1:])]
     assert S.common_prefixes(text, stops, order).tolist() == expected
+
+
+def test_common_passage_is_spread(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(30))
+    rows = [(i, " ".join([*(word() for _ in range(8)), passage, *(word() for _ in range(8))])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    keyed = docs.select(docs["doc_id"].alias("k"), "text")
+    assert len(S.hot_keys(keyed, 100, 300 * 300, 4))
+    got = [tuple(r)[:5] for r in S.remove_repeats(spark, docs, 100).collect()]
+    assert sorted(got) == sorted(brute(rows, 100))
