@@ -17,12 +17,24 @@ def filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", F.upper("o_orderpriority").alias("priority"), (F.col("o_totalprice") * 1.5).alias("with_tax"))
 
 
+@query("prj2_sample")
+def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stratified sample: other shares of each event type, the same rows for the same seed."""
+    return table(spark, sf_dir, "events").sampleBy("event_type", {"click": 0.1, "purchase": 0.5, "view": 0.2}, seed=7)
+
+
 @query("prj3_pipe_sql", "SELECT event_type, count(*) AS n FROM events WHERE value > 10 GROUP BY event_type")
 def pipe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_views(spark, sf_dir, ("events",))
     return spark.sql("FROM events |> WHERE value > 10 |> AGGREGATE count(*) AS n GROUP BY event_type")
 
 
+@query("jn1_inner", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 200000")
+def inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders").where("o_totalprice > 200000")
+    return orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+
+
 @query("jn2_left_outer", "SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_totalprice > 300000 GROUP BY c_custkey")
 def left_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The right side is counted before the join: at most one row a customer meets it.

@@ -44,6 +44,17 @@ def st3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(E.sessions(stored(spark, sf_dir)))
 
 
+@query("st4_dedup", "SELECT DISTINCT user_id, event_type FROM events")
+def st4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir).dropDuplicates(["user_id", "event_type"]).select("user_id", "event_type")
+
+
+@query("st5_running_state", "SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY user_id")
+def st5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last state of running_totals() is a plain aggregation."""
+    return plain(stored(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+
+
 @query("st6_interval_join", """
 SELECT v.user_id AS key, v.event_id AS left_id, p.event_id AS right_id
 FROM events v JOIN events p ON v.user_id = p.user_id AND p.ts > v.ts AND p.ts <= v.ts + INTERVAL '1 hour'
