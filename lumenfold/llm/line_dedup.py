@@ -50,8 +50,9 @@ def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int,
     lines = shared.write_table(spark, _lines(rows, depth, min_tokens), "lines")
     # Documents are counted in two steps, each with partial sums: no leaf, however common, is one task's.
     # A kind of line has one leaf, so the kind alone is the key wherever both would be: its rows are then
-    # dealt anew, and the skewed side of the join by leaf can be split.
+    # dealt anew; with the leaves in a table of their own, the skewed side of the join by leaf can be split.
     shared_leaves = lines.groupBy("leaf", "k", "t").agg(F.lit(1)).groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
+    shared_leaves = shared.write_table(spark, shared_leaves, "line-leaves")
     here = lines.join(shared_leaves, "leaf")
     kinds = here.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("leaf").alias("leaf"), F.min(F.struct("k", "t", "line_no")).alias("place"))
     # One line of each kind is fetched from its document.
@@ -68,6 +69,8 @@ def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int,
     members = lines.join(templates, "kind").select("leaf", F.col("own").isNull().alias("general"), F.coalesce("own", F.lit(0)).alias("own"), "k", "t", "line_no")
     key = ["leaf", "general", "own"]
     recurring = members.groupBy(*key, "k", "t").agg(F.lit(1)).groupBy(*key).agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select(*key)
+    # As a table of its own it is dealt by the join, which can then split a common template's side.
+    recurring = shared.write_table(spark, recurring, "line-recurring")
     return members.join(recurring, key).groupBy("k", "t").agg(F.collect_set("line_no").alias("line_nos"))
 
 
