@@ -20,7 +20,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,6 @@ from lumenfold.llm import shared
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: A bound on the memory of a worker: the cache of encoded pre-tokens is emptied beyond so many.
 CACHE_ENTRIES = 1_500_000
-BATCH_CHARS = 1 << 20
 
 
 _other_space = re.compile(r"[^\S\n ]").search
@@ -50,8 +49,9 @@ class Encoder:
     """Ids of whole texts as bytes of dtype.
 
     BPE never merges across pre-tokens, so the tokenizer encodes each distinct pre-token once and its ids
-    are reused. In a text whose words are parted by single spaces or line feeds, every word with its space
-    is a row of whole pre-tokens, so such texts are looked up by words; others are cut by the pattern."""
+    are reused. In a text whose words are parted by single spaces or line feeds, every word with what
+    stands before it is a row of whole pre-tokens, so such texts are looked up by words; others are cut by
+    the pattern."""
 
     def __init__(self, path: str, end_id: int | None):
         import regex
@@ -66,7 +66,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         self.bare: dict[str, bytes] = {}  # the ids of a string
-        self.spaced: dict[str, bytes] = {}  # the ids of a space and a string
+        self.words: dict[str, bytes] = {}  # the ids of a space and a string; of the string alone if it starts with a line feed
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.dtype.itemsize == 2 else "I"
@@ -74,54 +74,39 @@ class Encoder:
             return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _learn(self, spaced: set[str], bare: set[str]) -> None:
-        letters = {w for w in spaced if w.isalpha()}  # one pre-token, with its space
-        pieces = {w: self.split(" " + w) for w in spaced - letters}
-        wanted = set(chain.from_iterable(pieces.values())) | set(chain.from_iterable(map(self.split, bare)))
-        letters |= {p[1:] for p in wanted if p[0] == " " and p[1:] not in self.spaced}
-        self._add(self.spaced, list(letters), " ")
-        self._add(self.bare, [p for p in wanted if p[0] != " " and p not in self.bare], "")
-        self.spaced.update((w, b"".join(map(self._ids, p))) for w, p in pieces.items() if len(p) > 1)
-        self.bare.update((w, b"".join(map(self._ids, self.split(w)))) for w in bare)
-
-    def _add(self, to: dict[str, bytes], words: list[str], before: str) -> None:
-        for i in range(0, len(words), 4000):
-            part = words[i : i + 4000]
-            to.update(zip(part, self._bytes([before + w for w in part] if before else part)))
-
-    def _ids(self, piece: str) -> bytes:
-        return self.spaced[piece[1:]] if piece[0] == " " else self.bare[piece]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        plans, spaced, bare, known = [], set(), {"\n"}, self.spaced.__contains__
-        for text in texts:
-            if not self.split or any(a in text for a in self.added):
-                plans.append(text)
-            elif single_spaced(text):
-                lines = [line.split(" ") for line in text.split("\n")]
-                for line in lines:
-                    bare.add(line[0])
-                    spaced.update(filterfalse(known, line[1:]))
-                plans.append(lines)
-            else:
-                pieces = self.split(text)
-                for p in pieces:
-                    (spaced if p[0] == " " else bare).add(p[1:] if p[0] == " " else p)
-                plans.append((pieces,))
-        self._learn(spaced.difference(self.spaced), bare.difference(self.bare))
-        out, feed = [], self.bare["\n"] if self.split else b""
-        for plan in plans:
-            if isinstance(plan, str):
-                ids = self._bytes([plan])[0]
-            elif isinstance(plan, tuple):
-                ids = b"".join(map(self._ids, plan[0]))
-            else:
-                ids = feed.join(self.bare[line[0]] + b"".join(map(self.spaced.__getitem__, line[1:])) for line in plan)
-            out.append(ids + self.end)
-        if len(self.spaced) + len(self.bare) > CACHE_ENTRIES:
-            self.spaced.clear()
+    def _pieces(self, pieces: list[str]) -> bytes:
+        """The ids of pre-tokens."""
+        if new := list({p for p in pieces if p not in self.bare}):
+            self.bare.update(zip(new, self._bytes(new)))
+        return b"".join(map(self.bare.__getitem__, pieces))
+
+    def _learn(self, words: list[str]) -> None:
+        pieces = {w: self.split(w if w[0] == "\n" else " " + w) for w in words if not w.isalpha()}
+        # One pre-token each, with its space: words of letters, and what other words start with.
+        plain = {w for w in words if w.isalpha()} | {h for p in pieces.values() if p[0][0] == " " and (h := p[0][1:]) not in self.words}
+        plain = list(plain)
+        self.words.update(zip(plain, self._bytes([" " + w for w in plain])))
+        for w, (head, *rest) in pieces.items():
+            self.words[w] = self.words[head[1:]] + self._pieces(rest) if head[0] == " " else self._pieces([head, *rest])
+
+    def _encode(self, text: str) -> bytes:
+        if not self.split or any(a in text for a in self.added):
+            return self._bytes([text])[0]
+        if not single_spaced(text):
+            return self._pieces(self.split(text))
+        first, *words = text.replace("\n", " \n").split(" ")
+        found = list(map(self.words.get, words))
+        if None in found:
+            self._learn(list({w for w, ids in zip(words, found) if ids is None}))
+            found = map(self.words.__getitem__, words)
+        return self._pieces(self.split(first)) + b"".join(found)
+
+    def encode(self, text: str) -> bytes:
+        ids = self._encode(text) + self.end
+        if len(self.words) + len(self.bare) > CACHE_ENTRIES:
+            self.words.clear()
             self.bare.clear()
-        return out
+        return ids
 
 
 @lru_cache(2)
@@ -141,17 +126,10 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
         encoder = _encoder(tokenizer, end_id)
         with shared.publish(f"{name}.bin") as f:
             for batch in chain([first], batches):
-                texts = batch.column(1)
-                at = 0
-                while at < batch.num_rows:
-                    group, chars = [], 0
-                    while at < batch.num_rows and chars < BATCH_CHARS:
-                        group.append(texts[at].as_py() or "")
-                        chars += len(group[-1])
-                        at += 1
-                    for data in encoder.encode(group):
-                        f.write(data)
-                        lengths.append(len(data) // encoder.dtype.itemsize)
+                for text in batch.column(1):
+                    data = encoder.encode(text.as_py() or "")
+                    f.write(data)
+                    lengths.append(len(data) // encoder.dtype.itemsize)
                 nulls += batch.column(0).null_count
                 ids.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))
         offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])

@@ -44,6 +44,10 @@ def test_pieces_equal_whole_encoding():
     tok = tokenizers.Tokenizer.from_file(tokenizer_path())
     enc = token_files.Encoder(tokenizer_path(), None)
     alphabet = ["a", "B", " ", "  ", "\n", "\t", "'s", "'", "1", "23", "é", "ß", "中", "!", "?!", "\u3000", "\u200b", "😀", "\r\n", "ñ", "_", "\u0301", "²", "Ⅷ", "\x1f", "\x00"]
+    prose = ["word", "it's", "end.", "(a", "b)", "l'eau", "x1y", "ñ", "—", "''", "9", "don't", "\u0301z", "日本"]
+    for _ in range(200):
+        text = "".join(w + rng.choice("  \n") for w in rng.choices(prose, k=rng.randrange(1, 20))).strip()
+        assert np.frombuffer(enc.encode(text), "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
     for _ in range(400):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
-        assert np.frombuffer(enc.encode([text])[0], "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+        assert np.frombuffer(enc.encode(text), "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
