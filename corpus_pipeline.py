@@ -43,8 +43,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order in which the mixing stage has stored the documents, read back."""
     path = shared.new_path(spark, "pipeline-tokens")
-    ordered = docs.withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
-    parts = token_files.write_token_files(spark, ordered, path, tokenizer_path(), END_ID, order=["_file", "_row"])
+    name = F.col("_metadata.file_name")
+    ordered = docs.withColumns({"_part": F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), "_file": name, "_row": F.col("_metadata.row_index")})
+    parts = token_files.write_token_files(spark, ordered, path, tokenizer_path(), END_ID, order=["_part", "_file", "_row"])
     return token_files.read_token_files(spark, path, parts)
 
 
