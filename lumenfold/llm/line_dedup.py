@@ -63,6 +63,7 @@ def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int,
     votes = found.select("leaf", "n", F.posexplode("tokens").alias("at", "token")).groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
     constant = votes.groupBy("leaf", "at").agg(F.max(F.struct("n", "token")).alias("most"), F.sum("n").alias("all"))
     template = constant.where(F.col("most.n") * 2 > F.col("all")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("at", "most.token"))).alias("template"))
+    template = shared.write_table(spark, template, "line-constants")
     fixed = F.aggregate(F.transform("tokens", lambda x, i: F.coalesce((F.try_element_at("template", i) == x).cast("int"), F.lit(0))), F.lit(0), lambda a, x: a + x)
     own = F.when(fixed * 2 >= F.size("tokens"), F.lit(None).cast("long")).otherwise(F.col("kind"))
     templates = shared.write_table(spark, found.join(template, "leaf").select("kind", own.alias("own")), "line-templates")
