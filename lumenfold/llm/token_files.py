@@ -24,6 +24,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from lumenfold.llm import shared
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: A bound on the memory of a worker: the cache of encoded pre-tokens is emptied beyond so many.
 CACHE_ENTRIES = 1_500_000
+BATCH_CHARS = 4 << 20
 
 
 _other_space = re.compile(r"[^\S\n ]").search
@@ -66,7 +68,7 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         self.bare: dict[str, bytes] = {}  # the ids of a string
-        self.words: dict[str, bytes] = {}  # the ids of a space and a string; of the string alone if it starts with a line feed
+        self.words: dict[str, bytes] = {}  # the ids of a space and a string; of the string alone if it starts with a line feed, or after a carriage return
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.dtype.itemsize == 2 else "I"
@@ -81,32 +83,53 @@ class Encoder:
         return b"".join(map(self.bare.__getitem__, pieces))
 
     def _learn(self, words: list[str]) -> None:
-        pieces = {w: self.split(w if w[0] == "\n" else " " + w) for w in words if not w.isalpha()}
+        pieces = {w: self.split(w[1:] if w[0] == "\r" else w if w[0] == "\n" else " " + w) for w in words if not w.isalpha()}
         # One pre-token each, with its space: words of letters, and what other words start with.
         plain = {w for w in words if w.isalpha()} | {h for p in pieces.values() if p[0][0] == " " and (h := p[0][1:]) not in self.words}
         plain = list(plain)
         self.words.update(zip(plain, self._bytes([" " + w for w in plain])))
+        self._pieces([p for w in pieces.values() for p in w if p[0] != " "])  # all at once, for what follows
         for w, (head, *rest) in pieces.items():
             self.words[w] = self.words[head[1:]] + self._pieces(rest) if head[0] == " " else self._pieces([head, *rest])
 
-    def _encode(self, text: str) -> bytes:
-        if not self.split or any(a in text for a in self.added):
-            return self._bytes([text])[0]
-        if not single_spaced(text):
-            return self._pieces(self.split(text))
-        first, *words = text.replace("\n", " \n").split(" ")
-        found = list(map(self.words.get, words))
-        if None in found:
-            self._learn(list({w for w, ids in zip(words, found) if ids is None}))
-            found = map(self.words.__getitem__, words)
-        return self._pieces(self.split(first)) + b"".join(found)
-
-    def encode(self, text: str) -> bytes:
-        ids = self._encode(text) + self.end
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, with the end id."""
+        out, plain = [b""] * len(texts), []
+        for i, text in enumerate(texts):
+            if not self.split or any(a in text for a in self.added):
+                out[i] = self._bytes([text])[0] + self.end
+            elif single_spaced(text):
+                plain.append(i)
+            else:
+                out[i] = self._pieces(self.split(text)) + self.end
+        if plain:
+            self._by_words([texts[i] for i in plain], plain, out)
         if len(self.words) + len(self.bare) > CACHE_ENTRIES:
             self.words.clear()
             self.bare.clear()
-        return ids
+        return out
+
+    def _by_words(self, texts: list[str], places: list[int], out: list[bytes]) -> None:
+        """Each distinct word of the texts is looked up once; the ids of all are then gathered as arrays.
+
+        A word after a line feed keeps it as its first character, and a text's first word gets a carriage
+        return, which no such text has, to tell that no space stands before it."""
+        marked = ["\r" + t.replace("\n", " \n") for t in texts]
+        coded = pc.split_pattern(pa.array([" ".join(marked)], pa.large_string()), " ").flatten().dictionary_encode()
+        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        ids = list(map(self.words.get, words))
+        if None in ids:
+            self._learn([w for w, x in zip(words, ids) if x is None])
+            ids = list(map(self.words.__getitem__, words))
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        # 32 bits suffice: a batch is some MB of text, or one text, which is less than 2^31 characters.
+        size = np.fromiter(map(len, ids), np.int32, len(ids)) // self.dtype.itemsize
+        start, length = (np.cumsum(size, dtype=np.int32) - size)[index], size[index]
+        stop = np.cumsum(length, dtype=np.int32)
+        tokens = flat[np.repeat(start - stop + length, length) + np.arange(stop[-1], dtype=np.int32)]
+        ends = stop[np.cumsum([m.count(" ") + 1 for m in marked]) - 1]
+        for place, a, b in zip(places, [0, *ends.tolist()], ends.tolist()):
+            out[place] = tokens[a:b].tobytes() + self.end
 
 
 @lru_cache(2)
@@ -115,6 +138,19 @@ def _encoder(path: str, end_id: int | None) -> Encoder:
     return Encoder(path, end_id)
 
 
+def _groups(texts: pa.Array) -> Iterator[list[str]]:
+    """The texts, some MB at a time."""
+    group, chars = [], 0
+    for text in texts:
+        group.append(text.as_py() or "")
+        chars += len(group[-1])
+        if chars >= BATCH_CHARS:
+            yield group
+            group, chars = [], 0
+    if group:
+        yield group
+
+
 def _writer(path: str, tokenizer: str, end_id: int | None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -126,10 +162,10 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
         encoder = _encoder(tokenizer, end_id)
         with shared.publish(f"{name}.bin") as f:
             for batch in chain([first], batches):
-                for text in batch.column(1):
-                    data = encoder.encode(text.as_py() or "")
-                    f.write(data)
-                    lengths.append(len(data) // encoder.dtype.itemsize)
+                for group in _groups(batch.column(1)):
+                    for data in encoder.encode(group):
+                        f.write(data)
+                        lengths.append(len(data) // encoder.dtype.itemsize)
                 nulls += batch.column(0).null_count
                 ids.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False))
         offsets = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
