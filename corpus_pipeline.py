@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import decontaminate, mixing, quality, shared, simhash_dedup, token_files
+from lumenfold.llm import decontaminate, minhash_dedup, mixing, quality, shared, simhash_dedup, token_files
 from lumenfold.llm.queries import END_ID, MIX_BLOCK, WEIGHTS, table, tokenizer_path
 
 
@@ -22,12 +22,16 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 #: Shingles of five words, and those of three words as in the operator's own query.
 SHINGLES = (5, 3)
+#: Documents are near-duplicates from this Jaccard similarity of their sets of five-word shingles on.
+SIMILAR = 0.8
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id. Documents are linked if their
-    SimHash fingerprints of either kind of shingles are within 3 of 64 bits."""
-    return simhash_dedup.keep_one(spark, docs, words=SHINGLES, radius=3)
+    """Of each group of near-duplicates the document with the least id. Documents are linked if
+    their five-word shingles are similar enough, or if their SimHash fingerprints of either kind of
+    shingles are within 3 of 64 bits."""
+    similar = minhash_dedup.near_duplicates(spark, docs, words=5, least=SIMILAR)
+    return simhash_dedup.keep_one(spark, docs, words=SHINGLES, radius=3, also=similar)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,18 +37,22 @@ SMALL = 64
 VARIANTS_A_TASK = 4_000_000
 
 
-def fingerprint(text: bytes, words: int) -> int:
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """The shingles' hashes, in order; a text of fewer words is one shingle, one without words none."""
     tokens = text.lower().split()
-    if not tokens:
-        return 0
     if len(tokens) <= words:
-        return xxhash.xxh64_intdigest(b" ".join(tokens), SEED)
+        return np.array([xxhash.xxh64_intdigest(b" ".join(tokens), SEED)] if tokens else [], np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     n = len(tokens) - words + 1
     cuts = map(slice, starts[:n].tolist(), ends[words - 1 :].tolist())
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64, n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64, n)
+
+
+def fingerprint(text: bytes, words: int) -> int:
+    hashes = shingles(text, words)
+    n = len(hashes)
     votes = np.zeros(64, np.int64)
     for at in range(0, n, 255 * 64):
         part = hashes[at : at + 255 * 64]
@@ -198,15 +202,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, radius
     return rows.join(components, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, words: tuple[int, ...] = (5,), radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(spark: SparkSession, docs: DataFrame, words: tuple[int, ...] = (5,), radius: int = 3, id_col: str = "doc_id", text_col: str = "text", also: DataFrame | None = None) -> DataFrame:
     """The rows of docs, with their columns, without those that have a near-duplicate of smaller id.
 
     With several lengths of shingles, documents are linked if the fingerprints of any length are within
-    the radius. Only the ids that go are joined with the texts. Rows without an id stay, and so do rows
-    that share the least id of their group."""
+    the radius; also has further links, as (doc_id, component_id). Only the ids that go are joined with
+    the texts. Rows without an id stay, and so do rows that share the least id of their group."""
+    groups = [near_duplicates(spark, docs, k, radius, id_col, text_col) for k in words] + ([] if also is None else [also])
     links = None
-    for k in words:
-        found = near_duplicates(spark, docs, k, radius, id_col, text_col).where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
+    for group in groups:
+        found = group.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
         links = found if links is None else links.unionByName(found)
-    gone = connected_components(spark, links) if len(words) > 1 else links.select(F.col("u").alias("node")).distinct()
+    gone = connected_components(spark, links) if len(groups) > 1 else links.select(F.col("u").alias("node")).distinct()
     return docs.join(gone.select(F.col("node").alias(id_col)), id_col, "left_anti")
