@@ -22,10 +22,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ids of one range: what a window holds at once.
-RANGE_BITS = 8
-#: Ranges of one range of ranges.
-UPPER_BITS = 12
+from lumenfold.llm import ranges
+
+#: Ranges of ranges that one window holds: with ranges.UPPER_BITS, more than any table's.
+TOP_BITS = 24
 #: Fixed: white space between words.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -53,17 +53,19 @@ def _signed(x: int) -> int:
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, next_id, next_text, part), each row beside the next by id.
 
-    Ids are cut into ranges. The first row of each range is copied, as a closing row, to the range before
-    it (the first range's to the last), so every window holds one range and no row moves twice."""
-    least = F.lit(-(1 << 62))
+    Ids are cut into ranges of alike size, whatever their values. The first row of each range is copied, as
+    a closing row, to the range before it (the first range's to the last), so every window holds one range
+    and no other row moves twice. The range before is found among ranges of ranges."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("part", F.coalesce(F.shiftright("doc_id", RANGE_BITS), least))
-    firsts = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id"), F.col("text"))).alias("first")).withColumn("upper", F.shiftright("part", UPPER_BITS))
-    bounds = firsts.groupBy("upper").agg(F.max("part").alias("last"))
-    every = Window.partitionBy(F.lit(0)).orderBy("upper")
-    before_upper = bounds.withColumn("prior", F.coalesce(F.lag("last").over(every), F.max("last").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))).select("upper", "prior")
+    cut = ranges.plan(rows, F.col("doc_id"))
+    rows = rows.withColumn("part", cut.part(F.col("doc_id")))
+    firsts = rows.groupBy("part").agg(F.min(F.struct(F.col("doc_id"), F.col("text"))).alias("first")).withColumn("upper", F.shiftright("part", ranges.UPPER_BITS))
+    bounds = firsts.groupBy("upper").agg(F.max("part").alias("last")).withColumn("top", F.shiftright("upper", TOP_BITS))
+    before_upper = bounds.withColumn("prior", F.lag("last").over(Window.partitionBy("top").orderBy("upper"))).select("upper", "prior")
     linked = firsts.withColumn("here", F.lag("part").over(Window.partitionBy("upper").orderBy("part"))).join(before_upper, "upper")
-    closing = linked.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text").alias("text"), F.coalesce("here", "prior").alias("part"), F.lit(1).alias("closes"))
+    # The very first range has none before it; its first row closes the last range.
+    end = firsts.agg(F.max("part")).first()[0]
+    closing = linked.select(F.col("first.doc_id").alias("doc_id"), F.col("first.text").alias("text"), F.coalesce("here", "prior", F.lit(end).cast("long")).alias("part"), F.lit(1).alias("closes"))
     both = rows.withColumn("closes", F.lit(0)).unionByName(closing)
     order = Window.partitionBy("part").orderBy("closes", F.col("doc_id").asc_nulls_first(), "text")
     return both.withColumns({"next_id": F.lead("doc_id").over(order), "next_text": F.lead("text").over(order)}).where("closes = 0").drop("closes")

@@ -109,28 +109,30 @@ WITH RECURSIVE c AS (
   FROM (
     SELECT slot, done, total,
       list_min(list_filter(list_transform(w, lambda x, k: CASE WHEN (done[k] * total) // x <= slot
-        THEN {{'d': ((done[k] + 1) * total + x - 1) // x, 'i': k::BIGINT}} END), lambda o: o IS NOT NULL)) AS pick
+        THEN {{'d': ((done[k] + 1) * total + x - 1) // x, 'heavy': -x, 'i': k::BIGINT}} END), lambda o: o IS NOT NULL)) AS pick
     FROM sim, s WHERE slot < total
   )
 ), cycle AS (
   SELECT names[i] AS source, w[i] AS w, total, slot - 1 AS slot, ordinal, (ordinal * total) // w[i] AS release, deadline
   FROM sim, s WHERE i IS NOT NULL
 ), r AS (
-  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS rank FROM documents
+  SELECT doc_id, source, length(text)::INTEGER AS text_chars, sha256(coalesce(text, '')) AS text_sha256,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id, text) - 1 AS rank FROM documents
 ), b AS (
   SELECT r.*, rank // {MIX_BLOCK} AS block FROM r
 ), p AS (
-  SELECT b.doc_id, b.source, b.rank, b.block, (b.block // k.w) * k.total + k.slot AS slot,
+  SELECT b.doc_id, b.source, b.text_chars, b.text_sha256, b.rank, b.block, (b.block // k.w) * k.total + k.slot AS slot,
          (b.block // k.w) * k.total + k.release AS release, (b.block // k.w) * k.total + k.deadline AS deadline
   FROM b JOIN cycle k ON b.source = k.source AND b.block % k.w = k.ordinal
 )
-SELECT doc_id, source, block, slot, release, deadline, row_number() OVER (ORDER BY slot, rank) - 1 AS position FROM p
+SELECT doc_id, source, text_chars, text_sha256, block, slot, release, deadline, row_number() OVER (ORDER BY slot, rank) - 1 AS position FROM p
 """
 
 
 @query("op5_mixing", OP5_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"), WEIGHTS, MIX_BLOCK, ties=())
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), WEIGHTS, MIX_BLOCK)
+    return mixed.select("doc_id", "source", F.char_length("text").alias("text_chars"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"), *mixing.ADDED)
 
 
 @query("op6_quality")

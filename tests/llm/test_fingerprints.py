@@ -76,3 +76,13 @@ def test_documents_within(spark):
     got = {(r["doc_id"], r["extra"]): r["n_within"] for r in P.documents_within(df, df["doc_id"] % 10 == 0).collect()}
     near = lambda x: sum((x % 2**64 ^ y % 2**64).bit_count() <= 3 for _, y, _ in rows) - 1
     assert got == {(i, "kept"): near(x) if i is not None and i % 10 == 0 else None for i, x, _ in rows}
+
+
+def test_next_with_hashed_ids_and_one_id_repeated(spark):
+    rng = random.Random(8)
+    rows = [(rng.getrandbits(64) - (1 << 63), f"h{i}") for i in range(3000)] + [(77, f"same {rng.randrange(50)}") for _ in range(10_000)] + [(i, f"d{i}") for i in range(3000)] + [(None, "n2"), (None, "n1")]
+    rng.shuffle(rows)
+    got = P.with_next(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "text", "next_id", "next_text").collect()
+    rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    expected = [(*r, *n) for r, n in zip(rows, rows[1:] + rows[:1])]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
