@@ -41,7 +41,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the schedule: the rows of the files, in the order of the files."""
-    return mixing.mix(docs, WEIGHTS, MIX_BLOCK).orderBy("position").select(*docs.columns)
+    return mixing.interleave(docs, WEIGHTS, MIX_BLOCK)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
