@@ -25,12 +25,12 @@ def _small(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
-def connected_components(spark: SparkSession, edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(u, v) long edges -> (node, root): root is the least node of the component, for all nodes but roots."""
     oriented = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     path = shared.new_path(spark, "edges")
     now, seen = shared.write_table(spark, oriented, "edges", path), None
-    for _ in range(max_rounds):
+    while True:
         # A sum of hashes as decimal: no overflow under ANSI arithmetic.
         mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
         if (mark["n"], mark["h"]) == seen or not mark["n"]:
@@ -40,6 +40,4 @@ def connected_components(spark: SparkSession, edges: DataFrame, max_rounds: int
         now = shared.write_table(spark, _small(_large(now).distinct()).distinct(), "edges", new)
         shared.drop_path(spark, path)
         path = new
-    else:
-        raise RuntimeError("the components did not settle")
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -1,18 +1,21 @@
-"""Near-duplicates by the Jaccard similarity of their sets of shingles, with MinHash to find candidates.
-
-A text's set holds the XXH64 values of its shingles, cut as for the SimHash fingerprints. Two texts are
-linked if their sets' Jaccard similarity is at least ``least``, which is computed from the texts of every
-candidate pair. Candidates agree in all ROWS values of one of BANDS bands of MinHash values: a pair of
-similarity s is missed with probability (1 - s^ROWS)^BANDS, which at 0.8 is 7 in 100,000 and less above.
-
-Texts of equal sets are one node. Members of a band's bucket are first compared with its least, then with
-its largest member, and at last all those pairs are compared whose members are in different components
-still, so that a large group of copies costs no square of its size, and no candidate pair that could
-change a component is left out.
-
-Defined results: texts without words have an empty set and no links here; a null doc_id is a component
-id only where no other id is in the component; repeated rows give repeated rows; other columns are
-ignored.
+"""Near-duplicates by SimHash and by the Jaccard similarity of shingle sets: what the SimHash links miss.
+
+SimHash fingerprints within 3 of 64 bits stand for a similarity of about 0.95, so by themselves they miss
+nine in ten pairs at 0.8. This module takes the SimHash links of ``simhash_dedup`` and adds those of texts
+whose sets of shingles have a Jaccard similarity of at least ``least``, which is computed from the texts of
+every candidate pair. Candidates agree in all ROWS values of one of BANDS bands of MinHash values: a pair
+of similarity s is missed with probability (1 - s^ROWS)^BANDS, which at 0.8 is 7 in 100,000 and less above.
+Fingerprints and MinHash values come from one pass over the texts, and all links meet in one table.
+
+Texts of equal sets are one node. Members of a band's bucket are compared with its least and its largest
+member; then those pairs are compared whose members are in different components still, so that a large
+group of copies costs no square of its size, and no candidate pair that could change a component is left
+out. Before texts are fetched for such a pair, its MinHash values must agree in three fifths at least
+(at a similarity of 0.8 fewer than one pair in a million doesn't).
+
+Defined results: texts without words have an empty set and fingerprint zero, so that they are linked if
+SimHash is asked for, and give no row if not; a null doc_id is a component id only where no other id is
+in the component; repeated rows give repeated rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,11 +30,14 @@ from pyspark.sql import functions as F
 
 from lumenfold.llm import blobs, shared
 from lumenfold.llm.components import connected_components
-from lumenfold.llm.simhash_dedup import SEED, shingles
+from lumenfold.llm.simhash_dedup import SEED, fingerprint, fingerprint_links, shingles
 
 ROWS, BANDS = 5, 24
+#: The share of MinHash values that a pair must have in common before its texts are compared.
+LEAST_ALIKE = 0.6
 FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ROWS * BANDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 LEAST_ID = -(1 << 62)
+SKETCH = "doc_id long, k long, t long, sig long, fp long, mins binary, bands array<long>"
 
 
 def minhashes(hashes: np.ndarray) -> np.ndarray:
@@ -50,28 +56,37 @@ def _band_keys(mins: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def text_hash(text):
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
     doc_id = F.col(id_col).cast("long")
-    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LEAST_ID)).alias("k"), F.xxhash64(text).alias("t"), text.alias("text"))
+    return docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LEAST_ID)).alias("k"), text_hash(text).alias("t"), text.alias("text"))
 
 
 def _sketch(words: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            places, sigs, mins = [], [], []
+            sigs, fps, mins = np.zeros(b.num_rows, np.uint64), np.zeros(b.num_rows, np.uint64), []
+            has = np.zeros(b.num_rows, bool)
             for i, text in enumerate(b.column(3).cast(pa.binary())):
-                found = np.unique(shingles(text.as_py() or b"", words))
+                hashes = shingles(text.as_py() or b"", words)
+                fps[i] = fingerprint(hashes)
+                found = np.unique(hashes)
+                sigs[i] = xxhash.xxh64_intdigest(found.tobytes(), SEED)
                 if len(found):
-                    places.append(i)
-                    sigs.append(xxhash.xxh64_intdigest(found.tobytes(), SEED))
+                    has[i] = True
                     mins.append(minhashes(found))
-            if not places:
-                continue
-            keys = pa.array(_band_keys(np.stack(mins)).ravel())
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(len(places) + 1, dtype=np.int32) * BANDS), keys)
-            kept = b.take(pa.array(places))
-            yield pa.RecordBatch.from_arrays([*kept.columns[:3], pa.array(np.array(sigs, np.uint64).view(np.int64)), bands], ["doc_id", "k", "t", "sig", "bands"])
+            values = np.stack(mins) if mins else np.zeros((0, len(FACTORS)), np.uint64)
+            # One byte of each value tells most unequal ones apart.
+            low = iter(blobs.mix(values).astype(np.uint8))
+            short = [next(low).tobytes() if h else b"" for h in has.tolist()]
+            ends = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
+            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(_band_keys(values).ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sigs.view(np.int64)), pa.array(fps.view(np.int64)), pa.array(short, pa.binary()), bands], ["doc_id", "k", "t", "sig", "fp", "mins", "bands"])
+        shared.trim()
 
     return sketch
 
@@ -86,50 +101,92 @@ def _verify(words: int, least: float):
         last, heads = None, np.zeros(0, np.uint64)
         for b in batches:
             keep = []
-            for u, v, x, y in zip(b.column(0), b.column(1), b.column(2).cast(pa.binary()), b.column(3).cast(pa.binary())):
+            for v, x, y in zip(b.column(1), b.column(2).cast(pa.binary()), b.column(3).cast(pa.binary())):
                 if v != last:  # many pairs in a row have one head
                     last, heads = v, np.unique(shingles(y.as_py(), words))
                 keep.append(jaccard(np.unique(shingles(x.as_py(), words)), heads) >= least)
             yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+        shared.trim()
 
     return verify
 
 
-def _pairs(members: DataFrame, step: str) -> DataFrame:
-    """Pairs (u, v) to be compared among members (key, sig, c: component) of buckets with several components."""
-    if step == "all":
-        other = members.select("key", F.col("sig").alias("v"), F.col("c").alias("d"))
-        pairs = members.join(other, "key").where("c < d").select(F.col("sig").alias("u"), "v")
-    else:
-        pairs = members.where(F.col("c") != F.col(f"{step}.c")).select(F.col("sig").alias("u"), F.col(f"{step}.sig").alias("v"))
-    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (u, v, c, d, x, y: MinHash bytes) -> those that may be similar, without the bytes."""
+    n = len(FACTORS)
+    for b in batches:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, n) for c in b.columns[4:6])
+        yield b.select([0, 1, 2, 3]).filter(pa.array((x == y).mean(axis=1) >= LEAST_ALIKE))
+
+
+def _compare(spark: SparkSession, pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
+    """The pairs (u, v) whose texts are similar."""
+    both = pairs.select("u", "v").join(texts.select(F.col("sig").alias("u"), F.col("text").alias("x")), "u").join(texts.select(F.col("sig").alias("v"), F.col("text").alias("y")), "v")
+    return shared.write_table(spark, both.select("u", "v", "x", "y").mapInArrow(_verify(words, least), "u long, v long"), "band-links")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, component_id: least doc_id reachable over links), for documents with words."""
+def _simhash_edges(spark: SparkSession, rows: DataFrame, radius: int) -> DataFrame:
+    """Edges (u, v) between nodes whose fingerprints are within the radius."""
+    heads = shared.write_table(spark, rows.groupBy("fp").agg(F.min("sig").alias("head")), "fp-heads")
+    same = rows.select("fp", "sig").distinct().join(heads, "fp").where("sig != head").select(F.col("sig").alias("u"), F.col("head").alias("v"))
+    near = fingerprint_links(spark, heads, radius)
+    far = near.join(heads.select(F.col("fp").alias("u"), F.col("head").alias("a")), "u").join(heads.select(F.col("fp").alias("v"), F.col("head").alias("b")), "v")
+    return same.unionByName(far.select(F.col("a").alias("u"), F.col("b").alias("v")))
+
+
+def groups(spark: SparkSession, docs: DataFrame, words: int = 5, least: float = 0.8, radius: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, t: hash of the text, component_id: least doc_id reachable over links of similar sets and,
+    if a radius is given, of fingerprints within it)."""
     keyed = _keyed(docs, id_col, text_col)
-    rows = shared.write_table(spark, keyed.mapInArrow(_sketch(words), "doc_id long, k long, t long, sig long, bands array<long>"), "sketches")
-    nodes = shared.write_table(spark, rows.groupBy("sig").agg(F.min("doc_id").alias("least"), F.min(F.struct("k", "t")).alias("place"), F.first("bands").alias("bands")), "sketch-nodes")
+    rows = shared.write_table(spark, keyed.mapInArrow(_sketch(words), SKETCH), "sketches")
+    if radius is None:
+        rows = rows.where(F.size("bands") > 0)
+    links = shared.write_table(spark, _simhash_edges(spark, rows, radius), "fp-links") if radius is not None else spark.createDataFrame([], "u long, v long")
+    nodes = shared.write_table(spark, rows.groupBy("sig").agg(F.min("doc_id").alias("least"), F.min(F.struct("k", "t")).alias("place"), F.first("bands").alias("bands"), F.first("mins").alias("mins")), "sketch-nodes")
     banded = nodes.select("sig", F.explode("bands").alias("key"))
     # Tables of their own are dealt by the joins, which can then split a common key's side.
-    common = shared.write_table(spark, banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "band-keys")
+    common = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("low"), F.max("sig").alias("high")).where("n > 1").drop("n")
+    common = shared.write_table(spark, common, "band-keys")
     members = shared.write_table(spark, banded.join(common, "key"), "band-members")
     wanted = members.select("sig").distinct().join(nodes, "sig").select("sig", F.col("place.k").alias("k"), F.col("place.t").alias("t"))
     texts = shared.write_table(spark, keyed.join(wanted, ["k", "t"]).select("sig", "text").dropDuplicates(["sig"]), "band-texts")
-    compared = links = spark.createDataFrame([], "u long, v long")
-    roots = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    for step in ("low", "high", "all"):
-        placed = members.join(roots, members["sig"] == roots["node"], "left").select("key", "sig", F.coalesce("root", "sig").alias("c"))
-        placed = shared.write_table(spark, placed, "band-placed")
-        entry = F.struct("sig", "c")
-        mixed = placed.groupBy("key").agg(F.min(entry).alias("low"), F.max(entry).alias("high"), F.min("c").alias("a"), F.max("c").alias("z")).where("a < z")
-        mixed = shared.write_table(spark, mixed.drop("a", "z"), "band-mixed")
-        pairs = _pairs(shared.write_table(spark, placed.join(mixed, "key"), "band-split"), step)
-        pairs = shared.write_table(spark, pairs.join(compared, ["u", "v"], "left_anti"), "band-pairs")
-        both = pairs.join(texts.select(F.col("sig").alias("u"), F.col("text").alias("x")), "u").join(texts.select(F.col("sig").alias("v"), F.col("text").alias("y")), "v")
-        found = shared.write_table(spark, both.select("u", "v", "x", "y").mapInArrow(_verify(words, least), "u long, v long"), "band-links")
-        compared, links = compared.unionByName(pairs), links.unionByName(found)
-        roots = connected_components(spark, links)
-    joined = nodes.join(roots, nodes["sig"] == roots["node"], "left").select("sig", F.coalesce("root", "sig").alias("root"), "least")
+    ends = members.select("sig", F.explode(F.array("low", "high")).alias("end")).where("sig != end")
+    pairs = ends.select(F.greatest("sig", "end").alias("u"), F.least("sig", "end").alias("v")).distinct()
+    pairs = shared.write_table(spark, pairs, "band-pairs")
+    links = links.unionByName(_compare(spark, pairs, texts, words, least))
+    roots = connected_components(spark, links)
+    # What is left in buckets with several components: pairs across them that were not compared.
+    placed = members.select("key", "sig").join(roots, members["sig"] == roots["node"], "left").select("key", "sig", F.coalesce("root", "sig").alias("c"))
+    placed = shared.write_table(spark, placed, "band-placed")
+    mixed = shared.write_table(spark, placed.groupBy("key").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a < z").select("key"), "band-mixed")
+    split = shared.write_table(spark, placed.join(mixed, "key"), "band-split")
+    other = split.select("key", F.col("sig").alias("v"), F.col("c").alias("d"))
+    across = split.join(other, "key").where("c < d").select(F.greatest("sig", "v").alias("u"), F.least("sig", "v").alias("v"), "c", "d").distinct().join(pairs, ["u", "v"], "left_anti")
+    short = nodes.select("sig", "mins")
+    across = across.join(short.select(F.col("sig").alias("u"), F.col("mins").alias("x")), "u").join(short.select(F.col("sig").alias("v"), F.col("mins").alias("y")), "v")
+    across = shared.write_table(spark, across.select("u", "v", "c", "d", "x", "y").mapInArrow(_alike, "u long, v long, c long, d long"), "band-across")
+    more = across.join(_compare(spark, across, texts, words, least), ["u", "v"]).select(F.col("c").alias("u"), F.col("d").alias("v"))
+    # The rest of the links join whole components, so only those are looked at again.
+    upper = connected_components(spark, more).select(F.col("node").alias("top"), F.col("root").alias("above"))
+    joined = nodes.join(roots, nodes["sig"] == roots["node"], "left").select("sig", "least", F.coalesce("root", "sig").alias("top"))
+    joined = joined.join(upper, "top", "left").select("sig", "least", F.coalesce("above", "top").alias("root"))
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select("doc_id", "sig").join(joined.join(ids, "root").select("sig", "component_id"), "sig").select("doc_id", "component_id")
+    return rows.select("doc_id", "t", "sig").join(joined.join(ids, "root").select("sig", "component_id"), "sig").select("doc_id", "t", "component_id")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, least: float = 0.8, radius: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, component_id) of groups()."""
+    return groups(spark, docs, words, least, radius, id_col, text_col).drop("t")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int = 3, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, with their columns, without those that have a near-duplicate of smaller id.
+
+    Only ids and hashes of the texts that go are joined with docs; the hash tells rows apart that share an
+    id but not a group. Rows without an id go only if their group has one with an id; rows that share the
+    least id of their group stay."""
+    found = groups(spark, docs, words, least, radius, id_col, text_col)
+    gone = found.where(F.coalesce(F.col("component_id") < F.col("doc_id"), F.col("component_id").isNotNull()))
+    gone = shared.write_table(spark, gone.select(F.col("doc_id").alias("_gone_id"), F.col("t").alias("_gone_t")).distinct(), "near-duplicates")
+    here = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)) == F.coalesce("_gone_id", F.lit(LEAST_ID))
+    return docs.join(gone, here & (text_hash(F.col(text_col).cast("string")) == F.col("_gone_t")), "left_anti")

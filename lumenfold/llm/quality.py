@@ -5,26 +5,25 @@ each step fits a shallow tree of one feature (two levels over its bins) to the c
 adds a small part of it to that feature's lookup table. Then the pairs of features that explain most of
 what is left get tables of their own in the same way. A score is the logistic of a sum of table cells.
 
-Features are taken from whole texts, once, without a shuffle; only the narrow feature table is joined
-with the labels. The model is fitted on the driver on at most ``sample_rows`` labelled rows (those of
-least hash of their id, so the same ones in every run): that is the bound on what the driver gets.
+Features are taken from whole texts without a shuffle; only the narrow feature table is joined with the
+labels. The model is fitted on the driver on at most ``sample_rows`` labelled rows (the labels of least
+hash of their id, so the same ones in every run): that is the bound on what the driver gets and on what
+is broadcast.
 
 Defined results: a null or blank text has all features zero and is scored like any other; labels that
 are null, or whose id is null, teach nothing; an id labelled more than once counts once, with the least
-label; documents with equal ids are each scored; with no labels of one of the two kinds every score is
-the share of label 1 (0.5 without labels); other columns are ignored.
+label; documents with equal ids are each scored; with labels of one kind only every score is 0.999 or
+0.001 (the share of label 1, kept off 0 and 1), and 0.5 without labels; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
 from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 from operator import eq
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,6 +70,7 @@ def feature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for b in batches:
             rows = [features(t.as_py() or b"") for t in b.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.float32()))], ["doc_id", "features"])
+        shared.trim()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(compute, "doc_id long, features array<float>")
 
@@ -177,42 +177,51 @@ def held_out(id_col: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def fit(rows: DataFrame, labels: DataFrame, label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> AdditiveModel:
-    """A model from feature rows (doc_id, features) and labels (doc_id, label); never from held-out rows."""
-    known = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).alias("label"))
+def known_labels(labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(doc_id, label) to learn from, never of held-out rows: those of least hash of their id, sample_rows at most."""
+    known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("label"))
     known = known.where(~held_out()).groupBy("doc_id").agg(F.min("label").alias("label"))
-    n = known.count()
-    if n > sample_rows:  # what tasks send to the driver stays near the bound, too
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < math.ceil((1 << 20) * min(1.0, 1.2 * sample_rows / n)))
-    sample = rows.join(known, "doc_id").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)), F.xxhash64("doc_id"), "doc_id", "features").limit(sample_rows).select("features", "label").collect()
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+
+
+def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> AdditiveModel:
+    """A model from labelled feature rows (doc_id, features, label)."""
+    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(sample_rows).select("features", "label").collect()
     x = np.array([r["features"] for r in sample], np.float32).reshape(len(sample), len(FEATURES))
     return AdditiveModel().fit(x, np.array([float(r["label"] > 0) for r in sample]))
 
 
-def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, label_id_col: str = "doc_id") -> DataFrame:
     """(doc_id, held_out, score, predicted) for each document."""
     rows = shared.write_table(spark, feature_table(docs, id_col, text_col), "features")
-    model = fit(rows, labels, sample_rows=sample_rows)
+    # The labels are sample_rows at most.
+    model = fit(rows.join(F.broadcast(known_labels(labels, id_col=label_id_col, sample_rows=sample_rows)), "doc_id"), sample_rows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column(1).values.to_numpy().reshape(-1, len(FEATURES)) if b.num_rows else np.zeros((0, len(FEATURES)), np.float32)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.score(x))], ["doc_id", "score"])
+        shared.trim()
 
     scored = rows.mapInArrow(score, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, label_id_col: str = "doc_id") -> DataFrame:
     """The rows of docs that the classifier accepts, with their columns.
 
-    The text's features are computed a second time, beside each row: cheaper than a shuffle of all
-    texts, and rows with equal ids are told apart."""
-    model = fit(feature_table(docs, id_col, text_col), labels)
-
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        x = np.array([features((t or "").encode()) for t in texts], np.float32).reshape(-1, len(FEATURES))
-        return pd.Series(model.score(x))
+    The model needs the features of labelled documents alone, which are found first, by ids that are
+    sample_rows at most; all documents' features are then computed once, beside each row, without a shuffle
+    of the texts, and so that rows with equal ids are told apart."""
+    known = known_labels(labels, id_col=label_id_col, sample_rows=sample_rows)
+    taught = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi")
+    model = fit(feature_table(taught).join(F.broadcast(known), "doc_id"), sample_rows)
+
+    @F.arrow_udf("double")
+    def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            x = np.array([features(t.as_py() or b"") for t in texts.cast(pa.binary())], np.float32).reshape(-1, len(FEATURES))
+            yield pa.array(model.score(x))
+        shared.trim()
 
     return docs.where(score(F.col(text_col).cast("string")) >= threshold)

@@ -18,6 +18,7 @@ rows give repeated rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations, repeat
 
@@ -31,17 +32,17 @@ from lumenfold.llm import blobs, shared
 from lumenfold.llm.components import connected_components
 
 SEED = 42
+#: Bytes of a text that are cut into words at once.
+CHUNK_BYTES = 4 << 20
+_space = re.compile(rb"[\x20\x09-\x0D]").search
 #: Above so many members a collision is searched by variants rather than by comparing its members.
 SMALL = 64
 #: Variants for a task of the collision stage.
 VARIANTS_A_TASK = 4_000_000
 
 
-def shingles(text: bytes, words: int) -> np.ndarray:
-    """The shingles' hashes, in order; a text of fewer words is one shingle, one without words none."""
-    tokens = text.lower().split()
-    if len(tokens) <= words:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(tokens), SEED)] if tokens else [], np.uint64)
+def _full(tokens: list[bytes], words: int) -> np.ndarray:
+    """The hashes of all runs of so many tokens."""
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -50,8 +51,29 @@ def shingles(text: bytes, words: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, cuts), repeat(SEED)), np.uint64, n)
 
 
-def fingerprint(text: bytes, words: int) -> int:
-    hashes = shingles(text, words)
+def shingles(text: bytes, words: int) -> np.ndarray:
+    """The shingles' hashes, in order; a text of fewer words is one shingle, one without words none.
+
+    Long texts are cut into words some MB at a time."""
+    out, carry, at = [], [], 0
+    while at < len(text):
+        end = at + CHUNK_BYTES
+        gap = _space(text, end) if end < len(text) else None
+        end = gap.start() if gap else len(text)
+        tokens = carry + text[at:end].lower().split()
+        at = end
+        if len(tokens) >= words:
+            out.append(_full(tokens, words))
+            carry = tokens[len(tokens) - words + 1 :]
+        else:
+            carry = tokens
+    if out:
+        return out[0] if len(out) == 1 else np.concatenate(out)
+    return np.array([xxhash.xxh64_intdigest(b" ".join(carry), SEED)] if carry else [], np.uint64)
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """The fingerprint of a text's shingle hashes."""
     n = len(hashes)
     votes = np.zeros(64, np.int64)
     for at in range(0, n, 255 * 64):
@@ -70,8 +92,9 @@ def with_fingerprints(docs: DataFrame, words: int, id_col: str = "doc_id", text_
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1).cast(pa.binary())
-            fps = np.fromiter((fingerprint(t.as_py() or b"", words) for t in texts), np.uint64, b.num_rows)
+            fps = np.fromiter((fingerprint(shingles(t.as_py() or b"", words)) for t in texts), np.uint64, b.num_rows)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+        shared.trim()
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(compute, "doc_id long, fp long")
 
@@ -102,6 +125,7 @@ def _emit(radius: int, buckets: int):
                 owners = np.concatenate([np.repeat(part, len(ball)) for _, ball, _ in balls])
                 rows = [(i, blobs.pack(k, o)) for i, (k, o) in blobs.cut((keys % np.uint64(buckets)).astype(np.int32), keys, owners)]
                 yield blobs.batch(rows)
+        shared.trim()
 
     return emit
 
@@ -178,6 +202,8 @@ def _verify(radius: int):
         pairs = np.ascontiguousarray(pairs).view(np.int64)
         for i in range(0, len(pairs), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(pairs[i : i + 100_000, 0]), pa.array(pairs[i : i + 100_000, 1])], ["u", "v"])
+        del keys, owners, us, vs, u, v, pairs
+        shared.trim()
 
     return verify
 
@@ -200,18 +226,3 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = 5, radius
     components = joined.join(least, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(components, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
-
-
-def keep_one(spark: SparkSession, docs: DataFrame, words: tuple[int, ...] = (5,), radius: int = 3, id_col: str = "doc_id", text_col: str = "text", also: DataFrame | None = None) -> DataFrame:
-    """The rows of docs, with their columns, without those that have a near-duplicate of smaller id.
-
-    With several lengths of shingles, documents are linked if the fingerprints of any length are within
-    the radius; also has further links, as (doc_id, component_id). Only the ids that go are joined with
-    the texts. Rows without an id stay, and so do rows that share the least id of their group."""
-    groups = [near_duplicates(spark, docs, k, radius, id_col, text_col) for k in words] + ([] if also is None else [also])
-    links = None
-    for group in groups:
-        found = group.where(F.col("component_id") < F.col("doc_id")).select(F.col("doc_id").alias("u"), F.col("component_id").alias("v"))
-        links = found if links is None else links.unionByName(found)
-    gone = connected_components(spark, links) if len(groups) > 1 else links.select(F.col("u").alias("node")).distinct()
-    return docs.join(gone.select(F.col("node").alias(id_col)), id_col, "left_anti")

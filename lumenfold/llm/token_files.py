@@ -18,7 +18,7 @@ import re
 import sys
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -33,8 +33,11 @@ from lumenfold.llm import shared
 
 #: Fixed: the pre-token pattern of the byte-level vocabulary, with Unicode's white space spelled out.
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: A bound on the memory of a worker: the cache of encoded pre-tokens is emptied beyond so many.
-CACHE_ENTRIES = 1_500_000
+#: A bound on a worker's cache of encoded words. It has two halves: a full one becomes the old one, and
+#: what is met again moves out of that, so the words in use stay.
+CACHE_BYTES = 128 << 20
+#: What an entry takes beside its characters and ids.
+ENTRY_BYTES = 200
 BATCH_CHARS = 4 << 20
 
 
@@ -69,6 +72,9 @@ class Encoder:
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
         self.bare: dict[str, bytes] = {}  # the ids of a string
         self.words: dict[str, bytes] = {}  # the ids of a space and a string; of the string alone if it starts with a line feed, or after a carriage return
+        self.old_bare: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.size = 0
 
     def _bytes(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.dtype.itemsize == 2 else "I"
@@ -76,21 +82,34 @@ class Encoder:
             return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _add(self, cache: dict[str, bytes], keys: list[str], ids: list[bytes]) -> None:
+        cache.update(zip(keys, ids))
+        self.size += sum(map(len, keys)) + sum(map(len, ids)) + ENTRY_BYTES * len(keys)
+
+    def _unknown(self, cache: dict[str, bytes], old: dict[str, bytes], keys: Iterable[str]) -> list[str]:
+        """The keys that neither half of a cache holds; those of the old half move to the new one."""
+        missing, found = [], []
+        for k in keys:
+            if k not in cache:
+                (found if k in old else missing).append(k)
+        if found:
+            self._add(cache, found, [old.pop(k) for k in found])
+        return missing
+
     def _pieces(self, pieces: list[str]) -> bytes:
         """The ids of pre-tokens."""
-        if new := list({p for p in pieces if p not in self.bare}):
-            self.bare.update(zip(new, self._bytes(new)))
+        if new := self._unknown(self.bare, self.old_bare, set(pieces)):
+            self._add(self.bare, new, self._bytes(new))
         return b"".join(map(self.bare.__getitem__, pieces))
 
     def _learn(self, words: list[str]) -> None:
         pieces = {w: self.split(w[1:] if w[0] == "\r" else w if w[0] == "\n" else " " + w) for w in words if not w.isalpha()}
         # One pre-token each, with its space: words of letters, and what other words start with.
-        plain = {w for w in words if w.isalpha()} | {h for p in pieces.values() if p[0][0] == " " and (h := p[0][1:]) not in self.words}
-        plain = list(plain)
-        self.words.update(zip(plain, self._bytes([" " + w for w in plain])))
+        plain = self._unknown(self.words, self.old_words, {w for w in words if w.isalpha()} | {p[0][1:] for p in pieces.values() if p[0][0] == " "})
+        self._add(self.words, plain, self._bytes([" " + w for w in plain]))
         self._pieces([p for w in pieces.values() for p in w if p[0] != " "])  # all at once, for what follows
-        for w, (head, *rest) in pieces.items():
-            self.words[w] = self.words[head[1:]] + self._pieces(rest) if head[0] == " " else self._pieces([head, *rest])
+        ids = [self.words[head[1:]] + self._pieces(rest) if head[0] == " " else self._pieces([head, *rest]) for head, *rest in pieces.values()]
+        self._add(self.words, list(pieces), ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, with the end id."""
@@ -104,9 +123,8 @@ class Encoder:
                 out[i] = self._pieces(self.split(text)) + self.end
         if plain:
             self._by_words([texts[i] for i in plain], plain, out)
-        if len(self.words) + len(self.bare) > CACHE_ENTRIES:
-            self.words.clear()
-            self.bare.clear()
+        if self.size > CACHE_BYTES // 2:
+            self.old_bare, self.old_words, self.bare, self.words, self.size = self.bare, self.words, {}, {}, 0
         return out
 
     def _by_words(self, texts: list[str], places: list[int], out: list[bytes]) -> None:
@@ -119,7 +137,7 @@ class Encoder:
         words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         ids = list(map(self.words.get, words))
         if None in ids:
-            self._learn([w for w, x in zip(words, ids) if x is None])
+            self._learn(self._unknown(self.words, self.old_words, [w for w, x in zip(words, ids) if x is None]))
             ids = list(map(self.words.__getitem__, words))
         flat = np.frombuffer(b"".join(ids), self.dtype)
         # 32 bits suffice: a batch is some MB of text, or one text, which is less than 2^31 characters.
@@ -213,6 +231,7 @@ def _reader(path: str):
                     crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1])]
                     at = np.asarray(offsets[lo : hi + 1])
                     yield pa.RecordBatch.from_arrays([doc_ids[lo:hi], pa.array(at[:-1] + row["base"]), pa.array(np.diff(at)), pa.array(crcs, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        shared.trim()
 
     return read
 

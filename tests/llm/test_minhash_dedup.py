@@ -6,6 +6,7 @@ pytest.importorskip("lumenfold.llm")
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from lumenfold.llm import minhash_dedup as M  # noqa: E402
+from tests.llm.test_simhash_dedup import brute_fp  # noqa: E402
 
 
 def shingle_set(text):
@@ -13,15 +14,19 @@ def shingle_set(text):
     return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
 
 
-def brute(rows, least=0.8):
+def brute(rows, least=0.8, radius=None):
+    """Component ids of documents, those without words only if a radius for fingerprints is given."""
     sets = [shingle_set(t) for _, t in rows]
+    fps = [brute_fp(t, 5) for _, t in rows]
     label = list(range(len(rows)))
     for i, a in enumerate(sets):
         for j, b in enumerate(sets[:i]):
-            if a and b and label[i] != label[j] and len(a & b) >= least * len(a | b):
+            if label[i] == label[j]:
+                continue
+            if a and b and len(a & b) >= least * len(a | b) or radius is not None and (fps[i] ^ fps[j]).bit_count() <= radius:
                 x, y = label[i], label[j]
                 label = [min(x, y) if z in (x, y) else z for z in label]
-    return {r[0]: min(q[0] for q, m in zip(rows, label) if m == k) for r, k, s in zip(rows, label, sets) if s}
+    return {r[0]: min(q[0] for q, m in zip(rows, label) if m == k) for r, k, s in zip(rows, label, sets) if s or radius is not None}
 
 
 def planted(seed, bases=40, copies=4):
@@ -65,10 +70,42 @@ def test_empty_table_null_ids_and_repeated_rows(spark):
     assert sorted(str(tuple(r)) for r in got) == ["(7, 7)"] * 3 + ["(None, 7)", "(None, None)"]
 
 
+def test_keep_one(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(900)]
+    edits = []
+    for n in range(6):
+        w = list(base)
+        for _ in range(n):
+            w[rng.randrange(len(w))] = f"new{n}"
+        edits.append(" ".join(w))
+    texts = [*edits, "alone " + " ".join(f"z{i}" for i in range(80)), None, "", "\n"]
+    rows = list(enumerate(texts)) + [(50, "a word"), (50, "another text"), (50, "another text"), (60, "A  word")]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows] + [(None, texts[0], 2, "y"), (None, "no copy", 2, "y")], "doc_id long, text string, fp int, t string")
+    kept = M.keep_one(spark, docs)
+    assert kept.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted([(0, texts[0]), (6, texts[6]), (7, None), (50, "a word"), (50, "another text"), (50, "another text"), (None, "no copy")], key=str)
+
+
 def test_the_pipeline_keeps_one_of_each_similar_group(spark):
     rows = planted(2)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = {r["doc_id"] for r in corpus_pipeline.distinct(spark, docs, "").collect()}
-    sets = {i: shingle_set(t) for i, t in rows if i in kept}
-    assert not [(i, j) for i in kept for j in kept if i < j and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
-    assert kept <= set(brute(rows).values())
+    assert kept == set(brute(rows, corpus_pipeline.SIMILAR, corpus_pipeline.RADIUS).values())
+
+
+def test_recall_of_planted_edits_near_the_threshold(spark):
+    """Pairs of texts with a similarity of 0.80 to 0.85, each unlike all others."""
+    rng, rows = random.Random(21), []
+    while len(rows) < 600:
+        base = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(150, 400))]
+        w = list(base)
+        for at in rng.sample(range(len(w)), max(1, len(w) // 46)):
+            w[at] = f"e{rng.randrange(10**6)}"
+        a, b = shingle_set(" ".join(base)), shingle_set(" ".join(w))
+        if 0.8 <= len(a & b) / len(a | b) < 0.85:
+            rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sum(r["component_id"] < r["doc_id"] for r in M.near_duplicates(spark, docs, radius=3).collect())
+    assert found == 300

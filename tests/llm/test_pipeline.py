@@ -9,33 +9,22 @@ import numpy as np  # noqa: E402
 
 from lumenfold.llm import decontaminate, quality, shared  # noqa: E402
 from lumenfold.llm.queries import END_ID, MIX_BLOCK, WEIGHTS, table, tokenizer_path  # noqa: E402
+from tests.llm.test_minhash_dedup import brute as brute_components  # noqa: E402
 from tests.llm.test_mixing import brute as brute_mix  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
 
 
-def brute_groups(kinds, radius=3):
-    """The first of each group that links of any kind connect."""
-    label = list(range(len(kinds[0])))
-    for i in range(len(label)):
-        for j in range(i):
-            if label[i] != label[j] and any((fps[i] ^ fps[j]).bit_count() <= radius for fps in kinds):
-                a, b = label[i], label[j]
-                label = [min(a, b) if x in (a, b) else x for x in label]
-    return [i for i, x in enumerate(label) if i == x]
-
-
 def test_stages_equal_brute_force(spark):
     from tokenizers import Tokenizer
 
-    from lumenfold.llm.simhash_dedup import fingerprint
-
     docs = table(spark, DATA, "documents")
     rows = sorted((r["doc_id"], r["text"], r["source"]) for r in docs.collect())
     labels = table(spark, DATA, "labels")
     scores = {r["doc_id"]: r["predicted"] for r in quality.classify(spark, docs, labels).collect()}
     good = [r for r in rows if scores[r[0]]]
-    distinct = [good[i] for i in brute_groups([[fingerprint(r[1].encode(), k) for r in good] for k in corpus_pipeline.SHINGLES])]
+    first = brute_components([(r[0], r[1]) for r in good], corpus_pipeline.SIMILAR, corpus_pipeline.RADIUS)
+    distinct = [r for r in good if first[r[0]] == r[0]]
     items = [(r["item_id"], r["text"]) for r in table(spark, DATA, "benchmark").collect()]
     index = decontaminate.Index(sorted(items))
     clean = [r for r in distinct if not index.search(r[1], decontaminate.LEAST_SCORE, decontaminate.LEAST_OVERLAP)]

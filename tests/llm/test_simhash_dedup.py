@@ -97,25 +97,9 @@ def test_large_group(radius):
     assert [find(i) for i in range(len(fps))] == brute_components(fps, radius)
 
 
-def test_keep_one_links_by_either_length(spark):
-    rng = random.Random(11)
-    base = [f"w{rng.randrange(10**6)}" for _ in range(900)]
-    edits = []
-    for n in range(6):
-        w = list(base)
-        for _ in range(n):
-            w[rng.randrange(len(w))] = f"new{n}"
-        edits.append(" ".join(w))
-    texts = [*edits, "alone " + " ".join(f"z{i}" for i in range(80)), None, ""]
-    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(None, texts[0], 2)], "doc_id long, text string, fp int")
-    for words in ((5,), (5, 3)):
-        label = list(range(len(texts)))
-        for i in range(len(texts)):
-            for j in range(i):
-                if any(bin(brute_fp(texts[i], k) ^ brute_fp(texts[j], k)).count("1") <= 3 for k in words):
-                    a, b = label[i], label[j]
-                    label = [min(a, b) if x in (a, b) else x for x in label]
-        kept = S.keep_one(spark, docs, words)
-        assert kept.columns == docs.columns
-        assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted(set(label))
-        assert kept.where("doc_id IS NULL").count() == 1
+def test_long_texts_are_cut_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    texts = [b" ".join(b"w%d" % rng.randrange(50) for _ in range(n)) for n in (0, 1, 2, 3, 4, 50, 400)] + [b"\n x" * 90, b"y" * 300, b"  " + b"ab " * 100 + b"   "]
+    whole = [[S.shingles(t, k).tolist() for t in texts] for k in (1, 3, 5)]
+    monkeypatch.setattr(S, "CHUNK_BYTES", 7)
+    assert [[S.shingles(t, k).tolist() for t in texts] for k in (1, 3, 5)] == whole
