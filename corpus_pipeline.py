@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import decontaminate, minhash_dedup, mixing, quality, shared, simhash_dedup, token_files
+from lumenfold.llm import decontaminate, minhash_dedup, mixing, quality, shared, token_files
 from lumenfold.llm.queries import END_ID, MIX_BLOCK, WEIGHTS, table, tokenizer_path
 
 
@@ -20,18 +20,18 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-#: Shingles of five words, and those of three words as in the operator's own query.
-SHINGLES = (5, 3)
-#: Documents are near-duplicates from this Jaccard similarity of their sets of five-word shingles on.
-SIMILAR = 0.8
+#: Words of a shingle, bits that linked fingerprints differ in at most, and the Jaccard similarity of sets
+#: of shingles from which documents are near-duplicates.
+SHINGLE, RADIUS, SIMILAR = 5, 3, 0.8
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id. Documents are linked if
-    their five-word shingles are similar enough, or if their SimHash fingerprints of either kind of
-    shingles are within 3 of 64 bits."""
-    similar = minhash_dedup.near_duplicates(spark, docs, words=5, least=SIMILAR)
-    return simhash_dedup.keep_one(spark, docs, words=SHINGLES, radius=3, also=similar)
+    """Of each group of near-duplicates the document with the least id. Documents are linked if their
+    SimHash fingerprints are near or if their shingle sets are similar enough.
+
+    Null, empty and blank texts are one group; rows that share the least id of a group all stay, and so
+    repeated rows do; rows without an id go if a row of their group has one."""
+    return minhash_dedup.keep_one(spark, docs, SHINGLE, RADIUS, SIMILAR)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
