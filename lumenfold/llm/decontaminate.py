@@ -2,21 +2,22 @@
 
 Items are short, the corpus is not: the items are indexed and the corpus is the stream of queries. Each
 document is cut into passages of twice the longest item's words, each starting that many words after the
-one before, so that an item's words always lie within one passage. Items come in blocks, and the index keeps each
-term's best weight in each block. Blocks whose bound for a passage is below the threshold are passed over,
-for all passages of a document at once; within the others WAND finds every item whose BM25 score is at
-least ``least_score`` of the score the item gives itself. A pair counts if
-at least ``least_overlap`` of the item's word shingles are in the passage, some of them from its question
-(all but the last quarter of its words) and some from its answer (the rest); items too short for two
-such parts are one.
+one before, so that an item's words always lie within one passage. The index keeps each term's best weight
+in each block of items and in each run of blocks. Of a step of passages, first the runs and then, within
+those left, the blocks are passed over whose bound is below the threshold; within the others WAND moves
+from pivot to pivot and finds every item whose BM25 score is at least ``least_score`` of the score the
+item gives itself. A pair counts if at least ``least_overlap`` of the item's word pairs are in the passage,
+and at least half of its question's word pairs (the question is all but the last quarter of its words)
+and two fifths of its answer's words (the rest); items too short for two such parts are one.
 
-The index is broadcast, so its size is bounded: above ``INDEX_BYTES`` of item text it is cut into shards
-by a hash of the item's id, each with its own statistics, and every passage is put to every shard.
+The index is broadcast, so its size is bounded: above ``INDEX_BYTES`` of item text it is cut into shards,
+which are searched one after another. Numbers of items, document frequencies, mean and greatest lengths are
+taken over all items first, so the shards change where weights are kept, and no score.
 
 Defined results: words are runs of letters and digits (Unicode), lower-cased; null and wordless texts and
-items match nothing; items with equal texts or ids are separate items; a document row gives one row for
-each matching item id, and rows with equal doc_ids give equal or merged rows; other columns are ignored;
-empty tables give no rows.
+items match nothing; items with equal texts or ids are separate items, items equal in both count once; a
+document row gives one row for each matching item id, and rows with equal doc_ids give equal or merged
+rows; long texts are read some MB at a time; other columns are ignored; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,21 +31,32 @@ from functools import cached_property
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 5
+from lumenfold.llm import shared
+
+#: Words of a shingle of the verification: pairs, as one changed word costs an item of 15 words two pairs
+#: of 14, but five of 11 runs of five words.
+WORDS = 2
 LEAST_SCORE = 0.5
-LEAST_OVERLAP = 0.8
+LEAST_OVERLAP = 0.6
+LEAST_QUESTION, LEAST_ANSWER = 0.5, 0.4
+#: The answer has a quarter of an item's words, and so many at least.
+ANSWER_WORDS = 5
 INDEX_BYTES = 32 << 20
-#: Items of a block.
-BLOCK = 4
+#: Items of a block, and blocks of a run.
+BLOCK, RUN = 8, 16
+#: Bounds that are held at once: passages of a step times blocks.
+CELLS = 1 << 21
+#: Characters of a long text that are cut into words at once.
+CHUNK_CHARS = 1 << 20
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 
-_word = re.compile(r"\w+").findall
+_words = re.compile(r"\w+")
+_word = _words.findall
 EPS = 1e-9
 
 
@@ -56,71 +68,103 @@ def shingles(words: list[str], k: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
 
 
+def _best(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run of equal keys starts, and its greatest weight."""
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return first, np.maximum.reduceat(weight, first) if len(first) else weight
+
+
+def _expand(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges [start, stop), one after another, and the ranges' sizes."""
+    size = stop - start
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum()), size
+
+
+class Stats:
+    """What the weights need to know of all items: their number, the terms' frequencies, mean and greatest length."""
+
+    def __init__(self, n: int, df: dict[str, int], words: int, longest: int):
+        self.n, self.df, self.mean, self.longest = n, df, words / max(1, n), longest
+
+
 class Index:
-    """BM25 weights of items, as shares of the score that an item gives itself."""
+    """BM25 weights of items, as shares of the score that an item gives itself. Items without stats are all there are."""
 
-    def __init__(self, items: list[tuple[int, str]], k: int = WORDS):
+    def __init__(self, items: list[tuple[int, str]], k: int = WORDS, stats: Stats | None = None):
         self.k = k
         kept = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if w]
+        if stats is None:
+            stats = Stats(len(kept), Counter(t for _, w in kept for t in set(w)), sum(len(w) for _, w in kept), max((len(w) for _, w in kept), default=0))
         self.ids = [i for i, _ in kept]
         self.words = [w for _, w in kept]
-        self.longest = max(map(len, self.words), default=0)
         counts = [Counter(w) for w in self.words]
-        df = Counter(t for c in counts for t in c)
-        mean = sum(map(len, self.words)) / max(1, len(kept))
-        self.vocabulary = {t: i for i, t in enumerate(df)}
-        self.postings: list[tuple[list[int], list[float]]] = [([], []) for _ in df]
+        self.longest = stats.longest
+        self.vocabulary = {t: i for i, t in enumerate(dict.fromkeys(t for c in counts for t in c))}
+        postings: list[tuple[list[int], list[float]]] = [([], []) for _ in self.vocabulary]
         for item, c in enumerate(counts):
             n = len(self.words[item])
-            w = {t: math.log(1 + (len(kept) - df[t] + 0.5) / (df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * n / mean)) for t, f in c.items()}
-            own = sum(w.values())
+            w = {t: math.log(1 + (stats.n - stats.df[t] + 0.5) / (stats.df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * n / stats.mean)) for t, f in c.items()}
+            own = math.fsum(w.values())
             for t, x in w.items():
                 at = self.vocabulary[t]
-                self.postings[at][0].append(item)
-                self.postings[at][1].append(x / own)
-        #: A block is a run of BLOCK items; for each term, its blocks and its best weight in each of them.
+                postings[at][0].append(item)
+                postings[at][1].append(x / own)
+        #: A block is a run of BLOCK items, a run one of RUN blocks; for each term, its blocks and runs of
+        #: blocks with its best weight in each, and the blocks of each run.
         self.blocks = -(-len(kept) // BLOCK)
-        tops: list[dict[int, float]] = []
-        for listed, w in self.postings:
-            top: dict[int, float] = {}
-            for item, x in zip(listed, w):
-                top[item // BLOCK] = max(x, top.get(item // BLOCK, 0.0))
-            tops.append(top)
-        self.block_start = np.concatenate([[0], np.cumsum([len(t) for t in tops], dtype=np.int64)])
-        self.block_of = np.array([b for t in tops for b in t], np.int64)
-        self.block_best = np.array([x for t in tops for x in t.values()])
+        self.runs = -(-self.blocks // RUN)
+        size = np.fromiter((len(listed) for listed, _ in postings), np.int64, len(postings))
+        term = np.repeat(np.arange(len(size)), size)
+        #: The postings: items and weights, term by term.
+        self.items, self.weights = [i for listed, _ in postings for i in listed], [x for _, w in postings for x in w]
+        block = np.array(self.items, np.int64) // BLOCK
+        first, self.block_best = _best(term * max(1, self.blocks) + block, np.array(self.weights))
+        self.block_from, self.block_stop = first, np.append(first[1:], len(self.items))
+        self.block_of, block_term = block[first], term[first]
+        run = self.block_of // RUN
+        self.run_from, self.run_best = _best(block_term * max(1, self.runs) + run, self.block_best)
+        self.run_of = run[self.run_from]
+        self.run_stop = np.append(self.run_from[1:], len(self.block_of))
+        self.run_start = np.searchsorted(block_term[self.run_from], np.arange(len(size) + 1))
+        #: How many passages, runs and blocks were looked at, and how many items were scored.
+        self.work = Counter()
 
     @cached_property
     def parts(self) -> list[tuple[set, set, set]]:
-        """All shingles of each item, those of its question and those of its answer."""
+        """All shingles of each item, those of its question and the words of its answer."""
         out = []
         for w in self.words:
-            cut = len(w) - max(self.k, len(w) // 4)
+            cut = len(w) - max(ANSWER_WORDS, len(w) // 4)
             both = cut >= self.k
-            out.append((shingles(w, self.k), shingles(w[:cut], self.k) if both else shingles(w, self.k), shingles(w[cut:], self.k) if both else shingles(w, self.k)))
+            out.append((shingles(w, self.k), shingles(w[:cut], self.k) if both else shingles(w, self.k), {(x,) for x in (w[cut:] if both else w)}))
         return out
 
-    def live_blocks(self, passage: np.ndarray, term: np.ndarray, passages: int, least: float) -> Iterator[tuple[int, int]]:
-        """(passage, block) where the best weights of the passage's terms reach the threshold; terms are
-        distinct within a passage."""
-        first = self.block_start[term]
-        size = self.block_start[term + 1] - first
-        flat = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        bound = np.bincount(np.repeat(passage, size) * self.blocks + self.block_of[flat], self.block_best[flat], passages * self.blocks)
-        return ((i // self.blocks, i % self.blocks) for i in np.flatnonzero(bound >= least - EPS).tolist())
-
-    def retrieve(self, terms: list[int], block: int, least: float) -> list[tuple[int, float]]:
-        """WAND within a block: (item, score) of its items that the terms give at least the threshold."""
-        least, stop = least - EPS, (block + 1) * BLOCK
-        cursors = []  # item, its place in the postings, the end of the block there, the block's best weight, term
-        for t in terms:
-            listed = self.postings[t][0]
-            at, end = bisect_left(listed, block * BLOCK), bisect_left(listed, stop)
-            if at < end:
-                cursors.append([listed[at], at, end, max(self.postings[t][1][at:end]), t])
-        found = []
+    def live_blocks(self, passage: np.ndarray, term: np.ndarray, passages: int, least: float) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
+        """(passage, the postings in a block as (start, stop, best weight)) for each block where the best
+        weights of the passage's terms reach the threshold; terms are distinct within a passage. Blocks of
+        runs that don't reach it are never looked at."""
+        flat, size = _expand(self.run_start[term], self.run_start[term + 1])
+        at = np.repeat(passage, size) * self.runs + self.run_of[flat]
+        live = np.bincount(at, self.run_best[flat], passages * self.runs) >= least - EPS
+        flat, at = flat[live[at]], at[live[at]]
+        inner, size = _expand(self.run_from[flat], self.run_stop[flat])
+        cell = np.repeat(at // self.runs, size) * self.blocks + self.block_of[inner]
+        near = np.bincount(cell, self.block_best[inner], passages * self.blocks) >= least - EPS
+        self.work.update(passages=passages, runs=int(live.sum()), blocks=int(near.sum()))
+        inner, cell = inner[near[cell]], cell[near[cell]]
+        by = np.argsort(cell, kind="stable")
+        inner, cell = inner[by], cell[by]
+        edges = np.flatnonzero(np.diff(cell, prepend=-1)).tolist()
+        rows = list(zip(self.block_from[inner].tolist(), self.block_stop[inner].tolist(), self.block_best[inner].tolist()))
+        for c, lo, hi in zip((cell[edges] // self.blocks).tolist(), edges, [*edges[1:], len(rows)]):
+            yield c, rows[lo:hi]
+
+    def retrieve(self, block: list[tuple[int, int, float]], least: float) -> list[tuple[int, float]]:
+        """WAND within a block: (item, score) of its items that the postings give at least the threshold."""
+        least, items, found = least - EPS, self.items, []
+        cursors = [[items[at], at, end, best] for at, end, best in block]  # item, its place, the postings' end, the best weight
         while True:
-            cursors.sort(key=lambda c: c[0])
+            cursors.sort()
             bound, pivot = 0.0, None
             for c in cursors:
                 bound += c[3]
@@ -130,93 +174,150 @@ class Index:
             if pivot is None:
                 return found
             if cursors[0][0] == pivot:
-                score = sum(self.postings[c[4]][1][c[1]] for c in cursors if c[0] == pivot)
+                score = math.fsum(self.weights[c[1]] for c in cursors if c[0] == pivot)
+                self.work["items"] += 1
                 if score >= least:
                     found.append((pivot, score))
                 pivot += 1
             for c in cursors:
-                if c[0] < pivot:
-                    listed = self.postings[c[4]][0]
-                    c[1] = bisect_left(listed, pivot, c[1], c[2])
-                    c[0] = listed[c[1]] if c[1] < c[2] else stop
-            cursors = [c for c in cursors if c[0] < stop]
+                if c[0] >= pivot:
+                    break
+                c[1] = bisect_left(items, pivot, c[1], c[2])
+                c[0] = items[c[1]] if c[1] < c[2] else -1
+            cursors = [c for c in cursors if c[0] >= 0]
+
+    def _steps(self, text: str) -> Iterator[list[str]]:
+        """The words of a text, in stretches that each repeat the last step's words of the one before."""
+        if len(text) <= CHUNK_CHARS:
+            yield words_of(text)
+            return
+        text, step, held = text.lower(), self.longest, []
+        most = max(2 * step, CHUNK_CHARS // 4 // step * step)
+        for found in _words.finditer(text):
+            held.append(found.group())
+            if len(held) == most + step:
+                yield held[:most]
+                held = held[most - step :]
+        yield held
 
     def search(self, text: str | None, least: float, overlap: float) -> dict[int, tuple[float, float, float, float]]:
         """Matching items of a text, each with its best (score, overlap, of question, of answer)."""
-        words = words_of(text)
-        if not words or not self.ids:
-            return {}
+        out: dict[int, tuple[float, float, float, float]] = {}
+        if text and self.ids:
+            for words in self._steps(text):
+                self._search(words, least, overlap, out)
+        return out
+
+    def _search(self, words: list[str], least: float, overlap: float, out: dict[int, tuple[float, float, float, float]]) -> None:
+        if not words:
+            return
         n, step = len(words), self.longest
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, n)
         at = np.flatnonzero(ids >= 0)
         passages = max(1, -(-n // step) - 1)
         # Word i is in the passages that start in its stretch of words and in the one before.
-        pairs = np.concatenate([np.minimum(at // step, passages - 1), np.maximum(at // step - 1, 0)]) * len(self.postings) + np.tile(ids[at], 2)
-        passage, term = np.divmod(np.unique(pairs), len(self.postings))
-        out: dict[int, tuple[float, float, float, float]] = {}
-        held, terms, seen = -1, [], set()
-        for p, block in self.live_blocks(passage, term, passages, least):
-            if p != held:
-                held, seen = p, set()
-                terms = term[np.searchsorted(passage, p) : np.searchsorted(passage, p, side="right")].tolist()
-            for item, score in self.retrieve(terms, block, least):
-                size = min(self.k, len(self.words[item]))
-                if (size, None) not in seen:
-                    seen |= shingles(words[p * step : (p + 2) * step], size) | {(size, None)}
-                whole, question, answer = (len(x & seen) / len(x) for x in self.parts[item])
-                if whole >= overlap and question > 0 and answer > 0:
-                    out[item] = max(out.get(item, (0.0,) * 4), (score, whole, question, answer))
-        return out
+        pairs = np.concatenate([np.minimum(at // step, passages - 1), np.maximum(at // step - 1, 0)]) * len(self.vocabulary) + np.tile(ids[at], 2)
+        passage, term = np.divmod(np.unique(pairs), len(self.vocabulary))
+        held, seen = -1, set()
+        a_step = max(1, CELLS // self.blocks)
+        for first in range(0, passages, a_step):
+            lo, hi = np.searchsorted(passage, [first, first + a_step])
+            for p, block in self.live_blocks(passage[lo:hi] - first, term[lo:hi], min(a_step, passages - first), least):
+                p += first
+                if p != held:
+                    held, seen = p, set()
+                for item, score in self.retrieve(block, least):
+                    # Sizes that occur: one word for answers, and the shingles of this item.
+                    size = min(self.k, len(self.words[item]))
+                    for k in {1, size}:
+                        if (k, None) not in seen:
+                            seen |= shingles(words[p * step : (p + 2) * step], k) | {(k, None)}
+                    whole, question, answer = (len(x & seen) / len(x) for x in self.parts[item])
+                    if whole >= overlap and question >= LEAST_QUESTION and answer >= LEAST_ANSWER:
+                        out[item] = max(out.get(item, (0.0,) * 4), (score, whole, question, answer))
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, n: items with it), and rows of term null: the number of items with words, of their words, and the longest."""
+    for b in batches:
+        df, n, words, longest = Counter(), 0, 0, 0
+        for text in b.column(1).to_pylist():
+            if w := words_of(text):
+                df.update(set(w))
+                n, words, longest = n + 1, words + len(w), max(longest, len(w))
+        rows = [*((t, c, 0, 0) for t, c in df.items()), (None, n, words, longest)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.int64()))], ["term", "n", "words", "longest"])
 
 
 def index_shards(items: DataFrame, k: int, id_col: str, text_col: str) -> Iterator[Index]:
-    size = items.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0)).alias("n")).first()["n"]
-    shards = max(1, -(-size // INDEX_BYTES))
+    """The index, in shards of about INDEX_BYTES of text; weights hang on all items, not on the shard."""
+    spark = items.sparkSession
+    rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).distinct()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
+    in_order = lambda part: sorted((tuple(r) for r in part.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
+    if size <= INDEX_BYTES:
+        yield Index(in_order(rows), k)
+        return
+    shards = -(-size // INDEX_BYTES)
+    rows = shared.write_table(spark, rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards))), "test-items")
+    counted = rows.select("shard", "text").mapInArrow(_terms, "term string, n long, words long, longest long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"), F.max("longest").alias("longest"))
+    counted = shared.write_table(spark, counted, "test-terms")
+    n, words, longest = counted.where("term IS NULL").select("n", "words", "longest").first()
     for i in range(shards):
-        part = items.where(F.pmod(F.xxhash64(id_col), F.lit(shards)) == i) if shards > 1 else items
-        rows = part.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).collect()
-        yield Index(sorted((tuple(r) for r in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")), k)
+        part = rows.where(F.col("shard") == i).select("item_id", "text")
+        here = part.mapInArrow(_terms, "term string, n long, words long, longest long").select("term").distinct()
+        df = {r["term"]: r["n"] for r in counted.join(here, "term").select("term", "n").collect()}
+        yield Index(in_order(part), k, Stats(n, df, words, longest))
+
+
+def _finder(shared_index, least_score: float, least_overlap: float):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared_index.value
+        for b in batches:
+            columns = defaultdict(list)
+            for doc_id, text in zip(b.column(0), b.column(1)):
+                for item, row in sorted(index.search(text.as_py(), least_score, least_overlap).items()):
+                    for name, value in zip(("doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"), (doc_id.as_py(), index.ids[item], *row)):
+                        columns[name].append(value)
+            if columns:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if n.endswith("_id") else pa.float64()) for n, v in columns.items()], list(columns))
+        shared.trim()
+
+    return find
 
 
 def contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_SCORE, least_overlap: float = LEAST_OVERLAP, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row for each document and benchmark item that it contains."""
-    context = docs.sparkSession.sparkContext
+    """One row for each document and benchmark item that it contains. One shard's index is in memory at a time."""
+    spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    parts = []
+    found = None
     for index in index_shards(items, words, item_id_col, item_text_col):
-        shared_index = context.broadcast(index)
-
-        def find(batches: Iterator[pa.RecordBatch], shared_index=shared_index) -> Iterator[pa.RecordBatch]:
-            index = shared_index.value
-            for b in batches:
-                columns = defaultdict(list)
-                for doc_id, text in zip(b.column(0), b.column(1)):
-                    for item, row in sorted(index.search(text.as_py(), least_score, least_overlap).items()):
-                        for name, value in zip(("doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"), (doc_id.as_py(), index.ids[item], *row)):
-                            columns[name].append(value)
-                if columns:
-                    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64() if n.endswith("_id") else pa.float64()) for n, v in columns.items()], list(columns))
-
-        parts.append(keyed.mapInArrow(find, SCHEMA))
-    found = parts[0]
-    for more in parts[1:]:
-        found = found.unionByName(more)
+        shared_index = spark.sparkContext.broadcast(index)
+        part = shared.write_table(spark, keyed.mapInArrow(_finder(shared_index, least_score, least_overlap), SCHEMA), "found-items")
+        shared_index.destroy()
+        found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("score", "overlap", "question_overlap", "answer_overlap")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def _clean(shared_index, least_score: float, least_overlap: float):
-    @F.pandas_udf("boolean")
-    def clean(texts: pd.Series) -> pd.Series:
-        return pd.Series([not shared_index.value.search(t, least_score, least_overlap) for t in texts], dtype=bool)
+    @F.arrow_udf("boolean")
+    def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in columns:
+            yield pa.array([not shared_index.value.search(t.as_py(), least_score, least_overlap) for t in texts], pa.bool_())
+        shared.trim()
 
     return clean
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_SCORE, least_overlap: float = LEAST_OVERLAP, words: int = WORDS, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of docs that contain no benchmark item, without a shuffle."""
+    """The rows of docs that contain no benchmark item. Without a shuffle where the index is one shard;
+    each further shard writes what it leaves to the shared folder."""
+    spark, held = docs.sparkSession, None
     for index in index_shards(items, words, item_id_col, item_text_col):
-        shared_index = docs.sparkSession.sparkContext.broadcast(index)
-        clean = _clean(shared_index, least_score, least_overlap)
-        docs = docs.where(clean(F.col(text_col).cast("string")))
+        if held is not None:  # there is another shard: have done with the one before
+            docs = shared.write_table(spark, docs, "uncontaminated")
+            held.destroy()
+        held = spark.sparkContext.broadcast(index)
+        docs = docs.where(_clean(held, least_score, least_overlap)(F.col(text_col).cast("string")))
     return docs

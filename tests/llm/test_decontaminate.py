@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import pytest
@@ -25,9 +26,10 @@ def brute(docs, items, least=D.LEAST_SCORE, overlap=D.LEAST_OVERLAP, k=D.WORDS):
                 if score < least - 1e-9:
                     continue
                 share = lambda part: len(D.shingles(part, k) & D.shingles(passage, min(k, len(part)))) / len(D.shingles(part, k))
-                cut = len(w) - max(k, len(w) // 4)
-                q, a = (share(w[:cut]), share(w[cut:])) if cut >= k else (share(w), share(w))
-                if share(w) >= overlap and q > 0 and a > 0:
+                known = lambda part: len(set(part) & set(passage)) / len(set(part))
+                cut = len(w) - max(D.ANSWER_WORDS, len(w) // 4)
+                q, a = (share(w[:cut]), known(w[cut:])) if cut >= k else (share(w), known(w))
+                if share(w) >= overlap and q >= D.LEAST_QUESTION and a >= D.LEAST_ANSWER:
                     out[d, i] = max(out.get((d, i), (0,) * 4), (round(score, 9), share(w), q, a))
     return out
 
@@ -57,12 +59,75 @@ def test_equals_brute_force(spark):
     assert {r["doc_id"] for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in expected}
 
 
-def test_shards_find_the_same_verbatim_items(spark, monkeypatch):
-    items = [(i, f"question number {i} asks about topic{i} and gives answer word{i} in the end {i}") for i in range(40)]
-    docs = spark.createDataFrame([(i, "before " * i + items[i][1] + " after") for i in range(40)], "doc_id long, text string")
-    monkeypatch.setattr(D, "INDEX_BYTES", 500)
-    got = {(r["doc_id"], r["item_id"]) for r in D.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
-    assert got == {(i, i) for i in range(40)}
+def random_case(seed, n_items=60, words=80):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(words)] + ["the"] * 30
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    items = [(i if i % 7 else None, text(rng.randrange(3, 40))) for i in range(n_items)]
+    docs = [(d, " ".join([text(rng.randrange(80)), *(rng.choice(items)[1] for _ in range(rng.randrange(3))), text(20)])) for d in range(60)]
+    return items, docs
+
+
+@pytest.mark.parametrize("shards", [3, 10])
+def test_shards_change_no_score(spark, monkeypatch, shards):
+    items, docs = random_case(shards)
+    items, docs = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    rows = lambda: sorted(map(tuple, D.contaminated(docs, items, 0.2, 0.1).collect()), key=str)
+    whole, kept = rows(), {r["doc_id"] for r in D.drop_contaminated(docs, items).collect()}
+    size = items.selectExpr("sum(octet_length(text))").first()[0]
+    monkeypatch.setattr(D, "INDEX_BYTES", -(-size // shards))
+    assert len(list(D.index_shards(items, D.WORDS, "item_id", "text"))) == shards
+    assert len(whole) > 100 and rows() == whole
+    assert {r["doc_id"] for r in D.drop_contaminated(docs, items).collect()} == kept
+
+
+def test_blocks_and_steps_change_nothing(monkeypatch):
+    items, docs = random_case(3, 300, 3000)
+    items = [(i, t) for i, (_, t) in enumerate(items)]
+    index = D.Index(items)
+    whole = [index.search(t, 0.3, 0.1) for _, t in docs]
+    assert sum(map(len, whole)) > 50
+    assert index.work["blocks"] < index.work["passages"] * index.blocks and index.work["items"] < index.work["passages"] * len(items)
+    monkeypatch.setattr(D, "CELLS", 50)
+    monkeypatch.setattr(D, "CHUNK_CHARS", 300)
+    assert [index.search(t, 0.3, 0.1) for _, t in docs] == whole
+    monkeypatch.setattr(D, "BLOCK", 3)
+    monkeypatch.setattr(D, "RUN", 2)
+    index = D.Index(items)
+    found = [{index.ids[i]: r for i, r in index.search(t, 0.3, 0.1).items()} for _, t in docs]
+    assert found == whole
+
+
+def test_a_very_long_text_takes_bounded_memory(monkeypatch):
+    items = [(i, " ".join(f"w{(i * 31 + j * 7) % 5000}" for j in range(20))) for i in range(2000)]
+    index = D.Index(items)
+    monkeypatch.setattr(D, "CHUNK_CHARS", 1 << 16)
+    text = " ".join([f"w{i % 5000} other{i % 90} the" for i in range(60_000)] + [items[77][1]])
+    tracemalloc.start()
+    found = index.search(text, D.LEAST_SCORE, D.LEAST_OVERLAP)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 77 in {index.ids[i] for i in found} and peak < 40 << 20
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2])
+def test_recall_of_edited_items(edits):
+    """Items of the test data, with words changed, among 100 words of a document."""
+    import pyarrow.parquet as pq
+
+    data = "/root/testdata/sf0.1"
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{data}/benchmark.parquet").to_pylist()]
+    texts = [w for w in (D.words_of(t) for t in pq.read_table(f"{data}/documents.parquet", columns=["text"]).column(0).to_pylist()[:600]) if len(w) > 150]
+    index, rng, found = D.Index(items), random.Random(edits), 0
+    for i, text in items:
+        words = D.words_of(text)
+        for at in rng.sample(range(len(words)), edits):
+            words[at] = f"changed{rng.randrange(1000)}"
+        around = rng.choice(texts)
+        at = rng.randrange(len(around) - 100)
+        hit = index.search(" ".join([*around[at : at + 50], *words, *around[at + 50 : at + 100]]), D.LEAST_SCORE, D.LEAST_OVERLAP)
+        found += i in {index.ids[x] for x in hit}
+    assert found >= 0.99 * len(items)
 
 
 def test_empty_tables(spark):
