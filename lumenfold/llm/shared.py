@@ -1,8 +1,8 @@
 """Shared storage for intermediate tables and files.
 
 Everything that more than one task or job reads lives under the folder named by
-``spark.checkpoint.dir``, which all executors see. Where the session has none (tests, a laptop), a
-temporary folder is set, as everything then runs on one machine.
+``spark.checkpoint.dir``, which all executors see. Where a local session has none (tests, a laptop), a
+temporary folder is set, as everything then runs on one machine; on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="lumenfold-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -1,19 +1,28 @@
 """WARC files: a writer that turns equal payloads into revisits, and a splittable reader.
 
 Each record is a gzip member of its own, holding an HTTP response. A reader task gets a byte range: it
-looks for the gzip magic number, takes a candidate only if it decodes to a WARC header and a whole
-member after which another member or the file's end follows, and owns the records that start inside
-its range, reading past the range's end for the last of them.
+looks for the gzip magic number, takes a candidate only if it decodes to a WARC header and a whole member
+(its length and checksum are right, and it holds as many bytes as its Content-Length says), and owns the
+records that start inside its range, reading past the range's end for the last of them. What follows a
+member has no say in it, so every intact record is found, however damaged its neighbours are.
+
+Damage: bytes that belong to no intact record (damaged, padded or cut archives) are counted, a file at a
+time, as the file's size less its records' sizes. read_warc() raises on any by default, and returns the
+intact records if asked to skip them; damage() lists the files. A payload may hold a whole record that lies
+in it uncompressed: before a range takes its first record, it looks back, LOOK_BACK bytes at most, for the
+record before or one that encloses it. (Payloads of UTF-8 text hold none: the magic number is no UTF-8.)
 
 Defined results: a null payload is an empty one; a null id sorts below all others and is written as
 "null"; rows with the id of a payload's response are all responses; a null URL is left out; columns
-other than those named are ignored; an empty table gives no files and no rows.
+other than those named are ignored; an empty table gives no files and no rows. Records that are neither
+response nor revisit, or whose payload doesn't match its digest, count as damage.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -33,6 +42,7 @@ URN = "urn:page:"
 PART_BYTES = 1 << 30
 RANGE_BYTES = 8 << 20
 CHUNK = 1 << 18
+LOOK_BACK = 64 << 20
 
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -74,6 +84,7 @@ def _writer(path: str, date: str):
                     row = next(rows, None)
             done.append((uri, size))
             n += 1
+        shared.trim()
         yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in done], pa.string()), pa.array([s for _, s in done], pa.int64())], ["uri", "size"])
 
     return write
@@ -120,21 +131,34 @@ def parse_fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
-def members(f, start: int, stop: int, size: int) -> Iterator[bytes]:
-    """The contents of the members that start in [start, stop)."""
-    at = start
+def members(f, start: int, stop: int) -> Iterator[tuple[bytes, int]]:
+    """The contents and compressed sizes of the members that start in [start, stop)."""
+    at, framed = start, start == 0
     while at < stop:
         found = _member(f, at)
-        if found and (found[1] >= size or _starts(f, found[1])):
-            yield found[0]
-            at = found[1]
-            continue
-        at = _magic(f, at + 1, stop)
-
-
-def _starts(f, at: int) -> bool:
-    f.seek(at)
-    return f.read(3) == MAGIC
+        if found and not framed and (end := _enclosing(f, at)):
+            at, framed = end, True
+        elif found:
+            yield found[0], found[1] - at
+            at, framed = found[1], True
+        else:
+            at = _magic(f, at + 1, stop)
+
+
+def _enclosing(f, at: int) -> int:
+    """The end of a member that starts before a position and goes on beyond it; 0 if there is none."""
+    low, high = max(0, at - LOOK_BACK), at
+    while high > low:
+        start = max(low, high - CHUNK)
+        f.seek(start)
+        data = f.read(min(at, high + 2) - start)
+        while (place := data.rfind(MAGIC)) >= 0:
+            found = _member(f, start + place)
+            if found and found[1] >= at:
+                return found[1] if found[1] > at else 0
+            data = data[: place + 2]
+        high = start
+    return 0
 
 
 def _magic(f, at: int, stop: int) -> int:
@@ -148,36 +172,55 @@ def _magic(f, at: int, stop: int) -> int:
     return stop
 
 
-def parse_record(content: bytes) -> dict:
+def parse_record(content: bytes) -> dict | None:
+    """The fields of a record; None if it is of another type or its payload isn't what its digest says."""
     head, _, rest = content.partition(b"\r\n\r\n")
     fields = parse_fields(head)
     block = rest[: int(fields["content-length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
-    number = lambda x: None if x.endswith(":null>") else int(x[1 + len(URN) : -1])
-    digest = fields["warc-payload-digest"].removeprefix("sha1:")
-    kind = fields["warc-type"]
-    if kind == "response" and base32_sha1(payload) != digest:
-        raise ValueError(f"the payload of {fields['warc-record-id']} doesn't match its digest")
-    return {"page_id": number(fields["warc-record-id"]), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_digest": digest, "payload_bytes": int(parse_fields(http)["content-length"]), "refers_to": number(fields["warc-refers-to"]) if kind == "revisit" else None, "payload": payload if kind == "response" else None}
+    kind, digest = fields.get("warc-type"), fields.get("warc-payload-digest", "").removeprefix("sha1:")
+    if kind not in ("response", "revisit") or kind == "response" and base32_sha1(payload) != digest:
+        return None
+    number = lambda x: int(x[1 + len(URN) : -1]) if re.fullmatch(f"<{URN}-?[0-9]+>", x) else None
+    size = len(payload) if kind == "response" else int(parse_fields(http).get("content-length", 0))
+    return {"page_id": number(fields.get("warc-record-id", "")), "url": fields.get("warc-target-uri"), "record_type": kind, "payload_digest": digest, "payload_bytes": size, "refers_to": number(fields.get("warc-refers-to", "")) if kind == "revisit" else None, "payload": payload if kind == "response" else None}
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "member_bytes"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     for batch in batches:
         for part in batch.to_pylist():
             rows: list[dict] = []
             with shared.open_read(part["uri"]) as f:
-                for content in members(f, part["start"], min(part["start"] + part["step"], part["size"]), part["size"]):
-                    record = parse_record(content)
-                    rows.append({n: record[n] for n in names})
+                for content, size in members(f, part["start"], min(part["start"] + part["step"], part["size"])):
+                    if record := parse_record(content):
+                        rows.append({n: record[n] for n in names[:5]} | {"uri": part["uri"], "member_bytes": size})
                     if len(rows) == 4096:
                         yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types)], names)
                         rows = []
             yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types)], names)
+    shared.trim()
 
 
-def read_warc(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """One row for each record of the files (uri, size), read by byte ranges."""
+def read_records(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """One row for each intact record of the files (uri, size), read by byte ranges: its fields, the file and its size there."""
     ranges = files.where("size > 0").select("uri", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("start"), F.lit(range_bytes).cast("long").alias("step"))
-    return ranges.repartition(shared.partitions(spark), F.xxhash64("uri", "start")).mapInArrow(_reader, SCHEMA)
+    dealt = ranges.repartition(shared.partitions(spark), F.xxhash64("uri", "start"))
+    return shared.write_table(spark, dealt.mapInArrow(_reader, f"{SCHEMA}, uri string, member_bytes long"), "warc-records")
+
+
+def damage(files: DataFrame, records: DataFrame) -> DataFrame:
+    """(uri, bytes that belong to no intact record) of the files that have any."""
+    sizes = records.groupBy("uri").agg(F.sum("member_bytes").alias("found"))
+    return files.join(sizes, "uri", "left").select("uri", (F.col("size") - F.coalesce("found", F.lit(0))).alias("lost_bytes")).where("lost_bytes > 0")
+
+
+def read_warc(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES, on_damage: str = "raise") -> DataFrame:
+    """One row for each intact record of the files. on_damage: "raise" if any byte belongs to none, or "skip" such bytes."""
+    if on_damage not in ("raise", "skip"):
+        raise ValueError("on_damage is raise or skip")
+    records = read_records(spark, files, range_bytes)
+    if on_damage == "raise" and (bad := damage(files, records).agg(F.count(F.lit(1)), F.sum("lost_bytes"), F.min("uri")).first())[0]:
+        raise ValueError(f"{bad[1]} bytes of {bad[0]} archives belong to no intact record, the first is {bad[2]}")
+    return records.drop("uri", "member_bytes")
