@@ -10,8 +10,10 @@ Fingerprints and MinHash values come from one pass over the texts, and all links
 Texts of equal sets are one node. Members of a band's bucket are compared with its least and its largest
 member; then those pairs are compared whose members are in different components still, so that a large
 group of copies costs no square of its size, and no candidate pair that could change a component is left
-out. Before texts are fetched for such a pair, its MinHash values must agree in three fifths at least
-(at a similarity of 0.8 fewer than one pair in a million doesn't).
+out. Such a pair is one only if 480 MinHash values make its similarity 0.76 or more, and only in the first
+bucket that its members share; the join itself looks at both (by calculation the estimate is below that for
+one pair in 60 at a similarity of 0.8, one in 3,000 at 0.82, one in a million at 0.85). What is left grows
+with the square of a group only for texts that are about 0.76 to 0.8 alike and in different components.
 
 Defined results: texts without words have an empty set and fingerprint zero, so that they are linked if
 SimHash is asked for, and give no row if not; a null doc_id is a component id only where no other id is
@@ -25,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.llm import blobs, shared
@@ -33,11 +35,16 @@ from lumenfold.llm.components import connected_components
 from lumenfold.llm.simhash_dedup import SEED, fingerprint, fingerprint_links, shingles
 
 ROWS, BANDS = 5, 24
-#: The share of MinHash values that a pair must have in common before its texts are compared.
-LEAST_ALIKE = 0.6
-FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, ROWS * BANDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: MinHash values of a text; those beyond the bands' only sharpen the estimate of a pair's similarity.
+VALUES = 480
+#: Four bits of each value are kept.
+LONGS = VALUES // 16
+#: The share of the kept MinHash values that a pair must have in common before its texts are compared. At a
+#: similarity s it is s + (1 - s) / 16 on average, as unequal values agree in four bits once in 16.
+LEAST_ALIKE = 0.775
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, VALUES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 LEAST_ID = -(1 << 62)
-SKETCH = "doc_id long, k long, t long, sig long, fp long, mins binary, bands array<long>"
+SKETCH = "doc_id long, k long, t long, sig long, fp long, mins array<long>, bands array<long>"
 
 
 def minhashes(hashes: np.ndarray) -> np.ndarray:
@@ -49,7 +56,7 @@ def minhashes(hashes: np.ndarray) -> np.ndarray:
 
 def _band_keys(mins: np.ndarray) -> np.ndarray:
     """Rows of MinHash values -> rows of one key a band."""
-    rows = mins.reshape(len(mins), BANDS, ROWS)
+    rows = mins[:, : BANDS * ROWS].reshape(len(mins), BANDS, ROWS)
     keys = np.tile(np.arange(BANDS, dtype=np.uint64), (len(mins), 1))
     for i in range(ROWS):
         keys = blobs.mix(keys ^ rows[:, :, i])
@@ -80,12 +87,11 @@ def _sketch(words: int):
                     has[i] = True
                     mins.append(minhashes(found))
             values = np.stack(mins) if mins else np.zeros((0, len(FACTORS)), np.uint64)
-            # One byte of each value tells most unequal ones apart.
-            low = iter(blobs.mix(values).astype(np.uint8))
-            short = [next(low).tobytes() if h else b"" for h in has.tolist()]
-            ends = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-            bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(_band_keys(values).ravel()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sigs.view(np.int64)), pa.array(fps.view(np.int64)), pa.array(short, pa.binary()), bands], ["doc_id", "k", "t", "sig", "fp", "mins", "bands"])
+            # Four bits of each value tell most unequal ones apart; sixteen make a long.
+            low = blobs.mix(values).astype(np.uint8)
+            low = np.ascontiguousarray(low[:, ::2] & 15 | low[:, 1::2] << 4).view(np.int64)
+            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * x.shape[1])]).astype(np.int32)), pa.array(x.ravel())) for x in (low, _band_keys(values))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(sigs.view(np.int64)), pa.array(fps.view(np.int64)), *lists], ["doc_id", "k", "t", "sig", "fp", "mins", "bands"])
         shared.trim()
 
     return sketch
@@ -111,12 +117,15 @@ def _verify(words: int, least: float):
     return verify
 
 
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (u, v, c, d, x, y: MinHash bytes) -> those that may be similar, without the bytes."""
-    n = len(FACTORS)
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(-1, n) for c in b.columns[4:6])
-        yield b.select([0, 1, 2, 3]).filter(pa.array((x == y).mean(axis=1) >= LEAST_ALIKE))
+def unlike(a: Column, b: Column) -> Column:
+    """How many groups of four bits differ of two arrays of LONGS longs."""
+    total = F.lit(0)
+    for i in range(LONGS):
+        x = F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))
+        for shift, mask in ((2, 0x33), (1, 0x11)):
+            x = x.bitwiseOR(F.shiftrightunsigned(x, shift)).bitwiseAND(F.lit(mask * 0x0101010101010101))
+        total = total + F.bit_count(x)
+    return total
 
 
 def _compare(spark: SparkSession, pairs: DataFrame, texts: DataFrame, words: int, least: float) -> DataFrame:
@@ -143,7 +152,7 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, least: float =
         rows = rows.where(F.size("bands") > 0)
     links = shared.write_table(spark, _simhash_edges(spark, rows, radius), "fp-links") if radius is not None else spark.createDataFrame([], "u long, v long")
     nodes = shared.write_table(spark, rows.groupBy("sig").agg(F.min("doc_id").alias("least"), F.min(F.struct("k", "t")).alias("place"), F.first("bands").alias("bands"), F.first("mins").alias("mins")), "sketch-nodes")
-    banded = nodes.select("sig", F.explode("bands").alias("key"))
+    banded = nodes.select("sig", F.posexplode("bands").alias("band", "key"))
     # Tables of their own are dealt by the joins, which can then split a common key's side.
     common = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("low"), F.max("sig").alias("high")).where("n > 1").drop("n")
     common = shared.write_table(spark, common, "band-keys")
@@ -156,15 +165,18 @@ def groups(spark: SparkSession, docs: DataFrame, words: int = 5, least: float =
     links = links.unionByName(_compare(spark, pairs, texts, words, least))
     roots = connected_components(spark, links)
     # What is left in buckets with several components: pairs across them that were not compared.
-    placed = members.select("key", "sig").join(roots, members["sig"] == roots["node"], "left").select("key", "sig", F.coalesce("root", "sig").alias("c"))
+    placed = members.join(roots, members["sig"] == roots["node"], "left").select("key", "band", "sig", F.coalesce("root", "sig").alias("c"))
     placed = shared.write_table(spark, placed, "band-placed")
     mixed = shared.write_table(spark, placed.groupBy("key").agg(F.min("c").alias("a"), F.max("c").alias("z")).where("a < z").select("key"), "band-mixed")
-    split = shared.write_table(spark, placed.join(mixed, "key"), "band-split")
-    other = split.select("key", F.col("sig").alias("v"), F.col("c").alias("d"))
-    across = split.join(other, "key").where("c < d").select(F.greatest("sig", "v").alias("u"), F.least("sig", "v").alias("v"), "c", "d").distinct().join(pairs, ["u", "v"], "left_anti")
-    short = nodes.select("sig", "mins")
-    across = across.join(short.select(F.col("sig").alias("u"), F.col("mins").alias("x")), "u").join(short.select(F.col("sig").alias("v"), F.col("mins").alias("y")), "v")
-    across = shared.write_table(spark, across.select("u", "v", "c", "d", "x", "y").mapInArrow(_alike, "u long, v long, c long, d long"), "band-across")
+    split = placed.join(mixed, "key").join(nodes.select("sig", "mins", "bands"), "sig").select("key", "band", "sig", "c", "mins", "bands")
+    split = shared.write_table(spark, split, "band-split")
+    other = split.select("key", F.col("sig").alias("v"), F.col("c").alias("d"), F.col("mins").alias("others"), F.col("bands").alias("keys"))
+    alike = (F.col("c") < F.col("d")) & (unlike(F.col("mins"), F.col("others")) <= int((1 - LEAST_ALIKE) * VALUES))
+    for i in range(BANDS - 1):  # not if an earlier band agrees, too
+        alike = alike & ((F.col("band") <= i) | (F.get("bands", F.lit(i)) != F.get("keys", F.lit(i))))
+    across = split.join(other, (split["key"] == other["key"]) & alike).select(F.greatest("sig", "v").alias("u"), F.least("sig", "v").alias("v"), "c", "d")
+    across = across.join(pairs, ["u", "v"], "left_anti")
+    across = shared.write_table(spark, across, "band-across")
     more = across.join(_compare(spark, across, texts, words, least), ["u", "v"]).select(F.col("c").alias("u"), F.col("d").alias("v"))
     # The rest of the links join whole components, so only those are looked at again.
     upper = connected_components(spark, more).select(F.col("node").alias("top"), F.col("root").alias("above"))
