@@ -4,11 +4,14 @@ A line's tokens are its words, with every run of digits written as 0. The tree h
 first level is the number of tokens, the next ones are the leading tokens. In a leaf, a position is
 constant where one token has more than half of the leaf's lines, and a variable field where none has; a
 line belongs to the leaf's template if at least half of its tokens (the leading ones included) are the
-template's constants. A line that does not belong is a template of its own. Templates that occur in at
-least ``min_docs`` documents are dropped, everywhere; lines of fewer than ``min_tokens`` tokens stay.
+template's constants. Each line is also a template of its own, without variable fields. A generalised
+template that occurs in at least ``min_docs`` documents is dropped, everywhere, and so is a line that recurs
+as it is (but for digits) in at least ``min_copies``. Lines of fewer than ``min_tokens`` tokens recur by chance:
+they are never generalised, and are dropped only if they recur as they are in ``min_docs`` documents. Lines
+without tokens stay. Documents are counted by distinct texts, so that copies of a document do not empty it.
 
 Distinct lines are counted before they are compared, and only leaves that enough documents share are
-looked at; lines travel as hashes until one of each kind is fetched by its place.
+generalised; lines travel as hashes until one of each kind is fetched by its place.
 
 Defined results: a null text is an empty one; rows of equal ids and texts are one document (and each gets
 its row); the separators of lines that stay are kept as single line feeds; an empty table gives no rows;
@@ -25,6 +28,7 @@ from lumenfold.llm import shared
 DEPTH = 3
 MIN_TOKENS = 4
 MIN_DOCS = 10
+MIN_COPIES = 3
 SPACE = r"[\x20\x09-\x0D]+"
 LEAST = -(1 << 62)
 
@@ -39,21 +43,22 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _lines(rows: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """(k, t, line_no, leaf, kind): a row for each line that can be dropped, its leaf and itself as hashes."""
+    """(k, t, line_no, leaf, kind, short): a row for each line with tokens, its leaf and itself as hashes."""
     lines = rows.select("k", "t", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).select("k", "t", "line_no", _tokens(F.col("line")).alias("tokens"))
-    lines = lines.where(F.size("tokens") >= min_tokens)
-    return lines.select("k", "t", "line_no", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf"), F.xxhash64("tokens").alias("kind"))
+    lines = lines.where(F.size("tokens") > 0)
+    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, depth)).alias("leaf")
+    return lines.select("k", "t", "line_no", leaf, F.xxhash64("tokens").alias("kind"), (F.size("tokens") < min_tokens).alias("short"))
 
 
-def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int, min_docs: int) -> DataFrame:
-    """(k, t, line_nos): for each document of rows (k, t, text) that loses lines, their numbers from 0."""
-    lines = shared.write_table(spark, _lines(rows, depth, min_tokens), "lines")
+def _general_kinds(spark: SparkSession, rows: DataFrame, lines: DataFrame, min_docs: int) -> DataFrame:
+    """(kind): the lines of generalised templates that enough documents have."""
+    long_lines = lines.where(~F.col("short"))
     # Documents are counted in two steps, each with partial sums: no leaf, however common, is one task's.
     # A kind of line has one leaf, so the kind alone is the key wherever both would be: its rows are then
     # dealt anew; with the leaves in a table of their own, the skewed side of the join by leaf can be split.
-    shared_leaves = lines.groupBy("leaf", "k", "t").agg(F.lit(1)).groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
+    shared_leaves = long_lines.groupBy("leaf", "t").agg(F.lit(1)).groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
     shared_leaves = shared.write_table(spark, shared_leaves, "line-leaves")
-    here = lines.join(shared_leaves, "leaf")
+    here = long_lines.join(shared_leaves, "leaf")
     kinds = here.groupBy("kind").agg(F.count(F.lit(1)).alias("n"), F.min("leaf").alias("leaf"), F.min(F.struct("k", "t", "line_no")).alias("place"))
     # One line of each kind is fetched from its document.
     wanted = kinds.groupBy(F.col("place.k").alias("k"), F.col("place.t").alias("t")).agg(F.collect_list(F.struct(F.col("place.line_no").alias("line_no"), "leaf", "kind", "n")).alias("wanted"))
@@ -65,22 +70,28 @@ def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int,
     template = constant.where(F.col("most.n") * 2 > F.col("all")).groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.struct("at", "most.token"))).alias("template"))
     template = shared.write_table(spark, template, "line-constants")
     fixed = F.aggregate(F.transform("tokens", lambda x, i: F.coalesce((F.try_element_at("template", i) == x).cast("int"), F.lit(0))), F.lit(0), lambda a, x: a + x)
-    own = F.when(fixed * 2 >= F.size("tokens"), F.lit(None).cast("long")).otherwise(F.col("kind"))
-    templates = shared.write_table(spark, found.join(template, "leaf").select("kind", own.alias("own")), "line-templates")
-    members = lines.join(templates, "kind").select("leaf", F.col("own").isNull().alias("general"), F.coalesce("own", F.lit(0)).alias("own"), "k", "t", "line_no")
-    key = ["leaf", "general", "own"]
-    recurring = members.groupBy(*key, "k", "t").agg(F.lit(1)).groupBy(*key).agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select(*key)
-    # As a table of its own it is dealt by the join, which can then split a common template's side.
-    recurring = shared.write_table(spark, recurring, "line-recurring")
-    return members.join(recurring, key).groupBy("k", "t").agg(F.collect_set("line_no").alias("line_nos"))
+    general = shared.write_table(spark, found.join(template, "leaf").where(fixed * 2 >= F.size("tokens")).select("kind", "leaf"), "line-general")
+    members = long_lines.select("kind", "t").join(general, "kind")
+    recurring = members.groupBy("leaf", "t").agg(F.lit(1)).groupBy("leaf").agg(F.count(F.lit(1)).alias("docs")).where(F.col("docs") >= min_docs).select("leaf")
+    return general.join(shared.write_table(spark, recurring, "line-templates"), "leaf").select("kind")
+
+
+def _dropped(spark: SparkSession, rows: DataFrame, depth: int, min_tokens: int, min_docs: int, min_copies: int) -> DataFrame:
+    """(k, t, line_nos): for each document of rows (k, t, text) that loses lines, their numbers from 0."""
+    lines = shared.write_table(spark, _lines(rows, depth, min_tokens), "lines")
+    exact = lines.groupBy("kind", "t").agg(F.first("short").alias("short")).groupBy("kind").agg(F.count(F.lit(1)).alias("docs"), F.first("short").alias("short"))
+    exact = exact.where(F.col("docs") >= F.when(F.col("short"), min_docs).otherwise(min_copies)).select("kind")
+    # As a table of its own it is dealt by the join, which can then split a common line's side.
+    gone = shared.write_table(spark, exact.unionByName(_general_kinds(spark, rows, lines, min_docs)).distinct(), "line-recurring")
+    return lines.select("k", "t", "line_no", "kind").join(gone, "kind").groupBy("k", "t").agg(F.collect_set("line_no").alias("line_nos"))
 
 
-def drop_recurring_lines(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, depth: int = DEPTH, min_tokens: int = MIN_TOKENS, min_docs: int = MIN_DOCS, min_copies: int = MIN_COPIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept): kept is the text without the lines of recurring templates.
 
     The texts move once, into buckets by document; the two joins that need them read the buckets."""
     documents = shared.write_bucketed(spark, _keyed(docs, id_col, text_col), "line_documents", ["k", "t"])
-    dropped = _dropped(spark, documents, depth, min_tokens, min_docs)
+    dropped = _dropped(spark, documents, depth, min_tokens, min_docs, min_copies)
     rows = documents.join(dropped, ["k", "t"], "left").withColumn("lines", F.split("text", "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "line_nos")
     kept = F.when(F.col("line_nos").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.col("lines")[i]), "\n"))

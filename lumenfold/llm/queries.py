@@ -47,30 +47,32 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH lines AS (
-  SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents
+  SELECT doc_id, hash(text) AS t, unnest(range(0, len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents
 ), tok AS (
-  SELECT doc_id, line_no, list_filter(regexp_split_to_array(regexp_replace(line, '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS tokens FROM lines
+  SELECT doc_id, t, line_no, list_filter(regexp_split_to_array(regexp_replace(line, '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS tokens FROM lines
 ), leafed AS (
-  SELECT doc_id, line_no, tokens, array_to_string(tokens, ' ') AS kind, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM tok WHERE len(tokens) >= 4
+  SELECT doc_id, t, line_no, tokens, array_to_string(tokens, ' ') AS kind, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf FROM tok WHERE len(tokens) > 0
 ), common AS (
-  SELECT leaf FROM leafed GROUP BY leaf HAVING count(DISTINCT doc_id) >= 10
+  SELECT leaf FROM leafed WHERE len(tokens) >= 4 GROUP BY leaf HAVING count(DISTINCT t) >= 10
 ), here AS (
   SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM common)
 ), votes AS (
   SELECT leaf, pos, token, count(*) AS n FROM (SELECT leaf, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM here) GROUP BY leaf, pos, token
 ), constant AS (
   SELECT leaf, pos, token FROM (SELECT *, sum(n) OVER (PARTITION BY leaf, pos) AS total FROM votes) WHERE 2 * n > total
-), scored AS (
-  SELECT h.leaf, h.kind, 2 * count(c.token) >= any_value(h.n) AS general
+), general AS (
+  SELECT h.leaf, h.kind
   FROM (SELECT leaf, kind, len(tokens) AS n, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM (SELECT DISTINCT leaf, kind, tokens FROM here)) h
   LEFT JOIN constant c ON h.leaf = c.leaf AND h.pos = c.pos AND h.token = c.token
-  GROUP BY h.leaf, h.kind
-), members AS (
-  SELECT h.doc_id, h.line_no, h.leaf, CASE WHEN s.general THEN NULL ELSE h.kind END AS own FROM here h JOIN scored s ON h.leaf = s.leaf AND h.kind = s.kind
+  GROUP BY h.leaf, h.kind HAVING 2 * count(c.token) >= any_value(h.n)
 ), recurring AS (
-  SELECT leaf, own FROM members GROUP BY leaf, own HAVING count(DISTINCT doc_id) >= 10
+  SELECT g.leaf FROM general g JOIN here h ON g.kind = h.kind GROUP BY g.leaf HAVING count(DISTINCT h.t) >= 10
+), dropped AS (
+  SELECT kind FROM leafed GROUP BY kind HAVING count(DISTINCT t) >= CASE WHEN any_value(len(tokens)) < 4 THEN 10 ELSE 3 END
+  UNION
+  SELECT g.kind FROM general g JOIN recurring r ON g.leaf = r.leaf
 ), gone AS (
-  SELECT m.doc_id, m.line_no FROM members m JOIN recurring r ON m.leaf = r.leaf AND m.own IS NOT DISTINCT FROM r.own
+  SELECT doc_id, line_no FROM leafed WHERE kind IN (SELECT kind FROM dropped)
 )
 SELECT l.doc_id, count(*)::BIGINT AS n_lines, count(g.line_no)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.line_no) FILTER (WHERE g.line_no IS NULL), '')) AS kept_sha256

@@ -9,30 +9,31 @@ pytest.importorskip("lumenfold.llm")
 from lumenfold.llm import line_dedup as L  # noqa: E402
 
 
-def brute(rows, min_docs, depth=3, min_tokens=4):
+def brute(rows, min_docs, min_copies, depth=3, min_tokens=4):
     tokens = lambda x: [t for t in re.split(L.SPACE, re.sub("[0-9]+", "0", x)) if t]
-    leaves = defaultdict(list)
+    leaves, kinds = defaultdict(list), defaultdict(list)
     for doc in {(i, t or "") for i, t in rows}:
         for no, line in enumerate(doc[1].split("\n")):
-            if len(w := tokens(line)) >= min_tokens:
+            if w := tokens(line):
                 leaves[len(w), *w[:depth]].append((doc, no, tuple(w)))
+                kinds[tuple(w)].append((doc, no))
+    texts = lambda members: len({m[0][1] for m in members})
     gone = set()
+    for kind, members in kinds.items():
+        if texts(members) >= (min_copies if len(kind) >= min_tokens else min_docs):
+            gone |= set(members)
     for members in leaves.values():
-        if len({d for d, _, _ in members}) < min_docs:
-            continue
         n = len(members[0][2])
+        if n < min_tokens or texts(members) < min_docs:
+            continue
         template = {}
         for p in range(n):
             token, c = Counter(w[p] for _, _, w in members).most_common(1)[0]
             if 2 * c > len(members):
                 template[p] = token
-        groups = defaultdict(list)
-        for m in members:
-            general = 2 * sum(template.get(p) == m[2][p] for p in range(n)) >= n
-            groups[None if general else m[2]].append(m)
-        for g in groups.values():
-            if len({d for d, _, _ in g}) >= min_docs:
-                gone |= {(d, no) for d, no, _ in g}
+        general = [m for m in members if 2 * sum(template.get(p) == m[2][p] for p in range(n)) >= n]
+        if texts(general) >= min_docs:
+            gone |= {(d, no) for d, no, _ in general}
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -58,9 +59,24 @@ def test_equals_brute_force(spark):
     rows = [(i, "\n".join(line() for _ in range(rng.randrange(1, 9)))) for i in range(60)]
     rows += [(None, None), (None, ""), (3, "all rights are reserved by us\n\n"), (3, "all rights are reserved by us\n\n"), (70, "z " * 40_000), (71, "\n" * 50)]
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, leaf int, kind string")
-    for min_docs in (2, 5):
-        got = [tuple(r) for r in L.drop_recurring_lines(spark, docs, min_docs=min_docs).collect()]
-        assert sorted(got, key=str) == sorted(brute(rows, min_docs), key=str)
+    for min_docs, min_copies in ((2, 2), (5, 3), (L.MIN_DOCS, L.MIN_COPIES)):
+        got = [tuple(r) for r in L.drop_recurring_lines(spark, docs, min_docs=min_docs, min_copies=min_copies).collect()]
+        assert sorted(got, key=str) == sorted(brute(rows, min_docs, min_copies), key=str)
+
+
+def test_the_defaults_drop_planted_lines_and_leave_copies_whole(spark):
+    own = lambda i: f"only document {i} has this line of its own {'abc'[i % 3] * (i + 1)}"
+    passage = " ".join(f"word{'x' * i}" for i in range(60))
+    rows = [(i, f"{own(i)}\n{passage}") for i in range(3)]  # a long line in three documents
+    rows += [(10 + i, f"{own(10 + i)}\nPage {i} of {90 + i} in all") for i in range(3)]  # the same but for digits
+    rows += [(20 + i, f"{own(20 + i)}\nAll rights reserved.") for i in range(10)]  # a short line in ten
+    rows += [(40 + i, f"{own(40 + i)}\nOh no.") for i in range(9)]  # a short line in nine stays
+    rows += [(60 + i, f"posted by {'uvwxyz'[i % 6] * (i + 1)} on the old board") for i in range(12)]  # a template with a variable field
+    rows += [(80 + i, "copies of a document\nkeep all of their lines") for i in range(40)]
+    got = {r["doc_id"]: (r["kept"], r["n_dropped"]) for r in L.drop_recurring_lines(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        lines = text.split("\n")
+        assert got[i] == ((lines[0], 1) if i < 40 and i not in range(60, 72) else ("", 1) if 60 <= i < 72 else (text, 0)), i
 
 
 def test_empty_table(spark):
