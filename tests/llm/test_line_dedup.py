@@ -65,7 +65,7 @@ def test_equals_brute_force(spark):
 
 
 def test_the_defaults_drop_planted_lines_and_leave_copies_whole(spark):
-    own = lambda i: f"only document {i} has this line of its own {'abc'[i % 3] * (i + 1)}"
+    own = lambda i: " ".join(chr(97 + i % 26) * (i // 26 + j) for j in range(1, 6))
     passage = " ".join(f"word{'x' * i}" for i in range(60))
     rows = [(i, f"{own(i)}\n{passage}") for i in range(3)]  # a long line in three documents
     rows += [(10 + i, f"{own(10 + i)}\nPage {i} of {90 + i} in all") for i in range(3)]  # the same but for digits
