@@ -71,7 +71,7 @@ def test_the_defaults_drop_planted_lines_and_leave_copies_whole(spark):
     rows += [(10 + i, f"{own(10 + i)}\nPage {i} of {90 + i} in all") for i in range(3)]  # the same but for digits
     rows += [(20 + i, f"{own(20 + i)}\nAll rights reserved.") for i in range(10)]  # a short line in ten
     rows += [(40 + i, f"{own(40 + i)}\nOh no.") for i in range(9)]  # a short line in nine stays
-    rows += [(60 + i, f"posted by {'uvwxyz'[i % 6] * (i + 1)} on the old board") for i in range(12)]  # a template with a variable field
+    rows += [(60 + i, f"posted on the {'uvwxyz'[i % 6] * (i + 1)} board by us") for i in range(12)]  # a template with a variable field
     rows += [(80 + i, "copies of a document\nkeep all of their lines") for i in range(40)]
     got = {r["doc_id"]: (r["kept"], r["n_dropped"]) for r in L.drop_recurring_lines(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     for i, text in rows:
