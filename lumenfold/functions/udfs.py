@@ -1,4 +1,4 @@
-"""User-defined functions of each kind, all moving data as Arrow batches."""
+"""User-defined functions of each kind; all but the plain one move data as Arrow batches."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,3 +41,46 @@ def centered(df: DataFrame, by: str, key: str, value: str) -> DataFrame:
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(by, key, value).join(means, by).mapInPandas(shift, f"{key} {kind}, centered double")
+
+
+@F.arrow_udf(T.LongType())
+def arrow_log_bucket(values: pa.Array) -> pa.Array:
+    """log_bucket() on Arrow arrays, without pandas."""
+    return pc.cast(pc.floor(pc.log2(pc.add(pc.abs(values), 1.0))), pa.int64())
+
+
+@F.udf(T.LongType())
+def letters_e(text: str | None) -> int | None:
+    return None if text is None else text.count("e")
+
+
+def gaps(events: DataFrame) -> DataFrame:
+    """Seconds since the same user's event before: a grouped map, for groups that fit in a task."""
+
+    def since(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["ts", "event_id"])
+        return pd.DataFrame({"event_id": group["event_id"], "gap": group["ts"].diff().dt.total_seconds().round(3)})
+
+    return events.select("user_id", "event_id", "ts").groupBy("user_id").applyInPandas(since, "event_id long, gap double")
+
+
+def dearest_orders(orders: DataFrame) -> DataFrame:
+    """Each customer's dearest order and number of orders, on Arrow tables."""
+
+    def best(group: pa.Table) -> pa.Table:
+        return pa.table({"o_custkey": group.column("o_custkey").slice(0, 1), "dearest": [pc.max(group.column("o_totalprice")).as_py()], "n": [group.num_rows]})
+
+    return orders.select("o_custkey", "o_totalprice").groupBy("o_custkey").applyInArrow(best, "o_custkey long, dearest double, n long")
+
+
+def paired_counts(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    """How many rows each side has of a key (nation, customers, suppliers). Each side is counted before the
+    cogroup, so a group is one row a side however many rows its key has."""
+
+    def counted(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("nation")).agg(F.count(F.lit(1)).alias("n"))
+
+    def both(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"nation": [key[0]], "customers": [int(a["n"].sum())], "suppliers": [int(b["n"].sum())]})
+
+    return counted(left, left_key).groupBy("nation").cogroup(counted(right, right_key).groupBy("nation")).applyInPandas(both, "nation int, customers long, suppliers long")

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tpch", "relational", "aggregates", "scalars", "streams")
+MODULES = ("tpch", "relational", "aggregates", "scalars", "files", "streams")
 
 
 def load_all() -> None:

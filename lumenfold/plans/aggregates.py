@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.operators.windows import groups_frame, qualify
 from lumenfold.plans.registry import query
-from lumenfold.sources.tables import register_views, table
+from lumenfold.sources.tables import table
 
 
 @query("ag1_group", "SELECT event_type, round(sum(value), 2) AS total, round(avg(value), 4) AS mean, count(*) AS n FROM events GROUP BY event_type")
@@ -49,16 +49,42 @@ def percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.percentile("value", 0.9), 6).alias("p90"))
 
 
-@query("ag6_approx_distinct")
+def _within(estimate, exact, bound: float):
+    return F.abs(estimate - exact) <= bound * exact
+
+
+@query("ag6_approx_distinct", "SELECT count(DISTINCT o_custkey) AS customers, true AS within FROM orders")
 def approx_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").agg(F.approx_count_distinct("o_custkey", 0.02).alias("customers"))
+    """The exact number, and whether the estimate is within three of its standard deviations of it."""
+    both = table(spark, sf_dir, "orders").agg(F.approx_count_distinct("o_custkey", 0.02).alias("about"), F.count_distinct("o_custkey").alias("customers"))
+    return both.select("customers", _within(F.col("about"), F.col("customers"), 0.06).alias("within"))
 
 
-@query("ag7_sketches")
+@query("ag7_sketches", "SELECT count(DISTINCT ts::DATE) AS days, count(DISTINCT user_id) AS users, true AS hll_within, true AS theta_within FROM events")
 def sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HyperLogLog sketches for each day, merged over all days: unlike counts, sketches add up."""
-    daily = table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("day")).agg(F.hll_sketch_agg("user_id").alias("sketch"))
-    return daily.agg(F.count(F.lit(1)).alias("days"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("users"))
+    """HyperLogLog and theta sketches for each day, merged over all days: unlike counts, sketches add up."""
+    events = table(spark, sf_dir, "events")
+    daily = events.groupBy(F.to_date("ts").alias("day")).agg(F.hll_sketch_agg("user_id").alias("hll"), F.theta_sketch_agg("user_id").alias("theta"))
+    merged = daily.agg(F.count(F.lit(1)).alias("days"), F.hll_sketch_estimate(F.hll_union_agg("hll")).alias("hll"), F.theta_sketch_estimate(F.theta_union_agg("theta")).alias("theta"))
+    # One row beside one row.
+    both = merged.crossJoin(events.agg(F.count_distinct("user_id").alias("users")))
+    return both.select("days", "users", _within(F.col("hll"), F.col("users"), 0.05).alias("hll_within"), _within(F.col("theta"), F.col("users"), 0.05).alias("theta_within"))
+
+
+@query("ag7_quantile_sketch", "SELECT event_type, count(*) AS n, true AS within FROM events GROUP BY event_type")
+def quantile_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KLL sketches, and whether the share of values up to the estimated median is near a half."""
+    events = table(spark, sf_dir, "events").select("event_type", "value")
+    medians = events.groupBy("event_type").agg(F.kll_sketch_get_quantile_double(F.kll_sketch_agg_double("value"), F.lit(0.5)).alias("median"))
+    joined = events.join(F.broadcast(medians), "event_type")  # a row for each type of event
+    return joined.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), (F.abs(F.avg((F.col("value") <= F.col("median")).cast("double")) - 0.5) < 0.05).alias("within"))
+
+
+@query("ag7_count_min_sketch", "SELECT count(*) AS n, true AS made FROM events")
+def count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count-min sketch as bytes, for readers outside SQL."""
+    made = F.octet_length(F.count_min_sketch("user_id", F.lit(0.001), F.lit(0.99), F.lit(7))) > 0
+    return table(spark, sf_dir, "events").agg(F.count(F.lit(1)).alias("n"), made.alias("made"))
 
 
 @query("ag8_ordered_strings", "SELECT r_name, string_agg(n_name, ',' ORDER BY n_name) AS nations FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
@@ -80,10 +106,10 @@ def unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.unpivot("s_suppkey", ["nation", "balance"], "what", "value")
 
 
-@query("ag11_top_items")
+@query("ag11_top_items", "SELECT row_number() OVER (ORDER BY count(*) DESC) AS place, count(*) AS n FROM events GROUP BY user_id QUALIFY place <= 10")
 def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, sf_dir, ("events",))
-    return spark.sql("SELECT x.item AS user_id, x.count AS n FROM (SELECT explode(approx_top_k(user_id, 10)) AS x FROM events)")
+    """The counts of the ten commonest users, which are exact while the sketch can hold all of them."""
+    return spark.sql("SELECT pos + 1 AS place, x.count AS n FROM (SELECT posexplode(approx_top_k(user_id, 10)) AS (pos, x) FROM {events})", events=table(spark, sf_dir, "events")).withColumn("place", F.col("place").cast("long"))
 
 
 WN = "SELECT event_id, {} FROM events"
@@ -109,8 +135,8 @@ def rows_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("wn4_range_frame", WN.format("count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1' HOUR PRECEDING AND CURRENT ROW) AS within_hour"))
 def range_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, sf_dir, ("events",))
-    return spark.sql(WN.format("count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1' HOUR PRECEDING AND CURRENT ROW) AS within_hour"))
+    hour = "count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL '1' HOUR PRECEDING AND CURRENT ROW) AS within_hour"
+    return spark.sql(f"SELECT event_id, {hour} FROM {{events}}", events=table(spark, sf_dir, "events"))
 
 
 @query("wn5_first_last_nth", WN.format("first_value(value) OVER w AS f, last_value(value) OVER w AS l, nth_value(value, 2) OVER w AS n2") + " WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
@@ -119,6 +145,13 @@ def first_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.first("value").over(w).alias("f"), F.last("value").over(w).alias("l"), F.nth_value("value", 2).over(w).alias("n2"))
 
 
+@query("wn5_ignore_nulls", WN.format("last_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS last_bought, first_value(CASE WHEN event_type = 'purchase' THEN value END IGNORE NULLS) OVER w AS first_bought") + " WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+def ignore_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bought = F.when(F.col("event_type") == "purchase", F.col("value"))
+    return table(spark, sf_dir, "events").select("event_id", F.last(bought, ignorenulls=True).over(w).alias("last_bought"), F.first(bought, ignorenulls=True).over(w).alias("first_bought"))
+
+
 @query("wn6_groups_frame", "SELECT p_partkey, count(*) OVER (PARTITION BY p_type ORDER BY p_size GROUPS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS n FROM part")
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups_frame(table(spark, sf_dir, "part"), ["p_type"], "p_size", F.count(F.lit(1)), 1, 1, "n").select("p_partkey", "n")

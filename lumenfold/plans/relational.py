@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lumenfold.operators.joins import as_of_join, band_join
 from lumenfold.operators.windows import top_k_per_group
 from lumenfold.plans.registry import query
-from lumenfold.sources.tables import register_views, table
+from lumenfold.sources.tables import table
 
 
 @query("prj1_filter_project", "SELECT o_orderkey, upper(o_orderpriority) AS priority, o_totalprice * 1.5 AS with_tax FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000")
@@ -23,10 +23,14 @@ def sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").sampleBy("event_type", {"click": 0.1, "purchase": 0.5, "view": 0.2}, seed=7)
 
 
+@query("prj2_tablesample", "SELECT 100::BIGINT AS n")
+def tablesample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql("SELECT count(*) AS n FROM (SELECT * FROM {events} TABLESAMPLE (100 ROWS))", events=table(spark, sf_dir, "events"))
+
+
 @query("prj3_pipe_sql", "SELECT event_type, count(*) AS n FROM events WHERE value > 10 GROUP BY event_type")
 def pipe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, sf_dir, ("events",))
-    return spark.sql("FROM events |> WHERE value > 10 |> AGGREGATE count(*) AS n GROUP BY event_type")
+    return spark.sql("FROM {events} |> WHERE value > 10 |> AGGREGATE count(*) AS n GROUP BY event_type", events=table(spark, sf_dir, "events"))
 
 
 @query("jn1_inner", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 200000")
@@ -43,11 +47,11 @@ def left_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("c_custkey", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query("jn2_full_outer", "SELECT c_custkey, s_suppkey FROM (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0) FULL JOIN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 2 = 0) ON c_custkey = s_suppkey")
+@query("jn2_full_outer", "SELECT c_custkey, s_suppkey FROM customer FULL JOIN supplier ON c_custkey = s_suppkey + 1450")
 def full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select("c_custkey")
-    suppliers = table(spark, sf_dir, "supplier").where("s_suppkey % 2 = 0").select("s_suppkey")
-    return customers.join(suppliers, F.col("c_custkey") == F.col("s_suppkey"), "full")
+    """The keys are shifted against each other, so that both sides have rows without a partner."""
+    customers, suppliers = table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "supplier").select("s_suppkey")
+    return customers.join(suppliers, F.col("c_custkey") == F.col("s_suppkey") + 1450, "full")
 
 
 @query("jn3_left_semi", "SELECT o_orderkey, o_totalprice FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 50)")
@@ -62,6 +66,21 @@ def left_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").join(orders, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
+JN4 = "SELECT c_custkey FROM {customer} WHERE nullif(c_nationkey, 3) NOT IN (SELECT s_nationkey FROM {supplier} WHERE s_acctbal > 9000)"
+
+
+@query("jn4_not_in", JN4.format(customer="customer", supplier="supplier"))
+def not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT IN with nulls on the left: neither in nor not in, so such rows go."""
+    return spark.sql(JN4, customer=table(spark, sf_dir, "customer"), supplier=table(spark, sf_dir, "supplier"))
+
+
+@query("jn4_not_in_nulls", "SELECT c_custkey FROM customer WHERE c_nationkey NOT IN (SELECT nullif(s_nationkey, 3) FROM supplier)")
+def not_in_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NOT IN with nulls on the right: no row passes."""
+    return spark.sql("SELECT c_custkey FROM {customer} WHERE c_nationkey NOT IN (SELECT nullif(s_nationkey, 3) FROM {supplier})", customer=table(spark, sf_dir, "customer"), supplier=table(spark, sf_dir, "supplier"))
+
+
 @query("jn5_band_join", "SELECT s_suppkey, p_partkey FROM supplier JOIN part ON s_acctbal BETWEEN p_retailprice - 1 AND p_retailprice + 1")
 def band(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = band_join(table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part"), F.col("s_acctbal"), F.col("p_retailprice") - 1, F.col("p_retailprice") + 1, width=8.0)
@@ -75,17 +94,34 @@ def cross(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("jn7_natural_join", "SELECT n_name, r_name FROM (SELECT n_name, n_regionkey AS k FROM nation) NATURAL JOIN (SELECT r_name, r_regionkey AS k FROM region)")
 def natural(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nations = table(spark, sf_dir, "nation").select("n_name", F.col("n_regionkey").alias("k"))
-    return nations.join(table(spark, sf_dir, "region").select("r_name", F.col("r_regionkey").alias("k")), "k").select("n_name", "r_name")
+    return spark.sql(
+        "SELECT n_name, r_name FROM (SELECT n_name, n_regionkey AS k FROM {nation}) NATURAL JOIN (SELECT r_name, r_regionkey AS k FROM {region})",
+        nation=table(spark, sf_dir, "nation"), region=table(spark, sf_dir, "region"),
+    )
 
 
-JN8 = "SELECT o_orderkey, o_totalprice FROM orders o WHERE o_totalprice > (SELECT 1.5 * avg(i.o_totalprice) FROM orders i WHERE i.o_custkey = o.o_custkey)"
+JN8 = "SELECT o_orderkey, o_totalprice FROM {orders} o WHERE o_totalprice > (SELECT 1.5 * avg(i.o_totalprice) FROM {orders} i WHERE i.o_custkey = o.o_custkey)"
 
 
-@query("jn8_correlated_scalar", JN8)
+@query("jn8_correlated_scalar", JN8.format(orders="orders"))
 def correlated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, sf_dir, ("orders",))
-    return spark.sql(JN8)
+    return spark.sql(JN8, orders=table(spark, sf_dir, "orders"))
+
+
+JN8_LATERAL = "SELECT c_custkey, n, dearest FROM {customer}, LATERAL (SELECT count(*) AS n, max(o_totalprice) AS dearest FROM {orders} WHERE o_custkey = c_custkey)"
+
+
+@query("jn8_lateral_sql", JN8_LATERAL.format(customer="customer", orders="orders"))
+def lateral_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(JN8_LATERAL, customer=table(spark, sf_dir, "customer"), orders=table(spark, sf_dir, "orders"))
+
+
+@query("jn8_lateral_join", "SELECT event_id, part FROM (SELECT event_id, unnest([event_type, event_type || '!']) AS part FROM events)")
+def lateral_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function that reads the row on its left."""
+    kind = F.col("event_type").outer()
+    parts = spark.tvf.explode(F.array(kind, F.concat(kind, F.lit("!")))).toDF("part")
+    return table(spark, sf_dir, "events").lateralJoin(parts).select("event_id", "part")
 
 
 @query("jn8_lateral", "SELECT c_custkey, o_orderkey FROM (SELECT c_custkey, o_orderkey, row_number() OVER (PARTITION BY c_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM customer JOIN orders ON o_custkey = c_custkey) WHERE r <= 2")

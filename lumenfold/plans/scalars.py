@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.functions.udfs import TokenLengths, centered, log_bucket
+from lumenfold.functions.udfs import TokenLengths, arrow_log_bucket, centered, dearest_orders, gaps, letters_e, log_bucket, paired_counts
 from lumenfold.functions.vectors import dot
+from lumenfold.operators.windows import top_k_per_group
 from lumenfold.plans.registry import query
 from lumenfold.sources.tables import table
 
 
 @query("fn1_strings", """
-SELECT doc_id, lower(substr(text, 1, 20)) AS head, upper(lang) AS lang, strpos(text, ' ')::BIGINT AS space, length(text) AS n, string_split(text, ' ')[1] AS word FROM documents
+SELECT doc_id, substr(lower(text), 1, 20) AS head, upper(lang) AS lang, strpos(text, ' ')::BIGINT AS space, length(text) AS n, string_split(text, ' ')[1] AS word FROM documents
 """)
 def strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.lower(F.substring("text", 1, 20)).alias("head"), F.upper("lang").alias("lang"), F.instr("text", " ").cast("long").alias("space"), F.length("text").cast("long").alias("n"), F.split("text", " ")[0].alias("word"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.substring(F.lower("text"), 1, 20).alias("head"), F.upper("lang").alias("lang"), F.instr("text", " ").cast("long").alias("space"), F.length("text").cast("long").alias("n"), F.split("text", " ")[0].alias("word"))
 
 
 @query("fn2_regex", "SELECT page_id, regexp_replace(url, '[0-9]+', '#', 'g') AS shape, regexp_extract(url, '^([a-zA-Z]+):', 1) AS scheme FROM pages")
@@ -72,18 +73,72 @@ def maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_map.select("user_id", F.size("best").cast("long").alias("kinds"), F.try_element_at("best", F.lit("view")).alias("twice"))
 
 
-@query("ud1_arrow_udf", "SELECT event_id, floor(log2(1 + abs(value)))::BIGINT AS bucket FROM events")
-def arrow_udfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+UD1 = "SELECT event_id, floor(log2(1 + abs(value)))::BIGINT AS bucket FROM events"
+
+
+@query("ud1_pandas_udf", UD1)
+def pandas_udfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", log_bucket("value").alias("bucket"))
 
 
+@query("ud1_arrow_udf", UD1)
+def arrow_udfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", arrow_log_bucket("value").alias("bucket"))
+
+
+@query("ud1_plain_udf", "SELECT DISTINCT event_type, length(event_type) - length(replace(event_type, 'e', '')) AS es FROM events")
+def plain_udfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function called once a row: applied to the few distinct values only."""
+    return table(spark, sf_dir, "events").select("event_type").distinct().select("event_type", letters_e("event_type").alias("es"))
+
+
 @query("ud2_udtf", "SELECT doc_id, len(w) AS length, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY doc_id, len(w)")
 def udtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.udtf.register("token_lengths", TokenLengths)
-    table(spark, sf_dir, "documents").createOrReplaceTempView("udtf_documents")
-    return spark.sql("SELECT doc_id, t.length, t.n FROM udtf_documents, LATERAL token_lengths(text) t")
+    return spark.sql("SELECT doc_id, t.length, t.n FROM {documents}, LATERAL token_lengths(text) t", documents=table(spark, sf_dir, "documents"))
 
 
 @query("ud3_grouped_map", "SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 4) AS centered FROM events")
 def grouped_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centered(table(spark, sf_dir, "events"), "event_type", "event_id", "value")
+
+
+@query("ud3_apply_in_pandas", "SELECT event_id, round(epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)), 3) AS gap FROM events")
+def apply_in_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+
+
+@query("ud3_apply_in_arrow", "SELECT o_custkey, max(o_totalprice) AS dearest, count(*) AS n FROM orders GROUP BY o_custkey")
+def apply_in_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dearest_orders(table(spark, sf_dir, "orders"))
+
+
+@query("ud3_cogroup", """
+SELECT n_nationkey AS nation, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS customers, (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS suppliers
+FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer UNION SELECT s_nationkey FROM supplier)
+""")
+def cogroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paired_counts(table(spark, sf_dir, "customer"), "c_nationkey", table(spark, sf_dir, "supplier"), "s_nationkey")
+
+
+@query("tx1_exact_dedup", "SELECT min(doc_id) AS doc_id, count(*) AS copies, md5(text) AS digest FROM documents GROUP BY md5(text)")
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each distinct text: the digests are aggregated before they are shuffled, the texts stay."""
+    return table(spark, sf_dir, "documents").groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+
+
+@query("tx4_vector_top_k", """
+SELECT query_id, vec_id, cosine FROM (
+  SELECT q.vec_id AS query_id, v.vec_id, round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS cosine,
+         row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_dot_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) DESC, v.vec_id) AS place
+  FROM embeddings q JOIN embeddings v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id
+) WHERE place <= 10
+""")
+def vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one; vectors have unit norm, so the dot product is the cosine.
+
+    The stated queries meet all rows in blocks; each task keeps ten rows a query before the shuffle."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("other"))
+    scored = vectors.join(queries, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot("embedding", "other"), 6).alias("cosine"))
+    return top_k_per_group(scored, ["query_id"], [F.desc("cosine"), F.asc("vec_id")], 10).select("query_id", "vec_id", "cosine")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
 
 FORMATS = ("parquet", "csv", "json", "orc", "text")
@@ -37,16 +37,32 @@ class _Range(InputPartition):
 
 class _SquaresReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.rows, self.parts = int(options.get("rows", 100)), int(options.get("parts", 4))
+        self.start, self.stop, self.parts = 0, int(options.get("rows", 100)), int(options.get("parts", 4))
 
     def partitions(self) -> list[InputPartition]:
-        cuts = [self.rows * i // self.parts for i in range(self.parts + 1)]
+        rows = max(0, self.stop - self.start)
+        cuts = [self.start + rows * i // self.parts for i in range(self.parts + 1)]
         return [_Range(a, b) for a, b in zip(cuts, cuts[1:])]
 
     def read(self, partition: _Range) -> Iterator[tuple[int, int]]:
         return ((n, n * n) for n in range(partition.start, partition.stop))
 
 
+class _BoundedSquaresReader(_SquaresReader):
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Take bounds on n; return what Spark must still apply."""
+        for f in filters:
+            n = getattr(f, "value", None) if getattr(f, "attribute", None) == ("n",) else None
+            if isinstance(f, (GreaterThan, GreaterThanOrEqual)) and n is not None:
+                self.start = max(self.start, n + isinstance(f, GreaterThan))
+            elif isinstance(f, (LessThan, LessThanOrEqual)) and n is not None:
+                self.stop = min(self.stop, n + isinstance(f, LessThanOrEqual))
+            elif isinstance(f, EqualTo) and n is not None:
+                self.start, self.stop = max(self.start, n), min(self.stop, n + 1)
+            else:
+                yield f
+
+
 class Squares(DataSource):
     """A source in Python: numbers and their squares, each partition made by its own task."""
 
@@ -59,3 +75,14 @@ class Squares(DataSource):
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _SquaresReader(self.options)
+
+
+class BoundedSquares(Squares):
+    """Squares that take filters on n; the session needs spark.sql.python.filterPushdown.enabled."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "bounded_squares"
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _BoundedSquaresReader(self.options)

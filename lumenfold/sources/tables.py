@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -11,7 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> None:
-    """Make the named tables known to spark.sql()."""
-    for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path that the driver and all executors see: in the session's checkpoint folder; a temporary
+    folder takes its place only where driver and executors are one machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="lumenfold-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

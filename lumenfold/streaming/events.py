@@ -74,3 +74,20 @@ def run_to_memory(spark: SparkSession, stream: DataFrame, name: str, mode: str,
 def run_to_parquet(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run an append-mode stream over what there is into Parquet files, exactly once."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+
+
+def run_through_files(spark: SparkSession, stream: DataFrame, path: str) -> DataFrame:
+    """run_to_parquet() under a path, read back."""
+    run_to_parquet(stream, f"{path}/rows", f"{path}/checkpoint")
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
+def run_updates(spark: SparkSession, stream: DataFrame, path: str) -> DataFrame:
+    """Run an update-mode stream over what there is; every batch is a folder of its own, so that a batch
+    that is repeated replaces itself. Returns the rows of all batches with their number."""
+
+    def store(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/rows/batch={batch}")
+
+    stream.writeStream.foreachBatch(store).option("checkpointLocation", f"{path}/checkpoint").outputMode("update").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/rows")

@@ -88,3 +88,13 @@ def test_python_source(spark):
     df = spark.read.format("squares").option("rows", 10).option("parts", 3).load()
     assert df.rdd.getNumPartitions() == 3
     assert sorted(map(tuple, df.collect())) == [(n, n * n) for n in range(10)]
+
+
+def test_filters_reach_the_python_source(spark):
+    from pyspark.sql.datasource import GreaterThan, LessThanOrEqual
+
+    from lumenfold.sources import files
+
+    reader = files.BoundedSquares({"rows": "50", "parts": "3"}).reader(None)
+    assert list(reader.pushFilters([GreaterThan(("n",), 9), LessThanOrEqual(("n",), 20), GreaterThan(("square",), 4)])) == [GreaterThan(("square",), 4)]
+    assert [r for p in reader.partitions() for r in reader.read(p)] == [(n, n * n) for n in range(10, 21)]
