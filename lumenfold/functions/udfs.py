@@ -55,13 +55,13 @@ def letters_e(text: str | None) -> int | None:
 
 
 def gaps(events: DataFrame) -> DataFrame:
-    """Seconds since the same user's event before: a grouped map, for groups that fit in a task."""
+    """Microseconds since the same user's event before: a grouped map, for groups that fit in a task."""
 
     def since(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["ts", "event_id"])
-        return pd.DataFrame({"event_id": group["event_id"], "gap": group["ts"].diff().dt.total_seconds().round(3)})
+        return pd.DataFrame({"event_id": group["event_id"], "gap": (group["ts"].diff() // pd.Timedelta(microseconds=1)).astype("Int64")})
 
-    return events.select("user_id", "event_id", "ts").groupBy("user_id").applyInPandas(since, "event_id long, gap double")
+    return events.select("user_id", "event_id", "ts").groupBy("user_id").applyInPandas(since, "event_id long, gap long")
 
 
 def dearest_orders(orders: DataFrame) -> DataFrame:

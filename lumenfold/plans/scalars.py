@@ -103,7 +103,7 @@ def grouped_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centered(table(spark, sf_dir, "events"), "event_type", "event_id", "value")
 
 
-@query("ud3_apply_in_pandas", "SELECT event_id, round(epoch(ts) - epoch(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)), 3) AS gap FROM events")
+@query("ud3_apply_in_pandas", "SELECT event_id, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS gap FROM events")
 def apply_in_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gaps(table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")))
 
