@@ -21,6 +21,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +36,12 @@ from lumenfold.llm import shared
 PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: A bound on a worker's cache of encoded words. It has two halves: a full one becomes the old one, and
 #: what is met again moves out of that, so the words in use stay.
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 192 << 20
 #: What an entry takes beside its characters and ids.
 ENTRY_BYTES = 200
 BATCH_CHARS = 4 << 20
+STOPS = ".,:;!?"
+_STOPPED = f"^\\n?\\p{{L}}+[{STOPS}]$"
 
 
 _other_space = re.compile(r"[^\S\n ]").search
@@ -135,10 +138,15 @@ class Encoder:
         marked = ["\r" + t.replace("\n", " \n") for t in texts]
         coded = pc.split_pattern(pa.array([" ".join(marked)], pa.large_string()), " ").flatten().dictionary_encode()
         words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        # A stop after letters is a pre-token of its own, so the word is looked up without it.
+        stop, after = {c: self._pieces([c]) for c in STOPS}, [b""] * len(words)
+        for i in np.flatnonzero(pc.match_substring_regex(coded.dictionary, _STOPPED).to_numpy(zero_copy_only=False)).tolist():
+            words[i], after[i] = words[i][:-1], stop[words[i][-1]]
         ids = list(map(self.words.get, words))
         if None in ids:
-            self._learn(self._unknown(self.words, self.old_words, [w for w, x in zip(words, ids) if x is None]))
+            self._learn(self._unknown(self.words, self.old_words, dict.fromkeys(w for w, x in zip(words, ids) if x is None)))
             ids = list(map(self.words.__getitem__, words))
+        ids = list(map(add, ids, after))
         flat = np.frombuffer(b"".join(ids), self.dtype)
         # 32 bits suffice: a batch is some MB of text, or one text, which is less than 2^31 characters.
         size = np.fromiter(map(len, ids), np.int32, len(ids)) // self.dtype.itemsize
