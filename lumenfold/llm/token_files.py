@@ -137,22 +137,21 @@ class Encoder:
         return, which no such text has, to tell that no space stands before it."""
         marked = ["\r" + t.replace("\n", " \n") for t in texts]
         coded = pc.split_pattern(pa.array([" ".join(marked)], pa.large_string()), " ").flatten().dictionary_encode()
-        words, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words = coded.dictionary.to_pylist()
         # A stop after letters is a pre-token of its own, so the word is looked up without it.
-        stop, after = {c: self._pieces([c]) for c in STOPS}, [b""] * len(words)
+        stops, after = {c: self._pieces([c]) for c in STOPS}, [b""] * len(words)
         for i in np.flatnonzero(pc.match_substring_regex(coded.dictionary, _STOPPED).to_numpy(zero_copy_only=False)).tolist():
-            words[i], after[i] = words[i][:-1], stop[words[i][-1]]
+            words[i], after[i] = words[i][:-1], stops[words[i][-1]]
         ids = list(map(self.words.get, words))
         if None in ids:
             self._learn(self._unknown(self.words, self.old_words, dict.fromkeys(w for w, x in zip(words, ids) if x is None)))
             ids = list(map(self.words.__getitem__, words))
         ids = list(map(add, ids, after))
-        flat = np.frombuffer(b"".join(ids), self.dtype)
         # 32 bits suffice: a batch is some MB of text, or one text, which is less than 2^31 characters.
-        size = np.fromiter(map(len, ids), np.int32, len(ids)) // self.dtype.itemsize
-        start, length = (np.cumsum(size, dtype=np.int32) - size)[index], size[index]
-        stop = np.cumsum(length, dtype=np.int32)
-        tokens = flat[np.repeat(start - stop + length, length) + np.arange(stop[-1], dtype=np.int32)]
+        edges = np.zeros(len(ids) + 1, np.int32)
+        np.cumsum(np.fromiter(map(len, ids), np.int32, len(ids)) // self.dtype.itemsize, out=edges[1:])
+        taken = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), self.dtype))).take(coded.indices)
+        tokens, stop = taken.values.to_numpy(), taken.offsets.to_numpy()[1:]
         ends = stop[np.cumsum([m.count(" ") + 1 for m in marked]) - 1]
         for place, a, b in zip(places, [0, *ends.tolist()], ends.tolist()):
             out[place] = tokens[a:b].tobytes() + self.end
