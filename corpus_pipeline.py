@@ -16,7 +16,10 @@ from lumenfold.llm.queries import END_ID, MIX_BLOCK, WEIGHTS, table, tokenizer_p
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts; it learns from the labels of those not held out."""
+    """Documents that the quality classifier accepts; it learns from the labels of those not held out.
+
+    Null, empty and blank texts are scored like any other, rows of one id each by its own text; all
+    columns are kept, and an empty table gives an empty one."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -35,17 +38,22 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item. Null and empty texts contain none, and stay; rows are
+    judged one by one, so repeated rows and ids share their fate only if they share their text."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the schedule: the rows of the files, in the order of the files."""
+    """All documents, in the order of the schedule: the rows of the files, in the order of the files.
+
+    Null sources and ids come first; rows of one id are ordered by text; columns of all names are kept."""
     return mixing.interleave(docs, WEIGHTS, MIX_BLOCK)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files in the order in which the mixing stage has stored the documents, read back."""
+    """Token files in the order in which the mixing stage has stored the documents, read back.
+
+    A null text has the end id only; every row is written, whatever its id; other columns are ignored."""
     path = shared.new_path(spark, "pipeline-tokens")
     name = F.col("_metadata.file_name")
     ordered = docs.withColumns({"_part": F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), "_file": name, "_row": F.col("_metadata.row_index")})
