@@ -40,6 +40,8 @@ CACHE_BYTES = 192 << 20
 #: What an entry takes beside its characters and ids.
 ENTRY_BYTES = 200
 BATCH_CHARS = 4 << 20
+#: Words that are encoded as one text.
+WORDS_A_TEXT = 20_000
 STOPS = ".,:;!?"
 _STOPPED = f"^\\n?\\p{{L}}+[{STOPS}]$"
 
@@ -73,6 +75,9 @@ class Encoder:
         self.split = regex.compile(PRE_TOKEN).findall if not spec.get("normalizer") and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec["model"].get("ignore_merges") else None
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.end = b"" if end_id is None else np.array([end_id], self.dtype).tobytes()
+        #: Which ids start with a space (the vocabulary writes its byte so).
+        self.spaced = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        self.spaced[[i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if token[0] == "\u0120"]] = True
         self.bare: dict[str, bytes] = {}  # the ids of a string
         self.words: dict[str, bytes] = {}  # the ids of a space and a string; of the string alone if it starts with a line feed, or after a carriage return
         self.old_bare: dict[str, bytes] = {}
@@ -82,8 +87,26 @@ class Encoder:
     def _bytes(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.dtype.itemsize == 2 else "I"
         if sys.byteorder == "little":
-            return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _spaced_bytes(self, words: list[str]) -> list[bytes]:
+        """The ids of each word, which holds no white space, with a space before it.
+
+        Many are encoded as one text: a single space always starts a pre-token, and so a token, and no other
+        token of such a text starts with one."""
+        out, width = [], self.dtype.itemsize
+        for i in range(0, len(words), WORDS_A_TEXT):
+            some = words[i : i + WORDS_A_TEXT]
+            text = " " + " ".join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            edges = (np.append(np.flatnonzero(self.spaced[ids]), len(ids)) * width).tolist()
+            if len(edges) != len(some) + 1 or any(a in text for a in self.added):
+                out += self._bytes([" " + w for w in some])
+            else:
+                data = ids.tobytes()
+                out += [data[a:b] for a, b in zip(edges, edges[1:])]
+        return out
 
     def _add(self, cache: dict[str, bytes], keys: list[str], ids: list[bytes]) -> None:
         cache.update(zip(keys, ids))
@@ -109,7 +132,7 @@ class Encoder:
         pieces = {w: self.split(w[1:] if w[0] == "\r" else w if w[0] == "\n" else " " + w) for w in words if not w.isalpha()}
         # One pre-token each, with its space: words of letters, and what other words start with.
         plain = self._unknown(self.words, self.old_words, {w for w in words if w.isalpha()} | {p[0][1:] for p in pieces.values() if p[0][0] == " "})
-        self._add(self.words, plain, self._bytes([" " + w for w in plain]))
+        self._add(self.words, plain, self._spaced_bytes(plain))
         self._pieces([p for w in pieces.values() for p in w if p[0] != " "])  # all at once, for what follows
         ids = [self.words[head[1:]] + self._pieces(rest) if head[0] == " " else self._pieces([head, *rest]) for head, *rest in pieces.values()]
         self._add(self.words, list(pieces), ids)
@@ -137,7 +160,8 @@ class Encoder:
         return, which no such text has, to tell that no space stands before it."""
         marked = ["\r" + t.replace("\n", " \n") for t in texts]
         coded = pc.split_pattern(pa.array([" ".join(marked)], pa.large_string()), " ").flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        # One string, cut again: quicker than a string for each value.
+        words = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), pa.scalar(" ", pa.large_string()))[0].as_py().split(" ")
         # A stop after letters is a pre-token of its own, so the word is looked up without it.
         stops, after = {c: self._pieces([c]) for c in STOPS}, [b""] * len(words)
         for i in np.flatnonzero(pc.match_substring_regex(coded.dictionary, _STOPPED).to_numpy(zero_copy_only=False)).tolist():

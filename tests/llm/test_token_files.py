@@ -51,3 +51,24 @@ def test_pieces_equal_whole_encoding():
     for _ in range(400):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(40)))
         assert np.frombuffer(enc.encode([text])[0], "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_words_encoded_as_one_text(monkeypatch, tmp_path):
+    monkeypatch.setattr(token_files, "WORDS_A_TEXT", 7)
+    rng = random.Random(6)
+    tok = tokenizers.Tokenizer.from_file(tokenizer_path())
+    letters = "abcdefghijklmnopqrstuvwxyzABCéßñĠĊ中日ǅʰ́\U0001e900'9!²"
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 12))) for _ in range(2000)]
+    enc = token_files.Encoder(tokenizer_path(), None)
+    want = [tok.encode(" " + w, add_special_tokens=False).ids for w in words]
+    assert [np.frombuffer(b, "<u2").tolist() for b in enc._spaced_bytes(words)] == want
+    text = " ".join(words)
+    assert np.frombuffer(enc.encode([text])[0], "<u2").tolist() == tok.encode(text, add_special_tokens=False).ids
+    # An added token that spans words: they are encoded one by one, and texts that hold it whole.
+    tok.add_tokens([" of the", "cut"])
+    path = str(tmp_path / "added.json")
+    tok.save(path)
+    enc = token_files.Encoder(path, None)
+    some = ["end", "of", "the", "cutting", "word"]
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc._spaced_bytes(some)] == [tok.encode(" " + w, add_special_tokens=False).ids for w in some]
+    assert np.frombuffer(enc.encode(["end of the word"])[0], enc.dtype).tolist() == tok.encode("end of the word", add_special_tokens=False).ids
