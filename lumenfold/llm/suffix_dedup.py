@@ -36,6 +36,10 @@ LENGTH = 100
 GRAM = 16
 BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 1 << 20
+#: Text whose fragments are packed together: the more, the fewer and larger the rows that a task sends.
+HELD_BYTES = 32 << 20
+#: Packed rows that are handed over at a time.
+SENT_BYTES = 4 << 20
 #: Bytes of text whose fragments go to one task.
 BYTES_A_TASK = 16 << 20
 #: Text of the sample that finds keys with very many fragments, and the least number that counts.
@@ -160,6 +164,14 @@ def joined(parts: list[Fragments]) -> Fragments:
     return Fragments(*columns[:5], parts[0].text, columns[5])
 
 
+def of_one_text(parts: list[Fragments]) -> Fragments:
+    """Fragments of several texts, as fragments of these texts put together."""
+    edges = np.cumsum([0, *(len(p.text) for p in parts)])
+    moved = [Fragments(p.key, p.doc, p.start, p.count, p.inner, p.text, p.at + base) for p, base in zip(parts, edges)]
+    moved[0].text = np.concatenate([p.text for p in parts])
+    return joined(moved)
+
+
 def _grams(text: np.ndarray) -> np.ndarray:
     """A hash of the 16 bytes from each place on (short at the end)."""
     words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(np.concatenate([text, np.zeros(15, np.uint8)]), 8)).view("<u8").ravel()
@@ -391,29 +403,63 @@ def by_far_end(f: Fragments, grams: np.ndarray, length: int) -> Fragments:
     return Fragments(blobs.mix(f.key[owner] + blobs.mix(ends)), f.doc[owner], f.start[owner] + on, np.ones(len(at), np.int64), np.zeros(len(at), bool), f.text, at)
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The first bytes of all values, then the second ones, and so on: high bytes are alike and compress away."""
+    return np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T)
+
+
+def _from_planes(flat: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(flat.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _packed(held: list[Fragments], spans: list[tuple[np.ndarray, ...]], length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """What is held, cut by bucket: one row for the spans of a bucket's documents, one for its fragments."""
+    rows, size = [], 0
+
+    def made() -> Iterator[tuple[int, bytes]]:
+        doc, start, stop = to_spans(*(np.concatenate([s[i] for s in spans]) for i in range(3)))
+        for i, columns in blobs.cut((blobs.mix(doc) % np.uint64(buckets)).astype(np.int32), doc, start, stop):
+            yield i, blobs.pack(*columns)
+        f = of_one_text(held)
+        data = memoryview(f.text)
+        for i, (key, doc, start, count, inner, at) in blobs.cut((blobs.mix(f.key) % np.uint64(buckets)).astype(np.int32), f.key, f.doc, f.start, f.count, f.inner, f.at):
+            text = b"".join([data[a:b] for a, b in zip(at.tolist(), (at + count + length - 1).tolist())])
+            # Within a task 32 bits tell keys apart well enough: keys that collide are compared for nothing.
+            key = (blobs.mix(key) >> np.uint64(32)).astype(np.uint32)
+            yield i, blobs.pack(_planes(key), _planes(np.diff(doc, prepend=np.int64(0))), _planes(start), _planes(count), inner, text, level=6)
+
+    for row in made():
+        rows.append(row)
+        size += len(row[1])
+        if size >= SENT_BYTES:
+            yield blobs.batch(rows)
+            rows, size = [], 0
+    yield blobs.batch(rows)
+
+
 def _scatter(length: int, buckets: int, hot: np.ndarray):
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, spans, size = [], [], 0
         for pieces in _pieces(batches, length):
             f, digest = fragments(pieces, length)
             keep, copies = merge_copies(f, digest, length)
-            rows, spans, kept = [], [f.take(copies)], f.take(keep)
+            gone, kept = [f.take(copies)], f.take(keep)
             is_hot = np.isin(kept.key, hot)
             if is_hot.any():
                 single = by_far_end(kept.take(np.flatnonzero(is_hot)), _grams(f.text), length)
                 few, again = merge_copies(single, digest_of(single, length), length)
-                spans.append(single.take(again))
+                gone.append(single.take(again))
                 kept = joined([kept.take(np.flatnonzero(~is_hot)), single.take(few)])
-            gone = joined(spans)
-            doc, start, stop = to_spans(gone.doc, gone.start, gone.start + gone.count + length - 1)
-            for i, columns in blobs.cut((blobs.mix(doc) % np.uint64(buckets)).astype(np.int32), doc, start, stop):
-                rows.append((i, blobs.pack(*columns)))
-            data = f.text.tobytes()
-            bucket = (blobs.mix(kept.key) % np.uint64(buckets)).astype(np.int32)
-            for i, (key, doc, start, count, inner, at) in blobs.cut(bucket, kept.key, kept.doc, kept.start, kept.count, kept.inner, kept.at):
-                text = b"".join([data[a:b] for a, b in zip(at.tolist(), (at + count + length - 1).tolist())])
-                # Within a task 32 bits tell keys apart well enough: keys that collide are compared for nothing.
-                rows.append((i, blobs.pack((blobs.mix(key) >> np.uint64(32)).astype(np.uint32), doc, start.astype(np.uint32) if start.max() < 1 << 32 else start, count.astype(np.uint32), inner, text, level=3)))
-            yield blobs.batch(rows)
+            gone = joined(gone)
+            spans.append(to_spans(gone.doc, gone.start, gone.start + gone.count + length - 1))
+            held.append(kept)
+            size += len(kept.text)
+            del f, digest, keep, copies, gone, kept
+            if size >= HELD_BYTES:
+                yield from _packed(held, spans, length, buckets)
+                held, spans, size = [], [], 0
+        if held:
+            yield from _packed(held, spans, length, buckets)
         shared.trim()
 
     return scatter
@@ -428,12 +474,13 @@ def _gather(length: int, shard_bytes: int):
                 if len(columns) == 3:
                     spans.append(columns)
                 else:
-                    parts.append([c.copy() for c in columns[:5]])
+                    key, doc, start, count = (_from_planes(c, kind) for c, kind in zip(columns, (np.uint32, np.int64, np.int64, np.int64)))
+                    parts.append([key, np.cumsum(doc), start, count, columns[4].copy()])
                     packed.append(x.as_py())
                 del columns
         found = [tuple(s) for s in spans]
         if parts:
-            key, doc, start, count, inner = (np.concatenate([p[i] for p in parts]).astype(kind) for i, kind in enumerate((np.uint32, np.int64, np.int64, np.int64, bool)))
+            key, doc, start, count, inner = (np.concatenate([p[i] for p in parts]) for i in range(5))
             edges = np.cumsum([0, *(len(p[0]) for p in parts)])
             del parts
             # Only fragments whose key comes twice can share a window: of the others no bytes are kept. The

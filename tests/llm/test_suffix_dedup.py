@@ -62,10 +62,13 @@ def test_empty_table(spark):
     assert S.remove_repeats(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_pieces_of_a_long_text(monkeypatch):
+@pytest.mark.parametrize("held, sent", [(1, 1), (1500, 200), (32 << 20, 4 << 20)])
+def test_pieces_of_a_long_text(monkeypatch, held, sent):
     import pyarrow as pa
 
     monkeypatch.setattr(S, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(S, "HELD_BYTES", held)
+    monkeypatch.setattr(S, "SENT_BYTES", sent)
     rng = random.Random(5)
     text = "".join(rng.choice("ab") for _ in range(4000))
     batch = pa.RecordBatch.from_arrays([pa.array([7, 8]), pa.array([text, text[300:3000]])], ["k", "text"])
@@ -76,6 +79,12 @@ def test_pieces_of_a_long_text(monkeypatch):
     assert (d.tolist(), a.tolist(), b.tolist()) == ([8], [0], [2700])
 
 
+def test_planes_of_extreme_values():
+    ids = np.array([S.LEAST, (1 << 63) - 1, -(1 << 63), 0, 5, 5], np.int64)
+    back = np.cumsum(S._from_planes(S._planes(np.diff(ids, prepend=np.int64(0))).ravel(), np.int64))
+    assert back.tolist() == ids.tolist()
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_suffix_array_and_prefixes(seed):
     rng = random.Random(seed)
