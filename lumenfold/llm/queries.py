@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.llm import decontaminate, fingerprints, line_dedup, lm_scores, mixing, quality, shared, simhash_dedup, suffix_dedup, token_files, warc
+from lumenfold.llm import decontaminate, exact_dedup, fingerprints, importance, line_dedup, lm_scores, mixing, periodic_runs, quality, shared, simhash_dedup, suffix_dedup, token_files, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -184,3 +184,52 @@ FROM p JOIN bits USING (hex) JOIN k USING (hex)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_warc(spark, table(spark, sf_dir, "pages"), shared.new_path(spark, "op10-warc"), min_bytes=0)
     return warc.read_warc(spark, files)
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document, by a hash of its id, gets a periodic end."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
+    n = F.size("words")
+    a = F.when(n > 0, g % F.greatest(n, F.lit(1))).otherwise(0).cast("int")
+    period = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    times = F.ceil((n - F.col("a")) / F.col("period")).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("period")), times)), F.lit(1), n - F.col("a"))
+    edited = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    chosen = docs.select("doc_id", "text", g.alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    spots = chosen.withColumn("a", a).withColumn("period", period)
+    return spots.select("doc_id", F.when(F.col("words").isNotNull() & (n > 0), edited).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    # Of two runs the first has the greater exponent if its length times the other's period is more.
+    first = F.aggregate("runs", F.lit(None).cast("struct<start: long, length: long, period: long>"), lambda best, r: F.when(best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), first.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.start", "best.length", "best.period", F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
+OP12_SQL = r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents
+), o AS (
+  SELECT doc_id, body, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY body) AS group_size, row_number() OVER w AS place
+  FROM n WINDOW w AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM o
+"""
+
+
+@query("op12_exact_dedup", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.owners(spark, table(spark, sf_dir, "documents")).drop("chars")
+
+
+@query("op13_importance")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
