@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("tpch", "relational", "aggregates", "scalars", "files", "streams")
+MODULES = ("tpch", "relational", "aggregates", "scalars", "files", "streams", "similarity")
 
 
 def load_all() -> None:

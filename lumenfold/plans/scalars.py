@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lumenfold.functions.udfs import TokenLengths, arrow_log_bucket, centered, dearest_orders, gaps, letters_e, log_bucket, paired_counts
 from lumenfold.functions.vectors import dot
-from lumenfold.operators.windows import top_k_per_group
+from lumenfold.operators.vector_index import nearest
 from lumenfold.plans.registry import query
 from lumenfold.sources.tables import table
 
@@ -137,8 +137,6 @@ SELECT query_id, vec_id, cosine FROM (
 def vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one; vectors have unit norm, so the dot product is the cosine.
 
-    The stated queries meet all rows in blocks; each task keeps ten rows a query before the shuffle."""
+    The stated queries meet all rows in blocks: a task multiplies one block of each."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    queries = vectors.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("other"))
-    scored = vectors.join(queries, F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot("embedding", "other"), 6).alias("cosine"))
-    return top_k_per_group(scored, ["query_id"], [F.desc("cosine"), F.asc("vec_id")], 10).select("query_id", "vec_id", "cosine")
+    return nearest(vectors, vectors.where("vec_id % 100 = 0"), 10).select("query_id", F.col("id").alias("vec_id"), F.col("likeness").alias("cosine"))
