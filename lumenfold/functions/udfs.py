@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 
 @F.pandas_udf(T.LongType())
@@ -29,6 +30,49 @@ class TokenLengths:
             yield from Counter(map(len, text.split(" "))).items()
 
 
+@F.udtf
+class SessionTable:
+    """Sessions of a table argument that is partitioned by a key and ordered by time (in microseconds); rows of
+    one partition come in order, so only the open session is held. gap is in seconds."""
+
+    @staticmethod
+    def analyze(rows: AnalyzeArgument, gap: AnalyzeArgument) -> AnalyzeResult:
+        names = rows.dataType.fieldNames() if rows.isTable else []
+        if len(names) != 2:
+            raise ValueError("sessions() takes a table of a key and a time")
+        if not gap.isConstantExpression or gap.value is None or gap.value < 0:
+            raise ValueError("the gap must be a constant of 0 or more")
+        out = T.StructType().add(names[0], rows.dataType[names[0]].dataType).add("first", T.LongType()).add("last", T.LongType()).add("n", T.LongType())
+        return AnalyzeResult(out)
+
+    def __init__(self) -> None:
+        self.key, self.first, self.last, self.n = None, None, None, 0
+
+    def eval(self, row: T.Row, gap: int) -> Iterator[tuple]:
+        key, at = row
+        if self.n and at > self.last + gap * 1_000_000:
+            yield self.key, self.first, self.last, self.n
+            self.n = 0
+        if not self.n:
+            self.key, self.first = key, at
+        self.last, self.n = at, self.n + 1
+
+    def terminate(self) -> Iterator[tuple]:
+        if self.n:
+            yield self.key, self.first, self.last, self.n
+
+
+@F.arrow_udtf(returnType="doc_id long, length long, n long")
+class TokenLengthTable:
+    """TokenLengths over a table argument (doc_id, text), on Arrow batches."""
+
+    def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+        parts = pc.split_pattern(rows.column("text"), " ")
+        at, lengths = pc.list_parent_indices(parts), pc.utf8_length(pc.list_flatten(parts))
+        counted = pa.table({"doc_id": rows.column("doc_id").take(at), "length": pc.cast(lengths, pa.int64())}).group_by(["doc_id", "length"]).aggregate([([], "count_all")])
+        yield pa.table({"doc_id": counted["doc_id"], "length": counted["length"], "n": counted["count_all"]})
+
+
 def centered(df: DataFrame, by: str, key: str, value: str) -> DataFrame:
     """Each value less its group's mean: a grouped map in two steps, so that no group is one task's.
 

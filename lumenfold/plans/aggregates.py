@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lumenfold.operators.windows import groups_frame, qualify
+from lumenfold.functions.aggregators import geometric_mean, grouped_geometric_mean, weighted_variance
+from lumenfold.functions.sketches import count_min_estimates
+from lumenfold.operators import frames
+from lumenfold.operators.selection import percentiles
+from lumenfold.operators.windows import qualify
 from lumenfold.plans.registry import query
 from lumenfold.sources.tables import table
 
@@ -46,7 +50,9 @@ def statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ag5_percentile", "SELECT event_type, round(quantile_cont(value, 0.5), 6) AS median, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY event_type")
 def percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("median"), F.round(F.percentile("value", 0.9), 6).alias("p90"))
+    """Exact, with no group in one task."""
+    found = percentiles(spark, table(spark, sf_dir, "events"), "event_type", "value", {"median": 0.5, "p90": 0.9})
+    return found.select("event_type", F.round("median", 6).alias("median"), F.round("p90", 6).alias("p90"))
 
 
 def _within(estimate, exact, bound: float):
@@ -112,6 +118,49 @@ def top_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT pos + 1 AS place, x.count AS n FROM (SELECT posexplode(approx_top_k(user_id, 10)) AS (pos, x) FROM {events})", events=table(spark, sf_dir, "events")).withColumn("place", F.col("place").cast("long"))
 
 
+@query("ag7_count_min_counts", "SELECT l_partkey, count(*) AS n, true AS within FROM lineitem GROUP BY l_partkey")
+def count_min_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A count-min sketch of each ship year, asked for every part of the year: no estimate is below the year's
+    count, and none above it by more than the bound (a thousandth of the year's lines, sketched at half of that)."""
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", F.year("l_shipdate").alias("year"))
+    made = lines.groupBy("year").agg(F.count_min_sketch("l_partkey", F.lit(0.0005), F.lit(0.9999), F.lit(7)).alias("sketch"), F.count(F.lit(1)).alias("lines"))
+    exact = lines.groupBy("year", "l_partkey").agg(F.count(F.lit(1)).alias("n"))
+    asked = count_min_estimates(spark, exact, "year", "l_partkey", made).join(F.broadcast(made.select("year", "lines")), "year")  # a row for each year
+    within = (F.col("about") >= F.col("n")) & (F.col("about") <= F.col("n") + 0.001 * F.col("lines"))
+    return asked.groupBy("l_partkey").agg(F.sum("n").alias("n"), F.every(within).alias("within"))
+
+
+@query("ag11_top_words", "SELECT 20::BIGINT AS items, true AS within")
+def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k states accumulated by source and combined, over more words than a state tracks (true only if there are).
+    Each of the twenty words that come out has a true count near the one stated, which may err by 3.5 / tracked of all."""
+    words = table(spark, sf_dir, "documents").select("source", F.explode(F.split("text", r"\s+")).alias("word"))
+    states = spark.sql("SELECT source, approx_top_k_accumulate(word, 2000) AS state FROM {words} GROUP BY source", words=words)
+    top = spark.sql("SELECT inline(approx_top_k_estimate(approx_top_k_combine(state, 2000), 20)) FROM {states}", states=states)
+    exact = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    slack = exact.agg((F.sum("n") * 3.5 / 2000).alias("slack"), F.count(F.lit(1)).alias("words"))
+    joined = exact.join(F.broadcast(top), F.col("item") == F.col("word")).crossJoin(F.broadcast(slack))  # twenty rows, one row
+    return joined.agg(F.count(F.lit(1)).alias("items"), F.every((F.abs(F.col("count") - F.col("n")) <= F.col("slack")) & (F.col("words") > 2000)).alias("within"))
+
+
+@query("ud4_two_phase", """
+SELECT l_returnflag, round(exp(avg(ln(l_extendedprice))), 4) AS geometric, round(sum(l_quantity * l_discount * l_discount) / sum(l_quantity) - power(sum(l_quantity * l_discount) / sum(l_quantity), 2), 8) AS variance
+FROM lineitem GROUP BY l_returnflag
+""")
+def two_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User-defined aggregates of three groups, each of which is many tasks' work."""
+    lines = table(spark, sf_dir, "lineitem")
+    means = geometric_mean(lines, "l_returnflag", "geometric", x=F.col("l_extendedprice"))
+    spread = weighted_variance(lines, "l_returnflag", "variance", x=F.col("l_discount"), w=F.col("l_quantity"))
+    return means.join(spread, "l_returnflag").select("l_returnflag", F.round("geometric", 4).alias("geometric"), F.round("variance", 8).alias("variance"))
+
+
+@query("ud4_grouped_agg", "SELECT l_orderkey, round(exp(avg(ln(l_extendedprice))), 4) AS geometric FROM lineitem GROUP BY l_orderkey")
+def grouped_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one-phase form, for the few lines of an order."""
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.round(grouped_geometric_mean("l_extendedprice"), 4).alias("geometric"))
+
+
 WN = "SELECT event_id, {} FROM events"
 
 
@@ -154,7 +203,30 @@ def ignore_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("wn6_groups_frame", "SELECT p_partkey, count(*) OVER (PARTITION BY p_type ORDER BY p_size GROUPS BETWEEN 1 PRECEDING AND 1 FOLLOWING) AS n FROM part")
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return groups_frame(table(spark, sf_dir, "part"), ["p_type"], "p_size", F.count(F.lit(1)), 1, 1, "n").select("p_partkey", "n")
+    """Peers are aggregated and numbered in ranges, so the six types are not six tasks."""
+    return frames.groups_frame(spark, table(spark, sf_dir, "part"), ["p_type"], "p_size", {"n": ("count", "p_partkey")}, 1, 1).select("p_partkey", "n")
+
+
+@query("wn6_groups_one_partition", """
+SELECT event_id, count(*) OVER w AS n, round(sum(value) OVER w, 2) AS total, max(value) OVER w AS most
+FROM (SELECT *, date_trunc('minute', ts) AS minute FROM events) WINDOW w AS (ORDER BY minute GROUPS BETWEEN 3 PRECEDING AND 2 FOLLOWING)
+""")
+def groups_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A GROUPS frame over the whole table as one window partition."""
+    events = table(spark, sf_dir, "events").select("event_id", "value", F.date_trunc("minute", "ts").alias("minute"))
+    framed = frames.groups_frame(spark, events, [], "minute", {"n": ("count", "event_id"), "total": ("sum", "value"), "most": ("max", "value")}, 3, 2)
+    return framed.select("event_id", "n", F.round("total", 2).alias("total"), "most")
+
+
+@query("wn4_range_one_partition", """
+SELECT event_id, count(*) OVER w AS n, round(sum(value) OVER w, 2) AS total, min(value) OVER w AS least
+FROM events WINDOW w AS (ORDER BY epoch_us(ts) RANGE BETWEEN 3600000000 PRECEDING AND 600000000 FOLLOWING)
+""")
+def range_one_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A RANGE frame over the whole table as one window partition: a task for each day of it."""
+    events = table(spark, sf_dir, "events").select("event_id", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    framed = frames.range_frame(events, [], "at", {"n": ("count", "event_id"), "total": ("sum", "value"), "least": ("min", "value")}, 3_600_000_000, 600_000_000, 86_400_000_000)
+    return framed.select("event_id", "n", F.round("total", 2).alias("total"), "least")
 
 
 @query("wn7_qualify", "SELECT o_custkey, o_orderkey FROM orders QUALIFY rank() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC) = 1")

@@ -11,6 +11,13 @@ from lumenfold.plans.registry import query
 from lumenfold.sources.tables import table
 
 
+SE4_ALL = """
+WITH RECURSIVE c AS (SELECT (year(o_orderdate) * 12 + month(o_orderdate) - 1)::INTEGER AS m, count(*) AS n FROM orders GROUP BY ALL),
+months(m) AS (SELECT min(m) FROM c UNION ALL SELECT m + 1 FROM months WHERE m < (SELECT max(m) FROM c))
+SELECT months.m, coalesce(n, 0) AS n FROM months LEFT JOIN c ON months.m = c.m
+"""
+
+
 @query("prj1_filter_project", "SELECT o_orderkey, upper(o_orderpriority) AS priority, o_totalprice * 1.5 AS with_tax FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000")
 def filter_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").where("o_orderstatus = 'F' AND o_totalprice > 1000")
@@ -28,6 +35,26 @@ def tablesample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT count(*) AS n FROM (SELECT * FROM {events} TABLESAMPLE (100 ROWS))", events=table(spark, sf_dir, "events"))
 
 
+@query("prj2_bottom_k", "SELECT event_type, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY md5('7:' || event_id), event_id) <= 50")
+def bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stratified sample of exact size: the fifty least salted hashes of each event type. Tasks keep fifty rows a
+    type before the shuffle, and samples of parts merge into the sample of the whole."""
+    events = table(spark, sf_dir, "events").select("event_type", "event_id")
+    salted = F.md5(F.concat(F.lit("7:"), F.col("event_id")))
+    return top_k_per_group(events, ["event_type"], [salted, F.col("event_id")], 50).select("event_type", "event_id")
+
+
+@query("se4_all_months", SE4_ALL)
+def all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recursion to the last month that has orders, whichever it is; orders meet the months by number."""
+    orders = table(spark, sf_dir, "orders")
+    number = (F.year("o_orderdate") * 12 + F.month("o_orderdate") - 1).alias("m")
+    counts = orders.select(number).groupBy("m").agg(F.count(F.lit(1)).alias("n"))
+    # Recursion gives up after 100 rounds by default.
+    months = spark.sql("WITH RECURSIVE span AS (SELECT min(m) AS first, max(m) AS last FROM {counts}), months(m, last) MAX RECURSION LEVEL 5000 AS (SELECT first, last FROM span UNION ALL SELECT m + 1, last FROM months WHERE m < last) SELECT m FROM months", counts=counts)
+    return months.join(counts, "m", "left").select("m", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
 @query("prj3_pipe_sql", "SELECT event_type, count(*) AS n FROM events WHERE value > 10 GROUP BY event_type")
 def pipe_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("FROM {events} |> WHERE value > 10 |> AGGREGATE count(*) AS n GROUP BY event_type", events=table(spark, sf_dir, "events"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenfold.functions.udfs import TokenLengths, arrow_log_bucket, centered, dearest_orders, gaps, letters_e, log_bucket, paired_counts
+from lumenfold.functions.udfs import SessionTable, TokenLengths, TokenLengthTable, arrow_log_bucket, centered, dearest_orders, gaps, letters_e, log_bucket, paired_counts
 from lumenfold.functions.vectors import dot
 from lumenfold.operators.vector_index import nearest
 from lumenfold.plans.registry import query
@@ -98,6 +98,25 @@ def udtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT doc_id, t.length, t.n FROM {documents}, LATERAL token_lengths(text) t", documents=table(spark, sf_dir, "documents"))
 
 
+@query("ud2_arrow_udtf", "SELECT doc_id, len(w) AS length, count(*) AS n FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS w FROM documents) GROUP BY doc_id, len(w)")
+def arrow_udtfs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table function on Arrow batches of a table argument; a document's row is in one batch, so its counts are whole."""
+    spark.udtf.register("token_length_table", TokenLengthTable)
+    return spark.sql("SELECT * FROM token_length_table(TABLE(SELECT doc_id, text FROM {documents}))", documents=table(spark, sf_dir, "documents"))
+
+
+@query("ud2_table_argument", """
+WITH marked AS (SELECT user_id, epoch_us(ts) AS us, CASE WHEN epoch_us(ts) > lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) + 1800000000 THEN 1 ELSE 0 END AS fresh FROM events),
+numbered AS (SELECT user_id, us, sum(fresh) OVER (PARTITION BY user_id ORDER BY us) AS s FROM marked)
+SELECT user_id, min(us) AS first, max(us) AS last, count(*) AS n FROM numbered GROUP BY user_id, s
+""")
+def table_argument(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions by a table function over a partitioned and ordered table argument."""
+    spark.udtf.register("session_table", SessionTable)
+    events = table(spark, sf_dir, "events").select("user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))
+    return spark.sql("SELECT * FROM session_table(TABLE({events}) PARTITION BY (user_id) ORDER BY (at), 1800)", events=events)
+
+
 @query("ud3_grouped_map", "SELECT event_id, round(value - avg(value) OVER (PARTITION BY event_type), 4) AS centered FROM events")
 def grouped_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centered(table(spark, sf_dir, "events"), "event_type", "event_id", "value")
