@@ -199,6 +199,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int =
     least id of their group stay."""
     found = groups(spark, docs, words, least, radius, id_col, text_col)
     gone = found.where(F.coalesce(F.col("component_id") < F.col("doc_id"), F.col("component_id").isNotNull()))
-    gone = shared.write_table(spark, gone.select(F.col("doc_id").alias("_gone_id"), F.col("t").alias("_gone_t")).distinct(), "near-duplicates")
-    here = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)) == F.coalesce("_gone_id", F.lit(LEAST_ID))
-    return docs.join(gone, here & (text_hash(F.col(text_col).cast("string")) == F.col("_gone_t")), "left_anti")
+    gone_id, gone_t = shared.free_name(docs, "gone_id"), shared.free_name(docs, "gone_t")
+    gone = shared.write_table(spark, gone.select(F.col("doc_id").alias(gone_id), F.col("t").alias(gone_t)).distinct(), "near-duplicates")
+    here = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)) == F.coalesce(gone_id, F.lit(LEAST_ID))
+    return docs.join(gone, here & (text_hash(F.col(text_col).cast("string")) == F.col(gone_t)), "left_anti")

@@ -45,6 +45,14 @@ def write_bucketed(spark: SparkSession, df: DataFrame, name: str, keys: list[str
     return spark.table(label)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores before it as no column of df has it, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a path that new_path() made."""
     jvm = spark.sparkContext._jvm

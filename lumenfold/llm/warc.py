@@ -8,9 +8,10 @@ member has no say in it, so every intact record is found, however damaged its ne
 
 Damage: bytes that belong to no intact record (damaged, padded or cut archives) are counted, a file at a
 time, as the file's size less its records' sizes. read_warc() raises on any by default, and returns the
-intact records if asked to skip them; damage() lists the files. A payload may hold a whole record that lies
-in it uncompressed: before a range takes its first record, it looks back, LOOK_BACK bytes at most, for the
-record before or one that encloses it. (Payloads of UTF-8 text hold none: the magic number is no UTF-8.)
+intact records if asked to skip them; damage() lists the files. A payload may hold whole records that lie
+in it uncompressed, and a range that starts there takes them for the file's own: so ranges report where all
+members start and end, and those that start inside another member of the file are left out. A member is
+held whole while it is checked: a task's memory follows the longest record.
 
 Defined results: a null payload is an empty one; a null id sorts below all others and is written as
 "null"; rows with the id of a payload's response are all responses; a null URL is left out; columns
@@ -29,7 +30,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lumenfold.llm import shared
@@ -42,7 +43,6 @@ URN = "urn:page:"
 PART_BYTES = 1 << 30
 RANGE_BYTES = 8 << 20
 CHUNK = 1 << 18
-LOOK_BACK = 64 << 20
 
 SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
@@ -131,36 +131,17 @@ def parse_fields(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])}
 
 
-def members(f, start: int, stop: int) -> Iterator[tuple[bytes, int]]:
-    """The contents and compressed sizes of the members that start in [start, stop)."""
-    at, framed = start, start == 0
+def members(f, start: int, stop: int) -> Iterator[tuple[bytes, int, int]]:
+    """The contents, starts and ends of the members that start in [start, stop), each after the last one's end."""
+    at = start
     while at < stop:
-        found = _member(f, at)
-        if found and not framed and (end := _enclosing(f, at)):
-            at, framed = end, True
-        elif found:
-            yield found[0], found[1] - at
-            at, framed = found[1], True
+        if found := _member(f, at):
+            yield found[0], at, found[1]
+            at = found[1]
         else:
             at = _magic(f, at + 1, stop)
 
 
-def _enclosing(f, at: int) -> int:
-    """The end of a member that starts before a position and goes on beyond it; 0 if there is none."""
-    low, high = max(0, at - LOOK_BACK), at
-    while high > low:
-        start = max(low, high - CHUNK)
-        f.seek(start)
-        data = f.read(min(at, high + 2) - start)
-        while (place := data.rfind(MAGIC)) >= 0:
-            found = _member(f, start + place)
-            if found and found[1] >= at:
-                return found[1] if found[1] > at else 0
-            data = data[: place + 2]
-        high = start
-    return 0
-
-
 def _magic(f, at: int, stop: int) -> int:
     """Where the next magic number starts, or stop."""
     while at < stop:
@@ -187,15 +168,15 @@ def parse_record(content: bytes) -> dict | None:
 
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "member_bytes"]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", "start", "stop"]
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
     for batch in batches:
         for part in batch.to_pylist():
             rows: list[dict] = []
             with shared.open_read(part["uri"]) as f:
-                for content, size in members(f, part["start"], min(part["start"] + part["step"], part["size"])):
-                    if record := parse_record(content):
-                        rows.append({n: record[n] for n in names[:5]} | {"uri": part["uri"], "member_bytes": size})
+                for content, start, stop in members(f, part["start"], min(part["start"] + part["step"], part["size"])):
+                    record = parse_record(content) or dict.fromkeys(names[:5])
+                    rows.append({n: record[n] for n in names[:5]} | {"uri": part["uri"], "start": start, "stop": stop})
                     if len(rows) == 4096:
                         yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], t) for n, t in zip(names, types)], names)
                         rows = []
@@ -204,10 +185,16 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_records(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """One row for each intact record of the files (uri, size), read by byte ranges: its fields, the file and its size there."""
+    """One row for each intact record of the files (uri, size), read by byte ranges: its fields, the file and its size there.
+
+    Members of a file lie one after another or in each other, so one that starts before the furthest end of
+    those that start before it lies in another. The window is over a file's members, without their contents."""
     ranges = files.where("size > 0").select("uri", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("start"), F.lit(range_bytes).cast("long").alias("step"))
     dealt = ranges.repartition(shared.partitions(spark), F.xxhash64("uri", "start"))
-    return shared.write_table(spark, dealt.mapInArrow(_reader, f"{SCHEMA}, uri string, member_bytes long"), "warc-records")
+    found = shared.write_table(spark, dealt.mapInArrow(_reader, f"{SCHEMA}, uri string, start long, stop long"), "warc-records")
+    before = F.max("stop").over(Window.partitionBy("uri").orderBy("start").rowsBetween(Window.unboundedPreceding, -1))
+    own = found.withColumn("before", before).where("before IS NULL OR before <= start").where("record_type IS NOT NULL")
+    return own.withColumn("member_bytes", F.col("stop") - F.col("start")).drop("start", "stop", "before")
 
 
 def damage(files: DataFrame, records: DataFrame) -> DataFrame:

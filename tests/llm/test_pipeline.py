@@ -49,3 +49,31 @@ def test_stages_keep_the_columns_and_take_empty_input(spark):
         path = shared.new_path(spark, "test-stage")
         out.write.parquet(path)
         docs = spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("stage", range(5))
+def test_stages_take_any_columns_and_rows(spark, stage):
+    """Nulls, empty and long texts, ties, repeated rows, and columns whose names the operators use themselves."""
+    texts = [r["text"] for r in table(spark, DATA, "documents").where("doc_id < 40").collect()]
+    rows = [(i, t, "en", f"src{i % 3}", len(t)) for i, t in enumerate(texts)]
+    rows += [(500, None, None, None, None), (None, "", "en", "src0", 0), (None, texts[0], "en", None, 5), rows[3], rows[3], (3, texts[4], "en", "src1", 1), (900, "long words here " * 20_000, "en", "src2", 9)]
+    names = ["_gone_id", "_GONE_T", "gone_id", "gone_t", "_metadata", "_part", "_file", "_row", "sig", "fp", "component_id", "score", "slot", "block", "position", "part", "rank", "t", "k"]
+    docs = spark.createDataFrame([(*r, *[7] * len(names)) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    path = shared.new_path(spark, "test-names")
+    docs.write.parquet(path)
+    docs = spark.read.parquet(path)
+    out = corpus_pipeline.STAGES[stage][1](spark, docs, DATA)
+    got = out.collect()
+    if stage == 4:
+        assert len(got) == len(rows)
+        return
+    assert out.columns == docs.columns
+    bag = [tuple(r)[:5] for r in got]
+    assert all(bag.count(r) <= rows.count(r) for r in bag) and all(set(tuple(r)[5:]) == {7} for r in got)
+    ids = [r[0] for r in bag]
+    if stage == 1:  # rows that share the least id of their group stay, those without an id go if their group has one
+        assert ids.count(3) >= 2 and bag.count(rows[3]) == rows.count(rows[3]) and (None, texts[0], "en", None, 5) not in bag
+    if stage == 2:
+        assert 500 in ids and 900 in ids
+    if stage == 3:
+        assert sorted(map(str, bag)) == sorted(map(str, rows))

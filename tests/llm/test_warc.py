@@ -1,5 +1,4 @@
 import gzip
-import io
 
 import pytest
 
@@ -39,16 +38,14 @@ def test_empty_table(spark):
     check(spark, [], 100)
 
 
-def test_false_magic_inside_a_member_is_skipped():
+def test_false_magic_inside_a_member_is_skipped(spark):
     import zlib
 
     raw = warc.make_record(1, "u", b"p" * 50 + warc.gzip_member(b"WARC/1.1\r\nContent-Length: 0\r\n\r\n\r\n\r\n") + b"tail" * 9, False, None, "d")
     packer = zlib.compressobj(0, zlib.DEFLATED, 31)  # stored: the inner member is visible
     data = packer.compress(raw) + packer.flush() + warc.gzip_member(warc.make_record(2, "u", b"q", False, None, "d"))
-    for cut in range(1, len(data), 7):
-        f = io.BytesIO(data)
-        got = [warc.parse_record(x)["page_id"] for a, b in ((0, cut), (cut, len(data))) for x, _ in warc.members(f, a, b)]
-        assert got == [1, 2]
+    for range_bytes in (7, 20, 61, 150, 10_000):
+        assert read_ids(spark, data, range_bytes) == [1, 2]
 
 
 def damaged(spark, change, range_bytes=100, skip=True):
@@ -97,14 +94,46 @@ def test_foreign_and_wrong_records_are_damage(spark):
     assert ids == [0, 1, 2, 3, 4, 5] and lost == len(info) + len(wrong)
 
 
-def test_a_record_within_a_payload_is_not_read():
+def test_a_record_within_a_payload_is_not_read(spark):
     import zlib
 
     inner = warc.gzip_member(warc.make_record(50, "u", b"in", False, None, "d"))
     packer = zlib.compressobj(0, zlib.DEFLATED, 31)
     data = warc.gzip_member(warc.make_record(1, "u", b"a", False, None, "d"))
-    data += packer.compress(warc.make_record(2, "u", b"b" * 30 + inner + b"c" * 30, False, None, "d")) + packer.flush()
+    data += packer.compress(warc.make_record(2, "u", b"b" * 30 + inner + inner + b"c" * 30, False, None, "d")) + packer.flush()
     data += warc.gzip_member(warc.make_record(3, "u", b"d", False, None, "d"))
-    for cut in range(1, len(data), 5):
-        got = [warc.parse_record(x)["page_id"] for a, b in ((0, cut), (cut, len(data))) for x, _ in warc.members(io.BytesIO(data), a, b)]
-        assert got == [1, 2, 3]
+    for range_bytes in (7, 20, 61, 200, 450, 10_000):
+        assert read_ids(spark, data, range_bytes) == [1, 2, 3]
+
+
+def read_ids(spark, data, range_bytes):
+    path = shared.new_path(spark, "test-nested") + "/a.warc.gz"
+    with shared.publish(path) as f:
+        f.write(data)
+    files = spark.createDataFrame([(path, len(data))], "uri string, size long")
+    return sorted(r["page_id"] for r in warc.read_warc(spark, files, range_bytes).collect())
+
+
+def test_records_far_inside_a_long_payload(spark):
+    import os
+    import zlib
+
+    inner = b"".join(warc.gzip_member(warc.make_record(i, "u", b"in", False, None, "d")) for i in (50, 51))
+    packer = zlib.compressobj(0, zlib.DEFLATED, 31)
+    data = warc.gzip_member(warc.make_record(1, "u", b"a", False, None, "d"))
+    data += packer.compress(warc.make_record(2, "u", os.urandom(66 << 20) + inner + b"c" * (1 << 20), False, None, "d")) + packer.flush()
+    data += warc.gzip_member(warc.make_record(3, "u", b"d", False, None, "d"))
+    assert read_ids(spark, data, 8 << 20) == [1, 2, 3]
+
+
+def test_records_inside_a_foreign_member(spark):
+    import zlib
+
+    inner = warc.gzip_member(warc.make_record(50, "u", b"in", False, None, "d"))
+    packer = zlib.compressobj(0, zlib.DEFLATED, 31)
+    data = packer.compress(b"WARC/1.1\r\nWARC-Type: warcinfo\r\nContent-Length: %d\r\n\r\n" % len(inner) + inner) + packer.flush()
+    path = shared.new_path(spark, "test-nested") + "/b.warc.gz"
+    with shared.publish(path) as f:
+        f.write(data)
+    files = spark.createDataFrame([(path, len(data))], "uri string, size long")
+    assert warc.read_warc(spark, files, 40, "skip").count() == 0
