@@ -55,8 +55,9 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text has the end id only; every row is written, whatever its id; other columns are ignored."""
     path = shared.new_path(spark, "pipeline-tokens")
-    name = F.col("_metadata.file_name")
-    ordered = docs.withColumns({"_part": F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long"), "_file": name, "_row": F.col("_metadata.row_index")})
+    place = docs.metadataColumn("_metadata")  # the hidden column, whatever names docs has
+    name = place["file_name"]
+    ordered = docs.select("doc_id", "text", F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long").alias("_part"), name.alias("_file"), place["row_index"].alias("_row"))
     parts = token_files.write_token_files(spark, ordered, path, tokenizer_path(), END_ID, order=["_part", "_file", "_row"])
     return token_files.read_token_files(spark, path, parts)
 
