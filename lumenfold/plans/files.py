@@ -50,3 +50,11 @@ def custom_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = E.event_stream(spark, sf_dir).select("event_id", "user_id", "event_type", "value")
     return E.run_through_files(spark, stream, scratch_path(spark, "src4"))
+
+
+@query("src3_row_groups", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000 AND o_orderstatus <> 'P'")
+def row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders by a source in Python, which takes the bound on the price and leaves the other filter to Spark."""
+    spark.dataSource.register(files.RowGroups)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return spark.read.format("row_groups").load(f"{sf_dir}/orders.parquet").where("o_totalprice > 300000 AND o_orderstatus <> 'P'").select("o_orderkey", "o_custkey", "o_totalprice")

@@ -86,3 +86,60 @@ class BoundedSquares(Squares):
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _BoundedSquaresReader(self.options)
+
+
+class _Group(InputPartition):
+    def __init__(self, path: str, group: int):
+        self.path, self.group = path, group
+
+
+class _RowGroupsReader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.path, self.bounds = options["path"], []
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        """Take comparisons of a column with a value: they skip row groups by their statistics, and rows."""
+        compare = {GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<=", EqualTo: "=="}
+        for f in filters:
+            if type(f) in compare and len(f.attribute) == 1:
+                self.bounds.append((f.attribute[0], compare[type(f)], f.value))
+            else:
+                yield f
+
+    def _filter(self):
+        import pyarrow.parquet as pq
+
+        return pq.filters_to_expression([self.bounds]) if self.bounds else None
+
+    def partitions(self) -> list[InputPartition]:
+        import pyarrow.dataset as ds
+
+        data = ds.dataset(self.path, format="parquet")
+        parts = [_Group(f.path, g.id) for x in data.get_fragments() for f in x.split_by_row_group(self._filter()) for g in f.row_groups]
+        return parts or [_Group("", 0)]  # Spark asks for one partition at least
+
+    def read(self, partition: _Group) -> Iterator:
+        import pyarrow.dataset as ds
+
+        if partition.path:
+            fragment = next(iter(ds.dataset(partition.path, format="parquet").get_fragments()))
+            yield from fragment.subset(row_group_ids=[partition.group]).to_batches(filter=self._filter(), use_threads=False)
+
+
+class RowGroups(DataSource):
+    """Parquet files read by a source in Python, a task for each row group; comparisons are pushed to the source.
+
+    The path must be one that Arrow can open on the driver and the executors."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "row_groups"
+
+    def schema(self) -> StructType:
+        import pyarrow.dataset as ds
+        from pyspark.sql.pandas.types import from_arrow_schema
+
+        return from_arrow_schema(ds.dataset(self.options["path"], format="parquet").schema)
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _RowGroupsReader(self.options)
