@@ -63,10 +63,11 @@ class Encoder:
     stands before it is a row of whole pre-tokens, so such texts are looked up by words; others are cut by
     the pattern."""
 
-    def __init__(self, path: str, end_id: int | None):
+    def __init__(self, path: str, end_id: int | None, cache_bytes: int = CACHE_BYTES):
         import regex
         from tokenizers import Tokenizer
 
+        self.cache_bytes = cache_bytes
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self.tokenizer.to_str())
         self.added = [t["content"] for t in spec["added_tokens"]]
@@ -149,7 +150,7 @@ class Encoder:
                 out[i] = self._pieces(self.split(text)) + self.end
         if plain:
             self._by_words([texts[i] for i in plain], plain, out)
-        if self.size > CACHE_BYTES // 2:
+        if self.size > self.cache_bytes // 2:
             self.old_bare, self.old_words, self.bare, self.words, self.size = self.bare, self.words, {}, {}, 0
         return out
 
@@ -182,9 +183,9 @@ class Encoder:
 
 
 @lru_cache(2)
-def _encoder(path: str, end_id: int | None) -> Encoder:
+def _encoder(path: str, end_id: int | None, cache_bytes: int) -> Encoder:
     """One for each worker process: tasks that follow find the tokenizer loaded and the cache filled."""
-    return Encoder(path, end_id)
+    return Encoder(path, end_id, cache_bytes)
 
 
 def _groups(texts: pa.Array) -> Iterator[list[str]]:
@@ -200,7 +201,7 @@ def _groups(texts: pa.Array) -> Iterator[list[str]]:
         yield group
 
 
-def _writer(path: str, tokenizer: str, end_id: int | None):
+def _writer(path: str, tokenizer: str, end_id: int | None, cache_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         ids, lengths, nulls = [], [], 0
@@ -208,7 +209,7 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
         first = next((b for b in batches if b.num_rows), None)
         if first is None:
             return
-        encoder = _encoder(tokenizer, end_id)
+        encoder = _encoder(tokenizer, end_id, cache_bytes)
         with shared.publish(f"{name}.bin") as f:
             for batch in chain([first], batches):
                 for group in _groups(batch.column(1)):
@@ -226,15 +227,16 @@ def _writer(path: str, tokenizer: str, end_id: int | None):
     return write
 
 
-def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, order: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> list[dict]:
+def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, order: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, cache_bytes: int = CACHE_BYTES) -> list[dict]:
     """Write docs, in the order of the named columns (default: the id), and return the manifest's parts.
 
-    One range shuffle of the texts; the driver sees one row for each part."""
+    One range shuffle of the texts; the driver sees one row for each part. cache_bytes: of encoded words that
+    a worker keeps; fewer cost time, never results."""
     order = order or [id_col]
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)])
     keys = [f"_order{i}" for i in range(len(order))]
     sorted_docs = keyed.repartitionByRange(parts or shared.partitions(spark), *keys).sortWithinPartitions(*keys, "doc_id", "text")
-    rows = sorted_docs.select("doc_id", "text").mapInArrow(_writer(path, tokenizer, end_id), "part long, n_docs long, n_tokens long, dtype string").collect()
+    rows = sorted_docs.select("doc_id", "text").mapInArrow(_writer(path, tokenizer, end_id, cache_bytes), "part long, n_docs long, n_tokens long, dtype string").collect()
     listed, base = [], 0
     for r in sorted(rows, key=lambda r: r["part"]):
         listed.append({"part": r["part"], "n_docs": r["n_docs"], "n_tokens": r["n_tokens"], "dtype": r["dtype"], "base": base})
