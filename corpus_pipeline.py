@@ -50,6 +50,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.interleave(docs, WEIGHTS, MIX_BLOCK)
 
 
+#: Bytes of encoded words that a worker of the last stage keeps: less than the default, as the workers have been
+#: through the other stages.
+CACHE_BYTES = 96 << 20
+
+
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order in which the mixing stage has stored the documents, read back.
 
@@ -58,7 +63,7 @@ def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     place = docs.metadataColumn("_metadata")  # the hidden column, whatever names docs has
     name = place["file_name"]
     ordered = docs.select("doc_id", "text", F.regexp_extract(name, r"part-(\d+)", 1).try_cast("long").alias("_part"), name.alias("_file"), place["row_index"].alias("_row"))
-    parts = token_files.write_token_files(spark, ordered, path, tokenizer_path(), END_ID, order=["_part", "_file", "_row"])
+    parts = token_files.write_token_files(spark, ordered, path, tokenizer_path(), END_ID, order=["_part", "_file", "_row"], cache_bytes=CACHE_BYTES)
     return token_files.read_token_files(spark, path, parts)
 
 
