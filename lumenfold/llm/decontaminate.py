@@ -2,13 +2,19 @@
 
 Items are short, the corpus is not: the items are indexed and the corpus is the stream of queries. Each
 document is cut into passages of twice the longest item's words, each starting that many words after the
-one before, so that an item's words always lie within one passage. The index keeps each term's best weight
-in each block of items and in each run of blocks. Of a step of passages, first the runs and then, within
-those left, the blocks are passed over whose bound is below the threshold; within the others WAND moves
-from pivot to pivot and finds every item whose BM25 score is at least ``least_score`` of the score the
-item gives itself. A pair counts if at least ``least_overlap`` of the item's word pairs are in the passage,
-and at least half of its question's word pairs (the question is all but the last quarter of its words)
-and two fifths of its answer's words (the rest); items too short for two such parts are one.
+one before, so that an item's words always lie within one passage. Every item is found whose BM25 score is
+at least ``least_score`` of the score the item gives itself. A pair counts if at least ``least_overlap`` of
+the item's word pairs are in the passage, and at least half of its question's word pairs (the question is
+all but the last quarter of its words) and two fifths of its answer's words (the rest); items too short for
+two such parts are one.
+
+WAND looks into an item only if the bounds of those of its words that may be in the query reach the
+threshold together. Here a posting's bound is what the item's words from this one on give, the weightiest
+first: no item scores more than the bound of its weightiest word in the passage. So an item in reach has a
+posting with a bound in reach among the passage's lists, its pivot, and pivots are all that is scored.
+Postings are by item and in blocks with their best bound; of a list, blocks that fall short are jumped
+over. Common words' bounds are small, so their long lists are jumped over nearly whole. The pivots of a step
+of passages are taken at once, as arrays; nothing is as large as passages times items or blocks.
 
 The index is broadcast, so its size is bounded: above ``INDEX_BYTES`` of item text it is cut into shards,
 which are searched one after another. Numbers of items, document frequencies, mean and greatest lengths are
@@ -24,11 +30,10 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
-from functools import cached_property
-from itertools import repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,18 +51,21 @@ LEAST_QUESTION, LEAST_ANSWER = 0.5, 0.4
 #: The answer has a quarter of an item's words, and so many at least.
 ANSWER_WORDS = 5
 INDEX_BYTES = 32 << 20
-#: Items of a block, and blocks of a run.
-BLOCK, RUN = 8, 16
-#: Bounds that are held at once: passages of a step times blocks.
-CELLS = 1 << 21
-#: Characters of a long text that are cut into words at once.
-CHUNK_CHARS = 1 << 20
+#: Postings of a block.
+BLOCK = 8
+#: Passages of a step, and postings, or items' words, that are looked up at once, unless one passage has more.
+STEP, CELLS = 256, 1 << 18
+#: Words that a pivot's bound is lowered by, one by one, before its item is scored.
+ROUNDS = 6
+#: Characters of a long text that are cut into words at once, and of short texts that are searched together.
+CHUNK_CHARS, GROUP_CHARS = 1 << 20, 1 << 18
 K1, B = 1.2, 0.75
 SCHEMA = "doc_id long, item_id long, score double, overlap double, question_overlap double, answer_overlap double"
 
 _words = re.compile(r"\w+")
 _word = _words.findall
-EPS = 1e-9
+#: Sums of weights are taken in different orders; bounds are single numbers of 32 bits.
+EPS, SLACK = 1e-9, 1e-5
 
 
 def words_of(text: str | None) -> list[str]:
@@ -68,12 +76,6 @@ def shingles(words: list[str], k: int) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
 
 
-def _best(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each run of equal keys starts, and its greatest weight."""
-    first = np.flatnonzero(np.diff(key, prepend=-1))
-    return first, np.maximum.reduceat(weight, first) if len(first) else weight
-
-
 def _expand(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all ranges [start, stop), one after another, and the ranges' sizes."""
     size = stop - start
@@ -81,115 +83,125 @@ def _expand(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class Stats:
-    """What the weights need to know of all items: their number, the terms' frequencies, mean and greatest length."""
+    """What the weights need to know of all items: their number, the terms' frequencies (by term, or in the order of the index), mean and greatest length."""
 
-    def __init__(self, n: int, df: dict[str, int], words: int, longest: int):
+    def __init__(self, n: int, df, words: int, longest: int):
         self.n, self.df, self.mean, self.longest = n, df, words / max(1, n), longest
 
 
+def _edges(sizes: np.ndarray) -> np.ndarray:
+    """Where each of some ranges, one after another, starts, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
 class Index:
     """BM25 weights of items, as shares of the score that an item gives itself. Items without stats are all there are."""
 
     def __init__(self, items: list[tuple[int, str]], k: int = WORDS, stats: Stats | None = None):
-        self.k = k
-        kept = [(i, w) for i, w in ((i, words_of(t)) for i, t in items) if w]
+        self.k, self.ids, self.vocabulary = k, [], {}
+        numbers, lengths, number = array("i"), [], self.vocabulary.setdefault
+        for i, text in items:
+            if words := words_of(text):
+                self.ids.append(i)
+                lengths.append(len(words))
+                numbers.extend(number(w, len(self.vocabulary)) for w in words)
+        #: The items' words as numbers, item by item.
+        self.words, self.word_from = np.array(numbers, np.int32), _edges(lengths)
+        n, terms, length = len(lengths), len(self.vocabulary), np.array(lengths, np.float64)
+        pair, often = np.unique(np.repeat(np.arange(n), np.array(lengths, np.int64)) * max(1, terms) + self.words, return_counts=True)
+        item, term = np.divmod(pair, max(1, terms))
         if stats is None:
-            stats = Stats(len(kept), Counter(t for _, w in kept for t in set(w)), sum(len(w) for _, w in kept), max((len(w) for _, w in kept), default=0))
-        self.ids = [i for i, _ in kept]
-        self.words = [w for _, w in kept]
-        counts = [Counter(w) for w in self.words]
+            stats = Stats(n, np.bincount(term, minlength=terms), int(length.sum()), max(lengths, default=0))
+            df = stats.df
+        else:
+            df = np.fromiter((stats.df[t] for t in self.vocabulary), np.int64, terms)
         self.longest = stats.longest
-        self.vocabulary = {t: i for i, t in enumerate(dict.fromkeys(t for c in counts for t in c))}
-        postings: list[tuple[list[int], list[float]]] = [([], []) for _ in self.vocabulary]
-        for item, c in enumerate(counts):
-            n = len(self.words[item])
-            w = {t: math.log(1 + (stats.n - stats.df[t] + 0.5) / (stats.df[t] + 0.5)) * f * (K1 + 1) / (f + K1 * (1 - B + B * n / stats.mean)) for t, f in c.items()}
-            own = math.fsum(w.values())
-            for t, x in w.items():
-                at = self.vocabulary[t]
-                postings[at][0].append(item)
-                postings[at][1].append(x / own)
-        #: A block is a run of BLOCK items, a run one of RUN blocks; for each term, its blocks and runs of
-        #: blocks with its best weight in each, and the blocks of each run.
-        self.blocks = -(-len(kept) // BLOCK)
-        self.runs = -(-self.blocks // RUN)
-        size = np.fromiter((len(listed) for listed, _ in postings), np.int64, len(postings))
-        term = np.repeat(np.arange(len(size)), size)
-        #: The postings: items and weights, term by term.
-        self.items, self.weights = [i for listed, _ in postings for i in listed], [x for _, w in postings for x in w]
-        block = np.array(self.items, np.int64) // BLOCK
-        first, self.block_best = _best(term * max(1, self.blocks) + block, np.array(self.weights))
-        self.block_from, self.block_stop = first, np.append(first[1:], len(self.items))
-        self.block_of, block_term = block[first], term[first]
-        run = self.block_of // RUN
-        self.run_from, self.run_best = _best(block_term * max(1, self.runs) + run, self.block_best)
-        self.run_of = run[self.run_from]
-        self.run_stop = np.append(self.run_from[1:], len(self.block_of))
-        self.run_start = np.searchsorted(block_term[self.run_from], np.arange(len(size) + 1))
-        #: How many passages, runs and blocks were looked at, and how many items were scored.
+        raw = np.log(1 + (stats.n - df[term] + 0.5) / (df[term] + 0.5)) * often * (K1 + 1) / (often + K1 * (1 - B + B * length[item] / max(1, stats.mean)))
+        by = np.lexsort((-raw, item))
+        self.terms, raw = term[by].astype(np.int32), raw[by]
+        #: Each item's distinct words and their weights, the weightiest first.
+        self.term_from = np.searchsorted(item, np.arange(n + 1))
+        own = np.add.reduceat(raw, self.term_from[:-1]) if n else raw
+        self.weights = raw / own[item]
+        before = np.cumsum(self.weights) - self.weights
+        bound = (1 - (before - before[self.term_from[:-1]][item])).astype(np.float32)
+        #: The postings, list by list: items, places among the items' words, and bounds; blocks never go from one list into the next.
+        by = np.lexsort((item, self.terms))
+        self.items, self.places, self.bounds = item[by].astype(np.int32), by.astype(np.int32), bound[by]
+        self.listed = np.bincount(self.terms, minlength=terms)
+        blocks = -(-self.listed // BLOCK)
+        self.block_of = _edges(blocks)  # the first block of each list
+        start, place = np.repeat(_edges(self.listed)[:-1], blocks), np.arange(self.block_of[-1]) - np.repeat(self.block_of[:-1], blocks)
+        self.block_from = np.append(start + place * BLOCK, len(self.items))
+        self.blocks = len(self.block_from) - 1
+        self.block_best = np.maximum.reduceat(self.bounds, self.block_from[:-1]) if self.blocks else self.bounds
+        self.live: dict[float, tuple[np.ndarray, np.ndarray]] = {}
+        #: How many passages and postings of their words there were, blocks looked into, pivots found and items scored.
         self.work = Counter()
 
-    @cached_property
-    def parts(self) -> list[tuple[set, set, set]]:
-        """All shingles of each item, those of its question and the words of its answer."""
-        out = []
-        for w in self.words:
-            cut = len(w) - max(ANSWER_WORDS, len(w) // 4)
-            both = cut >= self.k
-            out.append((shingles(w, self.k), shingles(w[:cut], self.k) if both else shingles(w, self.k), {(x,) for x in (w[cut:] if both else w)}))
-        return out
-
-    def live_blocks(self, passage: np.ndarray, term: np.ndarray, passages: int, least: float) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
-        """(passage, the postings in a block as (start, stop, best weight)) for each block where the best
-        weights of the passage's terms reach the threshold; terms are distinct within a passage. Blocks of
-        runs that don't reach it are never looked at."""
-        flat, size = _expand(self.run_start[term], self.run_start[term + 1])
-        at = np.repeat(passage, size) * self.runs + self.run_of[flat]
-        live = np.bincount(at, self.run_best[flat], passages * self.runs) >= least - EPS
-        flat, at = flat[live[at]], at[live[at]]
-        inner, size = _expand(self.run_from[flat], self.run_stop[flat])
-        cell = np.repeat(at // self.runs, size) * self.blocks + self.block_of[inner]
-        near = np.bincount(cell, self.block_best[inner], passages * self.blocks) >= least - EPS
-        self.work.update(passages=passages, runs=int(live.sum()), blocks=int(near.sum()))
-        inner, cell = inner[near[cell]], cell[near[cell]]
-        by = np.argsort(cell, kind="stable")
-        inner, cell = inner[by], cell[by]
-        edges = np.flatnonzero(np.diff(cell, prepend=-1)).tolist()
-        rows = list(zip(self.block_from[inner].tolist(), self.block_stop[inner].tolist(), self.block_best[inner].tolist()))
-        for c, lo, hi in zip((cell[edges] // self.blocks).tolist(), edges, [*edges[1:], len(rows)]):
-            yield c, rows[lo:hi]
-
-    def retrieve(self, block: list[tuple[int, int, float]], least: float) -> list[tuple[int, float]]:
-        """WAND within a block: (item, score) of its items that the postings give at least the threshold."""
-        least, items, found = least - EPS, self.items, []
-        cursors = [[items[at], at, end, best] for at, end, best in block]  # item, its place, the postings' end, the best weight
-        while True:
-            cursors.sort()
-            bound, pivot = 0.0, None
-            for c in cursors:
-                bound += c[3]
-                if bound >= least:
-                    pivot = c[0]
-                    break
-            if pivot is None:
-                return found
-            if cursors[0][0] == pivot:
-                score = math.fsum(self.weights[c[1]] for c in cursors if c[0] == pivot)
-                self.work["items"] += 1
-                if score >= least:
-                    found.append((pivot, score))
-                pivot += 1
-            for c in cursors:
-                if c[0] >= pivot:
-                    break
-                c[1] = bisect_left(items, pivot, c[1], c[2])
-                c[0] = items[c[1]] if c[1] < c[2] else -1
-            cursors = [c for c in cursors if c[0] >= 0]
+    def live_blocks(self, least: float) -> tuple[np.ndarray, np.ndarray]:
+        """The blocks whose best bound reaches the threshold, and where those of each list start among them."""
+        if least not in self.live:
+            live = np.flatnonzero(self.block_best >= least - SLACK)
+            self.live[least] = live, np.searchsorted(live, self.block_of)
+        return self.live[least]
+
+    def parts(self, item: int) -> tuple[set, set, set]:
+        """All shingles of an item, those of its question and the words of its answer."""
+        w = self.words[self.word_from[item] : self.word_from[item + 1]].tolist()
+        cut = len(w) - max(ANSWER_WORDS, len(w) // 4)
+        both = cut >= self.k
+        return shingles(w, self.k), shingles(w[:cut], self.k) if both else shingles(w, self.k), {(x,) for x in (w[cut:] if both else w)}
+
+    def retrieve(self, passage: np.ndarray, term: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
+        """(passage, item, score) of all items in reach, by passage; the pairs of passage and term are distinct and in order."""
+        live, first = self.live_blocks(least)
+        block, size = _expand(first[term], first[term + 1])
+        if len(block) * BLOCK > CELLS and passage[0] < passage[-1]:
+            half = np.searchsorted(passage, (passage[0] + passage[-1] + 1) // 2)
+            yield from self.retrieve(passage[:half], term[:half], least)
+            yield from self.retrieve(passage[half:], term[half:], least)
+            return
+        block, of = live[block], np.repeat(passage, size)
+        posting, size = _expand(self.block_from[block], self.block_from[block + 1])
+        bound = self.bounds[posting]
+        reach = np.flatnonzero(bound >= least - SLACK)
+        of, posting, bound = np.repeat(of, size)[reach], posting[reach], bound[reach]
+        self.work.update(postings=int(self.listed[term].sum()), blocks=len(block), pivots=len(posting))
+        if not len(posting):
+            return
+        # Which of the step's words are in which of its passages.
+        lowest, known = passage[0], np.unique(term)
+        table = np.zeros((passage[-1] - lowest + 1, len(known) + 1), bool)
+        table[passage - lowest, np.searchsorted(known, term)] = True
+        column = np.full(len(self.listed), len(known), np.int32)
+        column[known] = np.arange(len(known))
+        # The words after a pivot's, the weightiest first: each one that the passage lacks lowers the bound.
+        pivot, place = self.items[posting], self.places[posting] + 1
+        for _ in range(ROUNDS):
+            more = place < self.term_from[pivot + 1]
+            at = np.minimum(place, len(self.terms) - 1)
+            bound = bound - self.weights[at] * (more & ~table[of - lowest, column[self.terms[at]]])
+            near = np.flatnonzero(bound >= least - SLACK)
+            of, pivot, place, bound = of[near], pivot[near], place[near] + 1, bound[near]
+        self.work["items"] += len(pivot)
+        found, sizes = set(), self.term_from[pivot + 1] - self.term_from[pivot]
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // CELLS, prepend=0, append=-1)).tolist()
+        for lo, hi in zip([0, *cuts], cuts):
+            if lo < hi:
+                flat, size = _expand(self.term_from[pivot[lo:hi]], self.term_from[pivot[lo:hi] + 1])
+                there = table[np.repeat(of[lo:hi] - lowest, size), column[self.terms[flat]]]
+                near = np.flatnonzero(np.add.reduceat(self.weights[flat] * there, _edges(size)[:-1]) >= least - SLACK)
+                found.update(zip(of[lo:hi][near].tolist(), pivot[lo:hi][near].tolist()))
+        for p, item in sorted(found):
+            here = slice(self.term_from[item], self.term_from[item + 1])
+            score = math.fsum(self.weights[here][table[p - lowest, column[self.terms[here]]]])
+            if score >= least - EPS:
+                yield p, item, score
 
     def _steps(self, text: str) -> Iterator[list[str]]:
-        """The words of a text, in stretches that each repeat the last step's words of the one before."""
-        if len(text) <= CHUNK_CHARS:
-            yield words_of(text)
+        """The words of a long text, in stretches that each repeat the last step's words of the one before."""
+        if not self.ids:
             return
         text, step, held = text.lower(), self.longest, []
         most = max(2 * step, CHUNK_CHARS // 4 // step * step)
@@ -202,39 +214,59 @@ class Index:
 
     def search(self, text: str | None, least: float, overlap: float) -> dict[int, tuple[float, float, float, float]]:
         """Matching items of a text, each with its best (score, overlap, of question, of answer)."""
-        out: dict[int, tuple[float, float, float, float]] = {}
-        if text and self.ids:
+        return next(self.search_all([text], least, overlap))
+
+    def search_all(self, texts: Iterable[str | None], least: float, overlap: float) -> Iterator[dict[int, tuple[float, float, float, float]]]:
+        """What search() finds in each text, in order. Short texts are searched together, some hundred KB at a time."""
+        group, chars = [], 0
+        for text in texts:
+            text = text or ""
+            if group and (len(text) > CHUNK_CHARS or chars + len(text) > GROUP_CHARS):
+                yield from self._search([words_of(t) for t in group], least, overlap)
+                group, chars = [], 0
+            if len(text) <= CHUNK_CHARS:
+                group.append(text)
+                chars += len(text)
+                continue
+            best: dict[int, tuple[float, float, float, float]] = {}
             for words in self._steps(text):
-                self._search(words, least, overlap, out)
-        return out
-
-    def _search(self, words: list[str], least: float, overlap: float, out: dict[int, tuple[float, float, float, float]]) -> None:
-        if not words:
-            return
-        n, step = len(words), self.longest
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), np.int64, n)
+                for item, row in self._search([words], least, overlap)[0].items():
+                    best[item] = max(best.get(item, row), row)
+            yield best
+        if group:
+            yield from self._search([words_of(t) for t in group], least, overlap)
+
+    def _search(self, texts: list[list[str]], least: float, overlap: float) -> list[dict[int, tuple[float, float, float, float]]]:
+        out: list[dict[int, tuple[float, float, float, float]]] = [{} for _ in texts]
+        if not self.ids:
+            return out
+        step, lengths = self.longest, np.fromiter(map(len, texts), np.int64, len(texts))
+        starts, passages = _edges(lengths), np.maximum(1, -(-lengths // step) - 1)
+        bases, n = _edges(passages), int(lengths.sum())
+        self.work["passages"] += int(passages[lengths > 0].sum())
+        ids = np.fromiter(map(self.vocabulary.get, chain.from_iterable(texts), repeat(-1)), np.int32, n)
         at = np.flatnonzero(ids >= 0)
-        passages = max(1, -(-n // step) - 1)
-        # Word i is in the passages that start in its stretch of words and in the one before.
-        pairs = np.concatenate([np.minimum(at // step, passages - 1), np.maximum(at // step - 1, 0)]) * len(self.vocabulary) + np.tile(ids[at], 2)
-        passage, term = np.divmod(np.unique(pairs), len(self.vocabulary))
+        # Word i of a text is in its passages that start in the word's stretch of words and in the one before.
+        of = np.repeat(np.arange(len(texts)), lengths)[at]
+        stretch = (at - starts[of]) // step
+        passage = np.concatenate([np.minimum(stretch, passages[of] - 1) + bases[of], np.maximum(stretch - 1, 0) + bases[of]])
+        passage, term = np.divmod(np.unique(passage * len(self.vocabulary) + np.tile(ids[at], 2)), len(self.vocabulary))
         held, seen = -1, set()
-        a_step = max(1, CELLS // self.blocks)
-        for first in range(0, passages, a_step):
-            lo, hi = np.searchsorted(passage, [first, first + a_step])
-            for p, block in self.live_blocks(passage[lo:hi] - first, term[lo:hi], min(a_step, passages - first), least):
-                p += first
+        edges = np.searchsorted(passage, [*range(0, int(bases[-1]), STEP), int(bases[-1])]).tolist()
+        for lo, hi in zip(edges, edges[1:]):
+            for p, item, score in self.retrieve(passage[lo:hi], term[lo:hi], least):
                 if p != held:
-                    held, seen = p, set()
-                for item, score in self.retrieve(block, least):
-                    # Sizes that occur: one word for answers, and the shingles of this item.
-                    size = min(self.k, len(self.words[item]))
-                    for k in {1, size}:
-                        if (k, None) not in seen:
-                            seen |= shingles(words[p * step : (p + 2) * step], k) | {(k, None)}
-                    whole, question, answer = (len(x & seen) / len(x) for x in self.parts[item])
-                    if whole >= overlap and question >= LEAST_QUESTION and answer >= LEAST_ANSWER:
-                        out[item] = max(out.get(item, (0.0,) * 4), (score, whole, question, answer))
+                    held, seen, text = p, set(), int(np.searchsorted(bases, p, "right")) - 1
+                    first = int(starts[text]) + (p - int(bases[text])) * step
+                    here = ids[first : min(first + 2 * step, int(starts[text + 1]))].tolist()
+                # Sizes that occur: one word for answers, and the shingles of this item.
+                for k in {1, min(self.k, int(self.word_from[item + 1] - self.word_from[item]))}:
+                    if (k, None) not in seen:
+                        seen |= shingles(here, k) | {(k, None)}
+                whole, question, answer = (len(x & seen) / len(x) for x in self.parts(item))
+                if whole >= overlap and question >= LEAST_QUESTION and answer >= LEAST_ANSWER:
+                    out[text][item] = max(out[text].get(item, (0.0,) * 4), (score, whole, question, answer))
+        return out
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,8 +307,9 @@ def _finder(shared_index, least_score: float, least_overlap: float):
         index = shared_index.value
         for b in batches:
             columns = defaultdict(list)
-            for doc_id, text in zip(b.column(0), b.column(1)):
-                for item, row in sorted(index.search(text.as_py(), least_score, least_overlap).items()):
+            searched = index.search_all((t.as_py() for t in b.column(1)), least_score, least_overlap)
+            for doc_id, found in zip(b.column(0), searched):
+                for item, row in sorted(found.items()):
                     for name, value in zip(("doc_id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"), (doc_id.as_py(), index.ids[item], *row)):
                         columns[name].append(value)
             if columns:
@@ -292,6 +325,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least_score: float = LEAST_S
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = None
     for index in index_shards(items, words, item_id_col, item_text_col):
+        index.live_blocks(least_score)
         shared_index = spark.sparkContext.broadcast(index)
         part = shared.write_table(spark, keyed.mapInArrow(_finder(shared_index, least_score, least_overlap), SCHEMA), "found-items")
         shared_index.destroy()
@@ -304,7 +338,7 @@ def _clean(shared_index, least_score: float, least_overlap: float):
     @F.arrow_udf("boolean")
     def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in columns:
-            yield pa.array([not shared_index.value.search(t.as_py(), least_score, least_overlap) for t in texts], pa.bool_())
+            yield pa.array([not found for found in shared_index.value.search_all((t.as_py() for t in texts), least_score, least_overlap)], pa.bool_())
         shared.trim()
 
     return clean
@@ -318,6 +352,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, least_score: float = LE
         if held is not None:  # there is another shard: have done with the one before
             docs = shared.write_table(spark, docs, "uncontaminated")
             held.destroy()
+        index.live_blocks(least_score)
         held = spark.sparkContext.broadcast(index)
         docs = docs.where(_clean(held, least_score, least_overlap)(F.col(text_col).cast("string")))
     return docs

@@ -1,5 +1,8 @@
+import itertools
 import math
+import pickle
 import random
+import time
 import tracemalloc
 from collections import Counter
 
@@ -88,16 +91,59 @@ def test_blocks_and_steps_change_nothing(monkeypatch):
     whole = [index.search(t, 0.3, 0.1) for _, t in docs]
     assert sum(map(len, whole)) > 50
     assert index.work["blocks"] < index.work["passages"] * index.blocks and index.work["items"] < index.work["passages"] * len(items)
+    monkeypatch.setattr(D, "STEP", 2)
     monkeypatch.setattr(D, "CELLS", 50)
     monkeypatch.setattr(D, "CHUNK_CHARS", 300)
     assert [index.search(t, 0.3, 0.1) for _, t in docs] == whole
+    mixed = [t for _, t in docs[:9]] + [None, "", "..."] + [t for _, t in docs[9:]]
+    assert list(index.search_all(mixed, 0.3, 0.1)) == [*whole[:9], {}, {}, {}, *whole[9:]]
+    monkeypatch.setattr(D, "GROUP_CHARS", 900)
+    assert list(index.search_all(mixed, 0.3, 0.1)) == [*whole[:9], {}, {}, {}, *whole[9:]]
     monkeypatch.setattr(D, "BLOCK", 3)
-    monkeypatch.setattr(D, "RUN", 2)
     index = D.Index(items)
     found = [{index.ids[i]: r for i, r in index.search(t, 0.3, 0.1).items()} for _, t in docs]
     assert found == whole
 
 
+def zipf_case(n_items, n_words=20_000, vocabulary=18_000):
+    """Items of 20 words, and a text, that share a vocabulary with some very frequent words; the text holds 20 items."""
+    rng = random.Random(n_items)
+    words, weights = [f"w{i}" for i in range(vocabulary)], list(itertools.accumulate(1 / (i + 1) for i in range(vocabulary)))
+    items = [(i, " ".join(rng.choices(words, cum_weights=weights, k=20))) for i in range(n_items)]
+    planted = rng.sample(range(n_items), 20)
+    text = [x for i in planted for x in [*rng.choices(words, cum_weights=weights, k=n_words // 20), items[i][1]]]
+    return items, " ".join(text), set(planted)
+
+
+def test_long_lists_are_jumped_over():
+    """Work grows much less than the number of items, and most postings of the passages' words are never read."""
+    took, scored = [], []
+    for n in (3_000, 30_000):
+        items, text, planted = zipf_case(n)
+        index = D.Index(items)
+        index.live_blocks(D.LEAST_SCORE)
+        at = time.process_time()
+        found = index.search(text, D.LEAST_SCORE, D.LEAST_OVERLAP)
+        took.append(time.process_time() - at)
+        scored.append(index.work["items"])
+        assert planted <= {index.ids[i] for i in found}
+        assert index.work["blocks"] * D.BLOCK < 0.2 * index.work["postings"], index.work
+    assert scored[1] < 0.02 * index.work["passages"] * len(items) and took[1] < 6 * took[0] + 0.5
+
+
+def test_the_index_is_compact():
+    """A full shard's index takes less than 400 MB."""
+    items, *_ = zipf_case(8_000, vocabulary=24_000)
+    size = sum(len(t) for _, t in items)
+    assert len(pickle.dumps(D.Index(items))) * (D.INDEX_BYTES / size) < 400 << 20
+    tracemalloc.start()
+    index = D.Index(items)
+    index.live_blocks(D.LEAST_SCORE)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held * (D.INDEX_BYTES / size) < 400 << 20
+
+
 def test_a_very_long_text_takes_bounded_memory(monkeypatch):
     items = [(i, " ".join(f"w{(i * 31 + j * 7) % 5000}" for j in range(20))) for i in range(2000)]
     index = D.Index(items)
