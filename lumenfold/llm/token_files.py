@@ -40,6 +40,10 @@ CACHE_BYTES = 192 << 20
 #: What an entry takes beside its characters and ids.
 ENTRY_BYTES = 200
 BATCH_CHARS = 4 << 20
+#: Text of a part, about, and what a row counts for beside it: parts grow in number, not in size.
+PART_BYTES, ROW_BYTES = 256 << 20, 64
+#: Leading characters by which rows of one place in the order may be parted.
+HEAD_CHARS = 64
 #: Words that are encoded as one text.
 WORDS_A_TEXT = 20_000
 STOPS = ".,:;!?"
@@ -230,12 +234,17 @@ def _writer(path: str, tokenizer: str, end_id: int | None, cache_bytes: int):
 def write_token_files(spark: SparkSession, docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, order: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None, cache_bytes: int = CACHE_BYTES) -> list[dict]:
     """Write docs, in the order of the named columns (default: the id), and return the manifest's parts.
 
-    One range shuffle of the texts; the driver sees one row for each part. cache_bytes: of encoded words that
+    One range shuffle of the texts; the driver sees one row for each part. Parts are as many as the session's
+    shuffle partitions, or more, so that one has about PART_BYTES of text. Rows of one place in the order are
+    parted by their ids and the starts of their texts, so that a repeated id is not one part. cache_bytes: of encoded words that
     a worker keeps; fewer cost time, never results."""
     order = order or [id_col]
     keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *[F.col(c).alias(f"_order{i}") for i, c in enumerate(order)])
     keys = [f"_order{i}" for i in range(len(order))]
-    sorted_docs = keyed.repartitionByRange(parts or shared.partitions(spark), *keys).sortWithinPartitions(*keys, "doc_id", "text")
+    if parts is None:
+        size = keyed.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES).cast("long")).alias("n")).first()["n"]
+        parts = max(shared.partitions(spark), -(-(size or 0) // PART_BYTES))
+    sorted_docs = keyed.repartitionByRange(parts, *keys, "doc_id", F.substring("text", 1, HEAD_CHARS)).sortWithinPartitions(*keys, "doc_id", "text")
     rows = sorted_docs.select("doc_id", "text").mapInArrow(_writer(path, tokenizer, end_id, cache_bytes), "part long, n_docs long, n_tokens long, dtype string").collect()
     listed, base = [], 0
     for r in sorted(rows, key=lambda r: r["part"]):

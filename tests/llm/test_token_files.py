@@ -35,6 +35,21 @@ def test_round_trip(spark):
     check(spark, [(i * 7 - 3, t, "x", 1) for i, t in enumerate(texts)] + [(None, "null id", None, None), (4, "tie b", "", 0), (4, "tie a", "", 0), (4, "tie a", "", 0)])
 
 
+def test_parts_grow_with_the_input_and_share_an_id(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "PART_BYTES", 20_000)
+    rng, counts = random.Random(8), []
+    for n in (1000, 4000):
+        rows = [(7, " ".join(rng.choices(["one", "two", "three", "四"], k=rng.randrange(1, 12))), "x", 1) for _ in range(n)] + [(6, None, "", 0), (8, "last", "", 0), (None, "b", "", 0)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, start string, part int")
+        path = shared.new_path(spark, "test-tokens")
+        listed = token_files.write_token_files(spark, docs, path, tokenizer_path())
+        got = [tuple(r) for r in token_files.read_token_files(spark, path, listed).collect()]
+        assert sorted(got, key=lambda r: r[1]) == brute([r[:2] for r in rows])
+        assert max(p["n_docs"] for p in listed) < n / 2
+        counts.append(len(listed))
+    assert counts[1] > 2 * counts[0] > 4
+
+
 def test_empty_table(spark):
     check(spark, [])
 
