@@ -74,11 +74,11 @@ def left_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("c_custkey", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
-@query("jn2_full_outer", "SELECT c_custkey, s_suppkey FROM customer FULL JOIN supplier ON c_custkey = s_suppkey + 1450")
+@query("jn2_full_outer", "SELECT c_custkey, s_suppkey FROM customer FULL JOIN supplier ON c_custkey = 20 * s_suppkey")
 def full_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The keys are shifted against each other, so that both sides have rows without a partner."""
+    """There are 15 customers to a supplier, so at every scale both sides have rows without a partner."""
     customers, suppliers = table(spark, sf_dir, "customer").select("c_custkey"), table(spark, sf_dir, "supplier").select("s_suppkey")
-    return customers.join(suppliers, F.col("c_custkey") == F.col("s_suppkey") + 1450, "full")
+    return customers.join(suppliers, F.col("c_custkey") == 20 * F.col("s_suppkey"), "full")
 
 
 @query("jn3_left_semi", "SELECT o_orderkey, o_totalprice FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 50)")
