@@ -45,6 +45,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), words=3, radius=3)
 
 
+#: One round of templates: groups of lines, their constants, the lines that fit, and what is left divided.
+OP3_ROUND = """
+v{i} AS MATERIALIZED (
+  SELECT grp, pos, token, sum(n) AS n FROM (SELECT grp, n, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM g{i}) GROUP BY grp, pos, token
+), c{i} AS MATERIALIZED (
+  SELECT grp, pos, token FROM (SELECT *, sum(n) OVER (PARTITION BY grp, pos) AS total FROM v{i}) WHERE 2 * n > total
+), f{i} AS MATERIALIZED (
+  SELECT x.grp, x.kind FROM (SELECT grp, kind, len(tokens) AS size, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM g{i}) x
+  LEFT JOIN c{i} c ON x.grp = c.grp AND x.pos = c.pos AND x.token = c.token
+  GROUP BY x.grp, x.kind HAVING 2 * count(c.token) >= any_value(x.size)
+), r{i} AS MATERIALIZED (
+  SELECT g.*, sum(n) OVER (PARTITION BY grp) AS total FROM g{i} g WHERE kind NOT IN (SELECT kind FROM f{i})
+), w{i} AS MATERIALIZED (
+  SELECT grp, pos, token, sum(n) AS n FROM (SELECT grp, n, total, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM r{i})
+  WHERE pos > 3 AND grp NOT IN (SELECT grp FROM f{i}) GROUP BY grp, pos, token HAVING sum(n) >= 10 AND sum(n) < any_value(total)
+), b{i} AS MATERIALIZED (
+  SELECT grp, pos FROM (SELECT grp, pos, sum(n) AS n FROM w{i} GROUP BY grp, pos) QUALIFY row_number() OVER (PARTITION BY grp ORDER BY n DESC, pos) = 1
+), g{j} AS MATERIALIZED (
+  SELECT r.grp || chr(10) || coalesce(b.pos || ' ' || coalesce('=' || w.token, ''), '') AS grp, r.kind, r.tokens, r.n
+  FROM r{i} r LEFT JOIN b{i} b ON r.grp = b.grp LEFT JOIN w{i} w ON w.grp = b.grp AND w.pos = b.pos AND w.token = r.tokens[b.pos]
+),"""
+
 OP3_SQL = r"""
 WITH lines AS (
   SELECT doc_id, hash(text) AS t, unnest(range(0, len(string_split(text, chr(10))))) AS line_no, unnest(string_split(text, chr(10))) AS line FROM documents
@@ -56,21 +78,17 @@ WITH lines AS (
   SELECT leaf FROM leafed WHERE len(tokens) >= 4 GROUP BY leaf HAVING count(DISTINCT t) >= 10
 ), here AS (
   SELECT * FROM leafed WHERE leaf IN (SELECT leaf FROM common)
-), votes AS (
-  SELECT leaf, pos, token, count(*) AS n FROM (SELECT leaf, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM here) GROUP BY leaf, pos, token
-), constant AS (
-  SELECT leaf, pos, token FROM (SELECT *, sum(n) OVER (PARTITION BY leaf, pos) AS total FROM votes) WHERE 2 * n > total
-), general AS (
-  SELECT h.leaf, h.kind
-  FROM (SELECT leaf, kind, len(tokens) AS n, unnest(range(1, len(tokens) + 1)) AS pos, unnest(tokens) AS token FROM (SELECT DISTINCT leaf, kind, tokens FROM here)) h
-  LEFT JOIN constant c ON h.leaf = c.leaf AND h.pos = c.pos AND h.token = c.token
-  GROUP BY h.leaf, h.kind HAVING 2 * count(c.token) >= any_value(h.n)
+), g0 AS MATERIALIZED (
+  SELECT leaf AS grp, kind, tokens, count(*) AS n FROM here GROUP BY leaf, kind, tokens
+),""" + "".join(OP3_ROUND.format(i=i, j=i + 1) for i in range(line_dedup.ROUNDS)) + r"""
+general AS (
+  """ + " UNION ALL ".join(f"SELECT grp, kind FROM f{i}" for i in range(line_dedup.ROUNDS)) + r"""
 ), recurring AS (
-  SELECT g.leaf FROM general g JOIN here h ON g.kind = h.kind GROUP BY g.leaf HAVING count(DISTINCT h.t) >= 10
+  SELECT g.grp FROM general g JOIN here h ON g.kind = h.kind GROUP BY g.grp HAVING count(DISTINCT h.t) >= 10
 ), dropped AS (
   SELECT kind FROM leafed GROUP BY kind HAVING count(DISTINCT t) >= CASE WHEN any_value(len(tokens)) < 4 THEN 10 ELSE 3 END
   UNION
-  SELECT g.kind FROM general g JOIN recurring r ON g.leaf = r.leaf
+  SELECT g.kind FROM general g JOIN recurring r ON g.grp = r.grp
 ), gone AS (
   SELECT doc_id, line_no FROM leafed WHERE kind IN (SELECT kind FROM dropped)
 )

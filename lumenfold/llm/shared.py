@@ -39,10 +39,12 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, path: str | None
 
 def write_bucketed(spark: SparkSession, df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
     """Write df to the shared folder in buckets of the keys: joins and aggregations by them read it
-    without a shuffle, as often as needed."""
+    without a shuffle, as often as needed. The catalogue keeps no entry of it: the frame knows its files."""
     label, buckets = f"{name}_{uuid.uuid4().hex}", buckets or partitions(spark)
     df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys).option("path", f"{shared_dir(spark)}/{label}").option("compression", "zstd").saveAsTable(label)
-    return spark.table(label)
+    stored = spark.table(label)
+    spark.sql(f"DROP TABLE {label}")  # an external table: its files stay
+    return stored
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -26,14 +26,25 @@ def brute(rows, min_docs, min_copies, depth=3, min_tokens=4):
         n = len(members[0][2])
         if n < min_tokens or texts(members) < min_docs:
             continue
-        template = {}
-        for p in range(n):
-            token, c = Counter(w[p] for _, _, w in members).most_common(1)[0]
-            if 2 * c > len(members):
-                template[p] = token
-        general = [m for m in members if 2 * sum(template.get(p) == m[2][p] for p in range(n)) >= n]
-        if texts(general) >= min_docs:
-            gone |= {(d, no) for d, no, _ in general}
+        groups = [members]
+        for _ in range(L.ROUNDS):
+            groups, todo = [], groups
+            for group in todo:
+                template = {}
+                for p in range(n):
+                    token, c = Counter(w[p] for _, _, w in group).most_common(1)[0]
+                    if 2 * c > len(group):
+                        template[p] = token
+                fits = lambda w: 2 * sum(template.get(p) == w[p] for p in range(n)) >= n  # noqa: E731, B023
+                general, rest = [m for m in group if fits(m[2])], [m for m in group if not fits(m[2])]
+                if texts(general) >= min_docs:
+                    gone |= {(d, no) for d, no, _ in general}
+                often = [{t: c for t, c in Counter(m[2][p] for m in rest).items() if min_docs <= c < len(rest)} if p >= depth else {} for p in range(n)]
+                at = max(range(n), key=lambda p: sum(often[p].values()))  # noqa: B023
+                divided = defaultdict(list)
+                for m in rest:
+                    divided[m[2][at] if not general and m[2][at] in often[at] else None].append(m)
+                groups += divided.values()
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -79,5 +90,20 @@ def test_the_defaults_drop_planted_lines_and_leave_copies_whole(spark):
         assert got[i] == ((lines[0], 1) if i < 40 and i not in range(60, 72) else ("", 1) if 60 <= i < 72 else (text, 0)), i
 
 
+def test_a_leaf_has_several_templates(spark):
+    word = lambda i, j: chr(97 + i % 26) * (i // 26 + 1) + "xyz"[j]
+    first = lambda i: f"conn from host {word(i, 0)} was opened by user {word(i, 1)} today"
+    second = lambda i: f"conn from host {word(i, 2)} timed out after many {word(i, 1)} tries"
+    third = lambda i: f"conn from host {word(i, 0)} {word(i, 2)} refused: bad key sent"
+    noise = lambda i: f"conn from host {' '.join(word(i * 7 + j, j % 3) for j in range(6))}"
+    for counts in ((30, 20, 0), (30, 20, 12), (15, 15, 15), (25, 25, 9)):
+        lines = [(k, f(i + 40 * k)) for k, f in enumerate((first, second, third)) for i in range(counts[k])] + [(3, noise(i)) for i in range(8)]
+        rows = [(i, f"{'own ' * (i + 1)}\n{line}") for i, (_, line) in enumerate(lines)]
+        got = {r["doc_id"]: r["n_dropped"] for r in L.drop_recurring_lines(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        for i, (k, _) in enumerate(lines):
+            assert got[i] == (k < 3 and counts[k] >= 10), (counts, i)
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_documents")]
+
+
 def test_empty_table(spark):
     assert L.drop_recurring_lines(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
