@@ -109,3 +109,25 @@ def test_recall_of_planted_edits_near_the_threshold(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = sum(r["component_id"] < r["doc_id"] for r in M.near_duplicates(spark, docs, radius=3).collect())
     assert found == 300
+
+
+def test_recall_in_a_family_of_texts_below_the_threshold(spark):
+    """All texts come of one base and are 0.45 to 0.8 alike, so bands have many members in different components;
+    each has one partner at 0.80 to 0.83."""
+    rng, rows = random.Random(3), []
+    base = [f"w{i}" for i in range(300)]
+
+    def edited(words, n):
+        return [f"e{rng.randrange(10**9)}" if at in places else w for places in [set(rng.sample(range(len(words)), n))] for at, w in enumerate(words)]
+
+    while len(rows) < 400:
+        x = edited(base, 5)
+        y = edited(x, 6)
+        a, b = shingle_set(" ".join(x)), shingle_set(" ".join(y))
+        if 0.8 <= len(a & b) / len(a | b) < 0.83:
+            rows += [(len(rows), " ".join(x)), (len(rows) + 1, " ".join(y))]
+    got = {r["doc_id"]: r["component_id"] for r in M.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = brute(rows)
+    assert len(set(expected.values())) > 150  # not one large component
+    assert sum(got[i] == got[c] for i, c in expected.items()) >= 0.98 * len(rows)
+    assert all(expected[i] == expected[c] for i, c in got.items())
