@@ -12,7 +12,8 @@ rows that meet in a table are verified.
 Defined results: a null text is an empty one, and a text without words has fingerprint zero; rows are
 ordered by id (null first), then text; of rows with equal ids and texts each comes before the next; the
 last row's next is the first, so a single document is its own next; other columns are ignored; an empty
-table gives no rows.
+table gives no rows. Null stands with the id -2^62 where rows are looked up, but only together with the texts' hashes, so
+that what is found is the same. A text however long is held with its edit in one row, and its words in one row's array.
 """
 
 from __future__ import annotations

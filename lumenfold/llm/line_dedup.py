@@ -18,7 +18,8 @@ Distinct lines are counted before they are compared, and only leaves that enough
 generalised; lines travel as hashes until one of each kind is fetched by its place.
 
 Defined results: a null text is an empty one; rows of equal ids and texts are one document (and each gets
-its row); the separators of lines that stay are kept as single line feeds; an empty table gives no rows;
+its row; null stands with the id -2^62, which changes no result, as documents are counted by their texts); a text however
+long is one row's array of lines and one of each line's tokens; the separators of lines that stay are kept as single line feeds; an empty table gives no rows;
 other columns are ignored.
 """
 

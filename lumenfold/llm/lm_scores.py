@@ -15,7 +15,7 @@ a quarter of a task are counted in advance and scored where the documents are. G
 as many bits as keep the expected share of grams that collide below 2^-20 at the corpus's size.
 
 Defined results: words are lower-cased (A-Z) runs between ASCII white space; texts without words have
-no tokens and score 0; rows with equal ids (null is an id) are each left out
+no tokens and score 0; rows with equal ids (null is an id, and one with -2^62) are each left out
 and scored by themselves, and their sums give one row; ids that
 are not in docs are no target; without target tokens all scores are 0; other columns are ignored.
 """

@@ -201,5 +201,5 @@ def keep_one(spark: SparkSession, docs: DataFrame, words: int = 5, radius: int =
     gone = found.where(F.coalesce(F.col("component_id") < F.col("doc_id"), F.col("component_id").isNotNull()))
     gone_id, gone_t = shared.free_name(docs, "gone_id"), shared.free_name(docs, "gone_t")
     gone = shared.write_table(spark, gone.select(F.col("doc_id").alias(gone_id), F.col("t").alias(gone_t)).distinct(), "near-duplicates")
-    here = F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)) == F.coalesce(gone_id, F.lit(LEAST_ID))
+    here = F.col(id_col).cast("long").eqNullSafe(F.col(gone_id))
     return docs.join(gone, here & (text_hash(F.col(text_col).cast("string")) == F.col(gone_t)), "left_anti")

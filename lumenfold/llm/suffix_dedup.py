@@ -15,7 +15,7 @@ Kasai's theorem (only those that can't be derived from the one before are compar
 common prefix of ``length`` bytes share a string. Where one key's fragments fill several shards, the
 shards' sorted strings are merged by binary search.
 
-Defined results: null is an empty text; rows that share an id (null ids sort first and share one) count
+Defined results: null is an empty text; rows that share an id (null ids share one, which is -2^62 and sorts first but for lower ones) count
 as occurrences in one document at their places, so spans found in one of them apply to each; repeated
 rows thus give repeated results; an empty table gives no rows; other columns are ignored.
 """

@@ -80,6 +80,7 @@ def test_keep_one(spark):
             w[rng.randrange(len(w))] = f"new{n}"
         edits.append(" ".join(w))
     texts = [*edits, "alone " + " ".join(f"z{i}" for i in range(80)), None, "", "\n"]
+    assert [r["doc_id"] for r in M.keep_one(spark, spark.createDataFrame([(None, "x y"), (M.LEAST_ID, "X y"), (M.LEAST_ID, "x y")], "doc_id long, text string")).collect()] == [M.LEAST_ID] * 2
     rows = list(enumerate(texts)) + [(50, "a word"), (50, "another text"), (50, "another text"), (60, "A  word")]
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows] + [(None, texts[0], 2, "y"), (None, "no copy", 2, "y")], "doc_id long, text string, fp int, t string")
     kept = M.keep_one(spark, docs)
