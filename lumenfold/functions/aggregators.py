@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: States that a task holds, about; with more keys than half of these it sends them on.
+HELD = 200_000
 MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -29,13 +31,27 @@ class TwoPhase:
         kind = df.schema[by].dataType.simpleString()
 
         def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: pd.DataFrame | None = None
+            held: list[pd.DataFrame] = []
+
+            def merged() -> pd.DataFrame:
+                return pd.concat(held).groupby(level=0, dropna=False).agg(state)
+
+            def out(states: pd.DataFrame) -> pa.RecordBatch:
+                keys = pa.array(states.index.tolist(), kind_of, from_pandas=True)
+                return pa.RecordBatch.from_arrays([keys, *[pa.array(states[c].to_numpy(np.float64)) for c in state]], [by, *state])
+
             for b in batches:
-                new = step(b.to_pandas(), by)[list(state)]
-                held = new if held is None else pd.concat([held, new]).groupby(level=0, dropna=False).agg(state)
-            if held is not None and len(held):
-                keys = pa.array(held.index.tolist(), b.schema.field(by).type, from_pandas=True)
-                yield pa.RecordBatch.from_arrays([keys, *[pa.array(held[c].to_numpy(np.float64)) for c in state]], [by, *state])
+                kind_of = b.schema.field(by).type
+                rows = b.to_pandas()
+                if pa.types.is_integer(kind_of):  # beside nulls these would be floats, and large keys meet
+                    rows[by] = b.column(by).cast(pa.int64()).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get)
+                held.append(step(rows, by)[list(state)])
+                if sum(map(len, held)) > HELD:
+                    held = [merged()]
+                    if len(held[0]) > HELD // 2:
+                        yield out(held.pop())
+            if held and len(states := merged()):
+                yield out(states)
 
         rows = df.select(by, *[c.alias(k) for k, c in inputs.items()])
         states = rows.mapInArrow(partial, ", ".join([f"{by} {kind}", *[f"{c} double" for c in state]]))
@@ -47,10 +63,19 @@ def _logs(batch: pd.DataFrame, by: str) -> pd.DataFrame:
     return pd.DataFrame({by: x[by], "logs": np.log(x["x"]), "n": 1.0}).groupby(by, dropna=False).sum()
 
 
-#: The geometric mean of positive values; null where there are none.
+#: The geometric mean of positive values; groups without one have no row.
 geometric_mean = TwoPhase(_logs, {"logs": "sum", "n": "sum"}, "exp(logs / nullif(n, 0))")
 
 
+def _all_logs(batch: pd.DataFrame, by: str) -> pd.DataFrame:
+    x = batch["x"].astype(float)
+    return pd.DataFrame({by: batch[by], "logs": np.log(x.where(x > 0)), "n": (x > 0).astype(float)}).groupby(by, dropna=False).sum()
+
+
+#: The same with a row, and a null, for groups without positive values.
+geometric_mean_or_null = TwoPhase(_all_logs, {"logs": "sum", "n": "sum"}, "exp(logs / nullif(n, 0))")
+
+
 def _moments(batch: pd.DataFrame, by: str) -> pd.DataFrame:
     x = batch.dropna(subset=["x", "w"])
     return pd.DataFrame({by: x[by], "w": x["w"], "wx": x["w"] * x["x"], "wxx": x["w"] * x["x"] ** 2, "least": x["x"]}).groupby(by, dropna=False).agg({"w": "sum", "wx": "sum", "wxx": "sum", "least": "min"})

@@ -29,3 +29,22 @@ def test_top_items_of_more_users_than_a_sketch_tracks(spark, tmp_path):
     assert sorted((r["place"], r["n"]) for r in got.collect()) == [(i + 1, 29 - i) for i in range(10)]
 
 
+def test_grouped_mean_takes_no_call_for_each_group(spark):
+    got = plan(QUERIES["ud4_grouped_agg"](spark, DATA))
+    assert "MapInArrow" in got and "AggregateInPandas" not in got and "ArrowAggregatePython" not in got
+
+
+def test_two_phases_keep_groups_without_values_and_large_keys(spark):
+    big = (1 << 60) + 1
+    rows = [(big, 2.0), (big, 8.0), (big + 1, 3.0), (None, 5.0), (7, None), (8, -1.0)]
+    df = spark.createDataFrame(rows, "k long, x double").coalesce(1)
+    got = {r["k"]: r["m"] for r in aggregators.geometric_mean_or_null(df, "k", "m", x=F.col("x")).collect()}
+    assert got == {big: pytest.approx(4.0), big + 1: pytest.approx(3.0), None: pytest.approx(5.0), 7: None, 8: None}
+
+
+def test_two_phases_send_states_on(spark):
+    df = spark.range(3 * aggregators.HELD).select((F.col("id") % (aggregators.HELD + 9)).alias("k"), F.lit(2.0).alias("x")).coalesce(1)
+    got = aggregators.geometric_mean(df, "k", "m", x=F.col("x"))
+    assert got.count() == aggregators.HELD + 9 and got.agg(F.min("m"), F.max("m")).first() == (pytest.approx(2.0), pytest.approx(2.0))
+
+
