@@ -48,3 +48,17 @@ def test_two_phases_send_states_on(spark):
     assert got.count() == aggregators.HELD + 9 and got.agg(F.min("m"), F.max("m")).first() == (pytest.approx(2.0), pytest.approx(2.0))
 
 
+def test_wide_range_frames_take_no_window_frame(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice(["a", None]), rng.choice([None, rng.randrange(500)]), rng.choice([None, rng.randrange(-9, 9)]), rng.choice([None, float("nan"), rng.random()])) for i in range(500)]
+    df = spark.createDataFrame(rows, "i int, k string, x long, v long, d double")
+    asked = {"n": ("count", "v"), "s": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "v"), "dlo": ("min", "d"), "dhi": ("max", "d")}
+    got = frames.range_frame(df, ["k"], "x", asked, 60, 20, 100)
+    df.createOrReplaceTempView("wide_frames")
+    w = "OVER (PARTITION BY k ORDER BY x RANGE BETWEEN 60 PRECEDING AND 20 FOLLOWING)"
+    want = spark.sql(f"SELECT *, {', '.join(f'{f}({c}) {w} AS {n}' for n, (f, c) in asked.items())} FROM wide_frames WHERE x IS NOT NULL")
+    text = lambda d: sorted(map(str, d.collect()))
+    assert text(got.where("x IS NOT NULL")) == text(want) and got.where("x IS NULL AND n IS NULL").count() == df.where("x IS NULL").count()
+    assert "RangeFrame, -60" not in plan(got) and "MapInArrow" in plan(got)
+
+
