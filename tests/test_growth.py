@@ -68,3 +68,25 @@ def test_no_sketch_for_each_key(spark):
     assert not any("keys=[o_custkey" in x and "approx_count_distinct" in x for x in lines)
 
 
+def test_timed_sessions_without_user_or_kind(spark, tmp_path):
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double"
+    begin, big = datetime(2024, 1, 1), (1 << 60) + 1
+    for rows in ([(0, None, "view"), (1, big, None), (2, big + 1, "view"), (3, None, "a")], [(500, None, "view"), (501, big, "view")], [(2000, 1, "a")], [(3000, 1, "a")]):
+        spark.createDataFrame([(i, begin + timedelta(minutes=m), u, k, 1.0) for i, (m, u, k) in enumerate(rows)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.02)
+        with stateful.rocksdb(spark):
+            replay.run_batches(stateful.timed_sessions(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 1800, "60 minutes"), str(tmp_path), "append")
+    got = {(r["user_id"], (r["start"] - begin).seconds // 60, r["n"], r["total"], r["kinds"], r["views"]) for r in spark.read.parquet(f"{tmp_path}/rows").where("start < '2024-01-02'").collect()}
+    assert got == {(None, 0, 2, 2.0, 2, 1), (big, 1, 1, 1.0, 0, 0), (big + 1, 2, 1, 1.0, 1, 1), (None, 500, 1, 1.0, 1, 2), (big, 501, 1, 1.0, 1, 1)}
+
+
+def test_first_seen_without_user_or_kind(spark, tmp_path):
+    schema, big = "event_id long, user_id long, event_type string", (1 << 60) + 1
+    pairs = [(None, "a"), (big, None), (big + 1, "a"), (big, "")]
+    for _ in range(2):
+        spark.createDataFrame([(i, u, k) for i, (u, k) in enumerate(pairs * 2)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        with stateful.rocksdb(spark):
+            replay.run_batches(stateful.first_seen(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 86_400_000), str(tmp_path), "append", endless=True)
+    assert sorted(map(str, pairs)) == sorted(str((r[0], r[1])) for r in spark.read.parquet(f"{tmp_path}/rows").select("user_id", "event_type").collect())
+
+
