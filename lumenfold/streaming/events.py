@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.sources.tables import table
+from lumenfold.streaming.stateful import USER, by_bucket, pack, unpack, users
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,16 +53,19 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, within: str, late
 
 
 def running_totals(events: DataFrame) -> DataFrame:
-    """Custom state: each user's number of events and sum so far, one row a user and batch."""
+    """Custom state: each user's number of events and sum so far, one row a user and batch.
 
-    def update(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        n, total = state.get if state.exists else (0, 0.0)
-        for b in batches:
-            n, total = n + len(b), total + float(b["value"].sum())
-        state.update((n, total))
-        yield pd.DataFrame({"user_id": [key[0]], "n": [n], "total": [total]})
+    A key of the state is a bucket of users, whose totals are held packed."""
 
-    return events.groupBy("user_id").applyInPandasWithState(update, "user_id long, n long, total double", "n long, total double", "update", "NoTimeout")
+    def update(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        new = pd.concat([b.groupby(USER)["value"].agg(["size", "sum"]) for b in batches]).groupby(level=USER).sum()
+        old = unpack([state.get[0]]).set_index(USER) if state.exists else new.iloc[:0]
+        held = new.add(old, fill_value=0).astype({"size": "int64"})
+        state.update((pack(held.reset_index()),))
+        out = held.loc[new.index].reset_index()
+        yield pd.DataFrame({"user_id": users(out), "n": out["size"], "total": out["sum"]})
+
+    return by_bucket(events, "value").applyInPandasWithState(update, "user_id long, n long, total double", "held binary", "update", "NoTimeout")
 
 
 def run_to_memory(spark: SparkSession, stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:

@@ -90,3 +90,13 @@ def test_first_seen_without_user_or_kind(spark, tmp_path):
     assert sorted(map(str, pairs)) == sorted(str((r[0], r[1])) for r in spark.read.parquet(f"{tmp_path}/rows").select("user_id", "event_type").collect())
 
 
+def test_totals_are_kept_by_bucket(spark, tmp_path):
+    users = [*range(3 * stateful.BUCKETS), None, (1 << 60) + 1]
+    spark.createDataFrame([(u, float(i)) for u in users for i in range(2)], "user_id long, value double").coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = events.running_totals(spark.readStream.schema("user_id long, value double").parquet(f"{tmp_path}/in"))
+    replay.run_batches(stream, str(tmp_path), "update")
+    got = {r["user_id"]: (r["n"], r["total"]) for r in spark.read.parquet(f"{tmp_path}/rows").collect()}
+    assert got == {u: (2, 1.0) for u in users}
+    assert spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count() <= stateful.BUCKETS
+
+
