@@ -21,8 +21,9 @@ def reach(spark: SparkSession, edges: DataFrame, seeds: DataFrame, max_hops: int
     Null nodes and edges with a null end lead nowhere. Cycles, self-loops and repeated edges change nothing."""
     path, name = scratch_path(spark, "fixpoint"), f"edges_{uuid.uuid4().hex}"
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    known = edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct()
-    known.repartition(buckets, "src").write.bucketBy(buckets, "src").sortBy("src").option("path", f"{path}/edges").saveAsTable(name)
+    # Dealt by source before the repeats go: edges are shuffled once.
+    known = edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").repartition(buckets, "src").distinct()
+    known.write.bucketBy(buckets, "src").sortBy("src").option("path", f"{path}/edges").saveAsTable(name)
     try:
         seeds.select("node").where("node IS NOT NULL").distinct().write.parquet(f"{path}/found/hops=0")
         kind, hops = seeds.select("node").schema, 0

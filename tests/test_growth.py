@@ -100,3 +100,12 @@ def test_totals_are_kept_by_bucket(spark, tmp_path):
     assert spark.read.format("statestore").load(f"{tmp_path}/checkpoint").count() <= stateful.BUCKETS
 
 
+def test_edges_are_shuffled_once(spark, monkeypatch):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (1, 2)], "src long, dst long")
+    monkeypatch.setattr(fixpoint, "uuid", types.SimpleNamespace(uuid4=lambda: types.SimpleNamespace(hex="x")))
+    kept = []
+    monkeypatch.setattr(type(edges), "write", property(lambda self, f=type(edges).write: (kept.append(plan(self)), f.fget(self))[1]))
+    assert {tuple(r) for r in fixpoint.reach(spark, edges, spark.range(1, 2).select(F.col("id").alias("node"))).collect()} == {(1, 0), (2, 1)}
+    assert kept[0].count("Exchange hashpartitioning") == 1
+
+
