@@ -1,16 +1,25 @@
 """Exact set-similarity self-join by prefix, length and positional filters.
 
-Tokens are ordered by rising frequency. Two sets with a Jaccard similarity of t or more share a token
+Tokens have one order for all sets: those that a sample finds in many sets come last, by rising count, the
+others first, by hash. Any order gives the same pairs; this one keeps frequent tokens out of the prefixes.
+Only prefixes are stored and shuffled, not whole sets. Two sets with a Jaccard similarity of t or more share a token
 among the first n - ceil(t n) + 1 of each, so only sets that meet in these prefixes are looked at, and of
 those only pairs whose sizes, and the places of the token they met by, leave room for enough common
-tokens. What remains is verified on the whole sets.
+tokens. What remains is verified on the whole sets, which are made again for the sets that are in a pair:
+ids are dealt to blocks, and a task has the sets and pairs of two blocks.
 
 Equal sets are one class, with their least id for all; links are between classes, so copies cost one row.
 Tokens are compared as 64-bit hashes. Sets without tokens, and null ids, are in no class and no link."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenfold.sources.tables import scratch_path
@@ -25,9 +34,9 @@ def shingles(text: Column, words: int) -> Column:
 
 
 def token_sets(docs: DataFrame, tokens: Column, id_col: str) -> DataFrame:
-    """(id, tokens: distinct hashes in rising order)."""
-    hashed = F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
-    return docs.select(F.col(id_col).cast("long").alias("id"), hashed.alias("tokens")).where("id IS NOT NULL AND size(tokens) > 0")
+    """(id, tokens: distinct hashes in rising order, of some none; a condition on them would make them twice)."""
+    hashed = F.sort_array(F.array_distinct(F.transform(tokens, lambda t: F.xxhash64(t))))
+    return docs.select(F.col(id_col).cast("long").alias("id"), hashed.alias("tokens")).where("id IS NOT NULL")
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -36,41 +45,96 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: One set in so many is in the sample; a token in so many sets of it is frequent, as long as there are not more
+#: than so many of them. Blocks that ids are dealt to; ids that are sent to all tasks, at most.
+SAMPLE, OFTEN, FREQUENT, BLOCKS, SENT = 32, 3, 200_000, 64, 2_000_000
+
+
 class Join:
     """The parts of one join: members (id, class_id), candidates and links between classes."""
 
     def __init__(self, spark: SparkSession, sets: DataFrame, threshold: float):
-        self.threshold = threshold
-        keyed = stored(spark, sets.withColumn("digest", F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " "), 256)), "sets")
-        least = keyed.groupBy("digest").agg(F.min("id").alias("class_id"))
-        self.members = stored(spark, keyed.select("id", "digest").join(least, "digest").select("id", "class_id"), "members")
-        self.classes = keyed.join(least.select(F.col("class_id").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id"]).select("id", "tokens", F.size("tokens").alias("n"))
-        self.candidates = stored(spark, self._candidates(), "candidates")
+        self.spark, self.sets, self.threshold = spark, sets, threshold
+        keyed = stored(spark, self._prefixes(), "prefixes")
+        keys = keyed.select("id", "digest")
+        least = keys.groupBy("digest").agg(F.min("id").alias("class_id"))
+        self.members = stored(spark, keys.join(least, "digest").select("id", "class_id"), "members")
+        self.classes = stored(spark, keys.join(least.select(F.col("class_id").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id"]), "classes")
+        self.candidates = stored(spark, self._candidates(keyed.join(self.classes, ["id", "digest"]).dropDuplicates(["id"])), "candidates")
         self.links = stored(spark, self._verified(), "links")
 
     def _least(self, n: Column) -> Column:
         """The least overlap that a set of n tokens needs with one of at least its share of the size."""
         return F.ceil(F.lit(self.threshold) * n - 1e-9)
 
-    def _candidates(self) -> DataFrame:
-        listed = self.classes.select("id", "n", F.explode("tokens").alias("token"))
-        counts = listed.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-        # A token of one set only leads to no pair, but holds its place in the order.
-        placed = listed.join(counts, "token").withColumn("at", F.row_number().over(Window.partitionBy("id").orderBy("df", "token")))
-        prefix = placed.where((F.col("at") <= F.col("n") - self._least(F.col("n")) + 1) & (F.col("df") > 1)).select("id", "n", "token", "at")
-        a, b = (prefix.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "at")]) for s in "ab")
+    def _prefixes(self) -> DataFrame:
+        """(id, digest of the set, n, prefix)."""
+        sample = self.sets.where(F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0).select(F.explode("tokens").alias("token"))
+        often = sample.groupBy("token").count().where(F.col("count") >= OFTEN).orderBy(F.desc("count"), "token").limit(FREQUENT)
+        tokens = np.array([r[0] for r in often.select("token").collect()], np.int64)[::-1]
+        by_token = np.argsort(tokens)
+        sent = self.spark.sparkContext.broadcast((tokens[by_token], by_token + 1))
+        threshold = self.threshold
+
+        def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, place = sent.value
+            for b in batches:
+                b = b.filter(pc.greater(pc.list_value_length(b.column("tokens")), 0))
+                lists = b.column("tokens")
+                values = lists.flatten().to_numpy(zero_copy_only=False)
+                n = np.asarray(lists.value_lengths())
+                starts = np.cumsum(n) - n
+                at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+                rank = np.where(known[at] == values, place[at], 0) if len(known) else np.zeros(len(values), np.int64)
+                order = np.lexsort((values, rank, np.repeat(np.arange(len(n)), n)))
+                length = n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+                within = np.arange(len(values)) - np.repeat(starts, n) < np.repeat(length, n)
+                taken = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(values[order][within]))
+                digests = [hashlib.sha256(values[i : i + k].tobytes()).digest() for i, k in zip(starts.tolist(), n.tolist())]
+                yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(digests, pa.binary()), pa.array(n, pa.int32()), taken], ["id", "digest", "n", "prefix"])
+
+        return self.sets.mapInArrow(prefixes, "id long, digest binary, n int, prefix array<long>")
+
+    def _candidates(self, classes: DataFrame) -> DataFrame:
+        listed = classes.select("id", "n", "prefix", F.posexplode("prefix").alias("i", "token"))
+        placed = listed.select("id", "n", "token", (F.col("i") + 1).alias("at"), F.when(F.col("i") > 0, F.get("prefix", F.col("i") - 1)).alias("prior"))
+        a, b = (placed.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "n", "at", "prior")]) for s in "ab")
         need = F.ceil(F.lit(self.threshold / (1 + self.threshold)) * (F.col("a_n") + F.col("b_n")) - 1e-9)
         room = 1 + F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
         before = F.struct("a_n", "a_id") < F.struct("b_n", "b_id")
-        met = a.join(b, "token").where(before & (F.col("a_n") >= self._least(F.col("b_n"))) & (room + F.least("a_at", "b_at") - 1 >= need))
+        reach = (F.col("a_at") <= F.col("a_n") - need + 1) & (F.col("b_at") <= F.col("b_n") - need + 1)
+        # A pair that shares the tokens before these has met by them, under the same conditions.
+        first = F.coalesce(F.col("a_prior") != F.col("b_prior"), F.lit(True))
+        met = a.join(b, "token").where(first & before & (F.col("a_n") >= self._least(F.col("b_n"))) & reach & (room + F.least("a_at", "b_at") - 1 >= need))
         return met.select("a_id", "b_id").distinct()
 
     def _verified(self) -> DataFrame:
-        a, b = (self.classes.select(F.col("id").alias(f"{s}_id"), F.col("tokens").alias(f"{s}_tokens"), F.col("n").alias(f"{s}_n")) for s in "ab")
-        both = self.candidates.join(a, "a_id").join(b, "b_id").withColumn("shared", F.size(F.array_intersect("a_tokens", "b_tokens")))
-        total = F.col("a_n") + F.col("b_n") - F.col("shared")
-        kept = both.where(F.col("shared") >= F.lit(self.threshold) * total - 1e-9)
-        return kept.select(F.least("a_id", "b_id").alias("left_id"), F.greatest("a_id", "b_id").alias("right_id"), F.col("shared").cast("long").alias("shared"), total.cast("long").alias("total"))
+        block = lambda c: F.pmod(F.xxhash64(c), F.lit(BLOCKS))
+        pairs = self.candidates.withColumn("cell", block("a_id") * BLOCKS + block("b_id"))
+        places = pairs.select("cell", F.explode(F.array("a_id", "b_id")).alias("id")).distinct().join(self.classes, "id")
+        needed = stored(self.spark, places.select("id").distinct(), "needed")
+        few = needed.limit(SENT + 1).count() <= SENT
+        whole = self.sets.join(F.broadcast(needed) if few else needed, "id", "left_semi")
+        threshold = self.threshold
+
+        def verify(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+            held = {}
+            for i, digest, tokens in zip(sets["id"].to_pylist(), sets["digest"].to_pylist(), sets["tokens"]):
+                values = tokens.values.to_numpy(zero_copy_only=False)
+                if hashlib.sha256(values.tobytes()).digest() == digest:  # an id may have several sets, of which one is the class
+                    held[i] = values
+            rows = []
+            for a, b in zip(pairs["a_id"].to_pylist(), pairs["b_id"].to_pylist()):
+                x, y = held[a], held[b]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                total = len(x) + len(y) - shared
+                if shared >= threshold * total - 1e-9:
+                    rows.append((min(a, b), max(a, b), shared, total))
+            columns = list(zip(*rows)) or [()] * 4
+            return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("left_id", "right_id", "shared", "total"), columns)})
+
+        placed = whole.join(places, "id").select(F.col("cell").alias("spot"), "id", "digest", "tokens")
+        return pairs.groupBy("cell").cogroup(placed.groupBy("spot")).applyInArrow(verify, "left_id long, right_id long, shared long, total long")
 
     def by_document(self) -> DataFrame:
         """(id, class_id, n_links: classes that are similar to its own)."""

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenfold.functions import aggregators
-from lumenfold.operators import fixpoint, frames
+from lumenfold.operators import fixpoint, frames, set_similarity
 from lumenfold.plans import load_all
 from lumenfold.plans.registry import QUERIES
 from lumenfold.streaming import events, replay, stateful
@@ -109,3 +109,7 @@ def test_edges_are_shuffled_once(spark, monkeypatch):
     assert kept[0].count("Exchange hashpartitioning") == 1
 
 
+def test_whole_sets_are_not_stored(spark):
+    docs = spark.createDataFrame([(i, [f"t{i % 40}-{k}" for k in range(100 + i // 40)]) for i in range(80)], "id long, words array<string>")
+    joined = set_similarity.Join(spark, set_similarity.token_sets(docs, F.col("words"), "id"), 0.8)
+    assert "tokens" not in joined.classes.columns and joined.links.count() == 40
