@@ -1,5 +1,6 @@
 """Vector index, set-similarity join and fixpoint on small frames, against brute force."""
 
+import os
 import random
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from lumenfold.operators import set_similarity as S
 from lumenfold.operators import vector_index as V
 from lumenfold.operators.fixpoint import reach
+from lumenfold.plans import similarity
 
 DATA = "/root/testdata/sf0.01"
 
@@ -99,3 +101,88 @@ def test_reach(spark):
     assert {r["node"]: r["hops"] for r in reach(spark, frame, seeds, 1).collect()} == {k: v for k, v in want.items() if v <= 1}
     assert reach(spark, frame, seeds.limit(0)).count() == 0
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("edges_")]
+
+
+def test_runs_of_words(spark):
+    lists = [[3], [], [1, 2], [1, 2, 3], [1, 2, 3, 1, 2, 3], [2, 1, 3], [1, 2]]
+    values, n = S.token_runs(np.array(sum(lists, []), np.int64), np.array([len(x) for x in lists]), 3)
+    assert n.tolist() == [1, 0, 1, 1, 4, 1, 1]
+    runs = [tuple(x[i : i + 3]) for x in lists if x for i in range(max(1, len(x) - 2))]
+    assert len(set(zip(runs, values.tolist()))) == len(set(runs)) == len(set(values.tolist()))
+    texts = [(0, "a b c d e f"), (1, "a b c d e  f\ta b c d e"), (2, "b"), (3, " b"), (4, "b b"), (5, " "), (6, None)]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    by_words = S.Join(spark, S.token_sets(docs, S.split(F.col("text")), "id"), 0.2, 5)
+    by_shingles = S.Join(spark, S.token_sets(docs, S.shingles(F.col("text"), 5), "id"), 0.2)
+    for a, b in ((by_words.links, by_shingles.links), (by_words.by_document(), by_shingles.by_document())):
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) != []
+
+
+def test_sketches_never_differ_in_more_than_the_sets():
+    rng = np.random.default_rng(5)
+    for size in (1, 3, 64, 65, 700, 3000):
+        for kept in (0.0, 0.5, 0.8, 0.95, 1.0):
+            x = np.unique(rng.integers(-(2**63), 2**63 - 1, size))
+            y = np.unique(np.append(x[: int(kept * size)], rng.integers(-(2**63), 2**63 - 1, int(1.2 * size) - int(kept * size))))
+            n = np.array([len(x), len(y)])
+            near = S.Sketched(np.array([7, 9]), n, S.sketches(np.append(x, y), n), 0.8).near(np.array([7]), np.array([9]))[0]
+            shared = len(np.intersect1d(x, y))
+            assert near or shared < 0.8 * (len(x) + len(y) - shared)
+            assert not near or size < 64 or kept > 0.5
+
+
+def test_pairs_that_meet_a_few_at_a_time(monkeypatch):
+    rng = random.Random(2)
+    sets = {i: frozenset(rng.sample(range(60), rng.randrange(1, 30))) for i in range(100)}
+    sets |= {i + 100: sets[i] | {rng.randrange(60)} for i in range(100)}
+    rows = [(i, len(s), at + 1, t) for i, s in sets.items() for at, t in enumerate(sorted(s)[: len(s) - int(np.ceil(0.8 * len(s) - 1e-9)) + 1])]
+    columns = [np.array(c, np.int64) for c in zip(*rows)]
+    want = {(a, b) for a in sets for b in sets if a < b and jaccard(sets[a], sets[b]) >= 0.8}
+    got = {}
+    for most in (1 << 19, 50, 1):
+        monkeypatch.setattr(S, "AT_ONCE", most)
+        got[most] = {p for a, b in S.pairs_that_meet(*columns, 0.8) for p in zip(a.tolist(), b.tolist())}
+        assert want <= got[most] and got[most] == got[1 << 19]
+
+
+def test_many_buckets_and_blocks(spark, monkeypatch):
+    rng = random.Random(8)
+    base = [f"t{i}" for i in range(60)]
+    rows = [(i * 97 - 4000, [w if rng.random() > 0.06 else f"x{rng.randrange(1000)}" for w in base]) for i in range(120)]
+    docs = spark.createDataFrame(rows, "id long, words array<string>")
+    least = {}
+    for i, w in rows:
+        least.setdefault(frozenset(w), i)
+    want = sorted((a, b) for x, a in least.items() for y, b in least.items() if a < b and jaccard(x, y) >= 0.8)
+    assert len(want) > 1000
+    for entries, size in ((1 << 20, 32 << 20), (200, 4096)):
+        monkeypatch.setattr(S, "ENTRIES", entries)
+        monkeypatch.setattr(S, "BLOCK_BYTES", size)
+        joined = S.Join(spark, S.token_sets(docs, F.col("words"), "id"), 0.8)
+        assert sorted((r["left_id"], r["right_id"]) for r in joined.links.collect()) == want
+
+
+def test_sets_that_only_meet_are_not_sent_whole(spark):
+    """Fours that share 75 of 99 tokens: pairs that the filters leave, and no links but the planted one."""
+    rows = [(i, [f"t{i // 4}-{k}" for k in range(75)] + [f"u{i}-{k}" for k in range(24)]) for i in range(200)]
+    rows.append((200, rows[0][1] + ["more"]))
+    joined = S.Join(spark, S.token_sets(spark.createDataFrame(rows, "id long, words array<string>"), F.col("words"), "id"), 0.8)
+    assert [(r["left_id"], r["right_id"]) for r in joined.links.collect()] == [(0, 200)] and joined.candidates.count() < 50
+
+
+def test_disk_is_less_than_twice_the_documents(spark):
+    """What is shuffled and stored, for a table of 15.5 MB; whole sets have 31 MB."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    gateway = spark.sparkContext._gateway
+    none = gateway.jvm.java.util.ArrayList()
+
+    def shuffled():
+        stages = store.stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteBytes() for i in range(stages.size())}
+
+    before = shuffled().keys()
+    joined = similarity.similar(spark, "/root/testdata/sf0.1")
+    sent = sum(v for k, v in shuffled().items() if k not in before)
+    files = [f for df in (joined.classes, joined.members, joined.candidates, joined.links) for f in df.inputFiles()]
+    kept = sum(os.path.getsize(f.removeprefix("file://")) for f in files)
+    assert joined.links.count() > 40 and sent > 1e6
+    assert sent + kept < 2 * os.path.getsize("/root/testdata/sf0.1/documents.parquet")
