@@ -122,9 +122,9 @@ def folded(rows: np.ndarray, words: int) -> np.ndarray:
 
 #: One set in so many is in the sample; a token in so many sets of it is frequent, as long as there are not more
 #: than so many of them. Ids that are sent to all tasks, at most. Entries of a bucket; entries or pairs that are
-#: packed or compared at once. Blocks of ids at least, and bytes of sketches or whole sets of a block.
+#: packed or compared at once. Blocks of ids at least, and bytes of a block's sketches and of its whole sets.
 SAMPLE, OFTEN, FREQUENT, SENT = 32, 3, 200_000, 1_000_000
-ENTRIES, AT_ONCE, BLOCKS, BLOCK_BYTES = 1 << 20, 1 << 19, 5, 32 << 20
+ENTRIES, AT_ONCE, BLOCKS, SKETCH_BYTES, BLOCK_BYTES = 1 << 20, 1 << 19, 5, 64 << 20, 32 << 20
 
 #: Bytes of a token's hash in a prefix.
 SHORT = 5
@@ -264,7 +264,7 @@ class Join:
         tokens, count = self.classes.agg(F.sum("n"), F.count(F.lit(1))).first()
         entries = (1 - self.threshold) * (tokens or 0) + 2 * count
         buckets, threshold = math.ceil(entries / ENTRIES) or 1, self.threshold
-        blocks = max(BLOCKS, math.ceil((0.2 * (tokens or 0) + 32 * count) / BLOCK_BYTES))
+        blocks = max(BLOCKS, math.ceil((0.2 * (tokens or 0) + 32 * count) / SKETCH_BYTES))
 
         def entries_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, size = [], 0
@@ -377,7 +377,7 @@ class Join:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["spot", "id", "data"])
 
         def verify(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-            held = {i: np.frombuffer(data.as_py(), np.int64) for i, data in zip(sets["id"].to_pylist(), sets["data"])}
+            held = {i: np.frombuffer(data.as_buffer(), np.int64) for i, data in zip(sets["id"].to_pylist(), sets["data"])}
             left, right = distinct(pairs["a_id"].to_numpy(), pairs["b_id"].to_numpy())
             shared, total = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
             for i, (a, b) in enumerate(zip(left.tolist(), right.tolist())):

@@ -154,9 +154,11 @@ def test_many_buckets_and_blocks(spark, monkeypatch):
         least.setdefault(frozenset(w), i)
     want = sorted((a, b) for x, a in least.items() for y, b in least.items() if a < b and jaccard(x, y) >= 0.8)
     assert len(want) > 1000
-    for entries, size in ((1 << 20, 32 << 20), (200, 4096)):
+    for entries, size, ids in ((1 << 20, 32 << 20, 1000), (200, 4096, 10)):
         monkeypatch.setattr(S, "ENTRIES", entries)
+        monkeypatch.setattr(S, "SKETCH_BYTES", size)
         monkeypatch.setattr(S, "BLOCK_BYTES", size)
+        monkeypatch.setattr(S, "SENT", ids)
         joined = S.Join(spark, S.token_sets(docs, F.col("words"), "id"), 0.8)
         assert sorted((r["left_id"], r["right_id"]) for r in joined.links.collect()) == want
 
