@@ -55,7 +55,9 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def packed(**columns: np.ndarray) -> bytes:
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
+    """The first column, best in rising order, as differences."""
+    first, *others = columns.values()
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (np.diff(first, prepend=np.int64(0)), *others)], list(columns))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
         out.write_batch(batch)
@@ -63,7 +65,8 @@ def packed(**columns: np.ndarray) -> bytes:
 
 
 def unpacked(blob: bytes) -> list[np.ndarray]:
-    return [c.to_numpy() for c in pa.ipc.open_stream(blob).read_all().columns]
+    first, *others = (c.to_numpy() for c in pa.ipc.open_stream(blob).read_all().columns)
+    return [np.cumsum(first), *others]
 
 
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -271,6 +274,8 @@ class Join:
 
             def out() -> pa.RecordBatch:
                 ids, n, at, token = (np.concatenate(c) for c in zip(*held))
+                order = np.argsort(ids, kind="stable")
+                ids, n, at, token = ids[order], n[order], at[order], token[order]
                 rows = dealt(token % buckets, id=ids, n=n, at=at, low=(token // buckets).astype(np.uint32), high=(token // buckets >> 32).astype(np.uint8))
                 return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary()))], ["part", "blob"])
 

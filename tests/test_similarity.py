@@ -130,6 +130,13 @@ def test_sketches_never_differ_in_more_than_the_sets():
             assert not near or size < 64 or kept > 0.5
 
 
+def test_packed_rows():
+    ids = np.array([5, 5, -(2**62), 2**63 - 1, -(2**63), 0], np.int64)
+    assert [c.tolist() for c in S.unpacked(S.packed(id=ids, n=ids[::-1]))] == [ids.tolist(), ids[::-1].tolist()]
+    got = {part: [c.tolist() for c in S.unpacked(blob)] for part, blob in S.dealt(np.array([2, 0, 2]), id=ids[:3], n=np.arange(3))}
+    assert got == {0: [[5], [1]], 2: [[5, -(2**62)], [0, 2]]}
+
+
 def test_pairs_that_meet_a_few_at_a_time(monkeypatch):
     rng = random.Random(2)
     sets = {i: frozenset(rng.sample(range(60), rng.randrange(1, 30))) for i in range(100)}
